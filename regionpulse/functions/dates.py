@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionpulse.functions.text import strip_marks
@@ -44,30 +44,33 @@ def _date_from_parts(year: Column, month: Column, day: Column) -> Column:
 
 
 def _month_number(name: Column, months: dict[str, int]) -> Column:
-    first_three = F.substring(name, 1, 3)
-    return F.coalesce(*[F.when(first_three == k, F.lit(str(v))) for k, v in months.items()])
+    numbers = F.create_map(*[F.lit(x) for k, v in months.items() for x in (k, str(v))])
+    return F.try_element_at(numbers, F.substring(name, 1, 3))
 
 
 def _shifted(ref: Column, amount: Column, unit: Column) -> Column:
     """``ref`` minus ``amount`` units as date text; null outside the calendar."""
     n = F.when(F.length(amount) <= 6, amount).try_cast("int")
-    days = F.coalesce(*[F.when(unit == u, F.lit(d)) for u, d in UNIT_DAYS.items()])
+    days = F.try_element_at(F.create_map(*[F.lit(x) for pair in UNIT_DAYS.items() for x in pair]), unit)
     by_day = F.date_sub(F.to_date(ref), n * days)
     by_hour = F.to_date(ref - F.make_dt_interval(F.lit(0), n))
     moved = F.when(unit.isin("hora", "hour"), by_hour).otherwise(by_day)
     return F.when(F.year(moved) >= 1, F.date_format(moved, "yyyy-MM-dd"))
 
 
-def parse_snippet_date(c: Column, ref: datetime | Column) -> Column:
-    """Publication date at the start of a snippet as ``yyyy-MM-dd``, else null.
+def date_head(c: Column) -> Column:
+    """The part of a snippet a leading date can occupy, in lower case without marks.
 
-    Accepts relative Spanish and English dates, *ayer* and *hoy*, ISO,
-    ``4 de julio de 2026``, ``14 jul. 2025`` and ``Jul 4, 2026``.  The first
-    form that matches decides: an impossible day there gives null, while an
-    unknown month name lets the later forms try.
+    Every accepted form is anchored at the start and spans at most five words,
+    so the first five words decide for the whole text.
     """
+    words = F.regexp_extract(c, r"^(?:[\s\p{Mn}]*[^\s\p{Mn}]\S*){0,5}", 0)
+    return F.regexp_replace(strip_marks(F.lower(words)), r"^\s+", "")
+
+
+def parse_head_date(text: Column, ref: datetime | Column) -> Column:
+    """Date at the start of a :func:`date_head` as ``yyyy-MM-dd``, else null."""
     ref = _as_timestamp(ref)
-    text = F.regexp_replace(strip_marks(F.lower(c)), r"^\s+", "")
 
     def group(pattern: str, i: int) -> Column:
         return F.regexp_extract(text, pattern, i)
@@ -105,6 +108,23 @@ def parse_snippet_date(c: Column, ref: datetime | Column) -> Column:
     )
 
 
+def with_snippet_date(df: DataFrame, column: str, target: str, ref: datetime | Column) -> DataFrame:
+    """Publication date written at the start of a snippet, as ``yyyy-MM-dd`` or null.
+
+    Accepts relative Spanish and English dates, *ayer* and *hoy*, ISO,
+    ``4 de julio de 2026``, ``14 jul. 2025`` and ``Jul 4, 2026``.  The first
+    form that matches decides: an impossible day there gives null, while an
+    unknown month name lets the later forms try.
+
+    The head of the text is a column of its own, so its many uses do not
+    compute it again.
+    """
+    head = "_date_head"
+    return df.withColumn(head, date_head(F.col(column))).withColumn(
+        target, parse_head_date(F.col(head), ref)
+    ).drop(head)
+
+
 def resolve_relative_date(c: Column, now: datetime | Column) -> Column:
     """``hace N dia(s)/hora(s)`` -> date text, any other ``hace`` -> today, else unchanged."""
     now = _as_timestamp(now)

@@ -63,24 +63,25 @@ def strip_marks(c: Column) -> Column:
 def unaccent(c: Column) -> Column:
     """ASCII transliteration of Latin text and common punctuation.
 
-    Rows that are ASCII already skip the work, and the multi-letter
-    replacements run only where something is left after the one-to-one pass.
-    Characters outside the covered ranges are dropped.
+    Rows that are ASCII already skip the work.  Characters outside the covered
+    ranges are dropped.
     """
-    once = _translate(c, {**_decomposed_letters(), **ONE_TO_ONE})
-    many = reduce(
-        lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), ONE_TO_MANY.items(), once
-    )
-    rest = F.when(once.rlike(NON_ASCII), F.regexp_replace(many, NON_ASCII, "")).otherwise(once)
-    return F.when(c.rlike(NON_ASCII), rest).otherwise(c)
+    replaced = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), ONE_TO_MANY.items(), c)
+    many = F.when(c.rlike(f"[{''.join(ONE_TO_MANY)}]"), replaced).otherwise(c)
+    single = _translate(many, {**_decomposed_letters(), **ONE_TO_ONE})
+    return F.when(c.rlike(NON_ASCII), F.regexp_replace(single, NON_ASCII, "")).otherwise(c)
 
 
 def normalize_text(c: Column) -> Column:
-    """Lower case, transliterate, signs to spaces, dots and commas away, one space between words."""
-    signs = F.translate(
-        unaccent(F.lower(c)), SIGNS_TO_SPACE + SIGNS_DELETED, " " * len(SIGNS_TO_SPACE)
-    )
-    return F.trim(F.regexp_replace(signs, r"\s+", " "))
+    """Lower case, transliterate, signs to spaces, dots and commas away, one space between words.
+
+    Single spaces between words, the bulk of white space, are left alone; only
+    signs, line breaks and longer runs are rewritten.
+    """
+    plain = F.regexp_replace(unaccent(F.lower(c)), f"[{SIGNS_DELETED}]+", "")
+    signs = "".join(_escape(ch) for ch in SIGNS_TO_SPACE if ch.isascii())
+    spaced = F.regexp_replace(plain, rf"[{signs}\t\n\x0B\f\r]", " ")
+    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def classification_text(title_clean: Column, snippet_clean: Column) -> Column:
@@ -125,8 +126,14 @@ def prefix_tree_regex(terms: Sequence[str], longest: bool) -> str:
 
     Terms that share a prefix share the branch.  ``longest=False`` stops at the
     first complete term, which is enough to know that one occurs;
-    ``longest=True`` matches the longest term starting at a position.
+    ``longest=True`` matches the longest term starting at a position.  A look
+    at the next three characters comes first: most positions of a text fail
+    there without entering the tree.
     """
+    depth = min(3, min(map(len, terms)))
+    opening = "".join(
+        "[" + "".join(_escape(ch) for ch in sorted({t[i] for t in terms})) + "]" for i in range(depth)
+    )
     tree: dict = {}
     for term in terms:
         node = tree
@@ -141,7 +148,7 @@ def prefix_tree_regex(terms: Sequence[str], longest: bool) -> str:
         body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
         return f"(?:{body})?" if "" in node else body
 
-    return render(tree)
+    return f"(?={opening}){render(tree)}"
 
 
 def _minimal_terms(terms: Sequence[str]) -> list[str]:
@@ -185,7 +192,7 @@ def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
 
 
 def keywords_from_hits(hits: Column, keywords: Sequence[str], vocabulary: Sequence[str]) -> Column:
-    """Keywords of one category present in ``hits``, in list order, repeats kept.
+    """Keywords of one category contained in the text behind ``hits``, in list order, repeats kept.
 
     A keyword is present when it, or a longer vocabulary term that starts with
     it, was the longest match somewhere.
@@ -204,15 +211,11 @@ def keywords_from_hits(hits: Column, keywords: Sequence[str], vocabulary: Sequen
     return F.when(F.size(hits) == 0, empty_strings()).otherwise(F.flatten(F.array(*picks)))
 
 
-def match_keywords(text: Column, keywords: Sequence[str]) -> Column:
-    """Keywords contained in the text (as substrings), in list order; ``[]`` when none."""
-    if not keywords:
-        return empty_strings()
-    return keywords_from_hits(keyword_hits(text, keywords), keywords, keywords)
-
+def longest_from_hits(hits: Column, names: Sequence[str]) -> Column:
+    """Longest of ``names`` among the hits of :func:`keyword_hits`; ties go to list order; else null.
 
-def longest_contained(text: Column, names: Sequence[str]) -> Column:
-    """Longest of ``names`` contained in the text; ties go to list order; else null."""
-    lowered = F.lower(text)
+    The longest name a text contains is always a hit, because only a longer
+    name could hide it.
+    """
     ordered = sorted(names, key=len, reverse=True)
-    return F.coalesce(*[F.when(F.contains(lowered, F.lit(n)), F.lit(n)) for n in ordered])
+    return F.coalesce(*[F.when(F.array_contains(hits, n), F.lit(n)) for n in ordered])

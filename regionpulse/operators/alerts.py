@@ -39,15 +39,20 @@ def explode_events(
     if states is not None:
         df = tag_state(df, states)
     events = filter_situation(canonical_events(F.col("eventos"), mapping), situation)
-    return df.where(F.col("estado").isNotNull()).select(
+    exploded = df.where(F.col("estado").isNotNull()).select(
         "estado",
-        F.explode(events).alias("tipo_evento"),
+        F.explode_outer(events).alias("tipo_evento"),
         "url",
         "fecha_dt",
         _has_items("victimas").alias("victimas"),
         _has_items("rescate").alias("rescate"),
         _has_items("daños").alias("danios"),
     )
+    return exploded.where(F.col("tipo_evento").isNotNull())
+
+
+# Columns every combining step carries.
+_COMBINED = ["n", "victimas", "rescate", "danios", "fecha_dt"]
 
 
 def _combine(df: DataFrame, keys: list[str], *extra: Column) -> DataFrame:
@@ -88,6 +93,11 @@ def alert_metrics(
     reports does not pile up in one task, and distinct sources need no set.
     ``urls_relacionadas`` holds the sorted URLs; a group whose URLs exceed
     ``max_url_bytes`` has null there and :func:`alert_urls` has its URLs.
+
+    The per-URL rows feed the counts and the URL lists.  Both branches keep the
+    same columns, so they read one shuffle and the reports are scanned once.
+    The groups are broadcast: states come from a list of bounded size and event
+    types from the canonical map, so there are few.
     """
     events = explode_events(filter_alert_window(df, now, hours), situation, states)
     per_url = _combine(events, [*GROUP, "url"])
@@ -103,29 +113,31 @@ def alert_metrics(
         GROUP,
         F.count("dominio").alias("fuentes"),
         F.count_if(has_source & F.col("victimas")).alias("fuentes_victimas"),
-        F.sum("bytes").alias("bytes"),
-    )
-    joined = (
-        per_url.where(F.col("url").isNotNull())
-        .join(groups.where(F.col("bytes") <= max_url_bytes), GROUP, "left_semi")
-        .groupBy(*GROUP)
-        .agg(F.array_join(F.array_sort(F.collect_list("url")), URL_SEPARATOR).alias("urls"))
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     )
-    urls = F.when(F.coalesce(F.col("bytes"), F.lit(0)) <= max_url_bytes, F.coalesce("urls", F.lit("")))
-    return groups.join(joined, GROUP, "left").select(
-        *GROUP,
-        F.lit(hours).cast("int").alias("ventana_horas"),
-        F.lit(now.isoformat(sep=" ")).cast("timestamp").alias("fecha_calculo"),
-        F.col("n").cast("long").alias("n_noticias"),
-        F.col("fuentes").alias("n_fuentes_distintas"),
-        F.col("victimas").alias("tiene_victimas"),
-        F.col("rescate").alias("tiene_rescate_activo"),
-        F.col("danios").alias("tiene_danios_estructurales"),
-        F.col("fecha_dt").alias("fecha_mas_reciente"),
-        news_level(
-            F.col("victimas"), F.col("fuentes_victimas"), F.col("rescate"), F.col("danios"), F.col("n")
-        ).alias("nivel_alerta"),
-        urls.alias("urls_relacionadas"),
+    listed = F.struct("url", *[F.col(c).alias(f"_{c}") for c in _COMBINED])
+    fits = F.col("bytes") <= max_url_bytes
+    return (
+        per_url.select(*GROUP, listed.alias("_fila"))
+        .join(F.broadcast(groups), GROUP)
+        .groupBy(*groups.columns)
+        .agg(F.collect_list(F.when(fits & F.col("_fila.url").isNotNull(), F.col("_fila"))).alias("_filas"))
+        .withColumn("_urls", F.array_join(F.array_sort("_filas")["url"], URL_SEPARATOR))
+        .select(
+            *GROUP,
+            F.lit(hours).cast("int").alias("ventana_horas"),
+            F.lit(now.isoformat(sep=" ")).cast("timestamp").alias("fecha_calculo"),
+            F.col("n").cast("long").alias("n_noticias"),
+            F.col("fuentes").alias("n_fuentes_distintas"),
+            F.col("victimas").alias("tiene_victimas"),
+            F.col("rescate").alias("tiene_rescate_activo"),
+            F.col("danios").alias("tiene_danios_estructurales"),
+            F.col("fecha_dt").alias("fecha_mas_reciente"),
+            news_level(
+                F.col("victimas"), F.col("fuentes_victimas"), F.col("rescate"), F.col("danios"), F.col("n")
+            ).alias("nivel_alerta"),
+            F.when(fits, F.col("_urls")).alias("urls_relacionadas"),
+        )
     )
 
 

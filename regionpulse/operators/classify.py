@@ -15,7 +15,7 @@ from regionpulse.functions.text import (
     empty_strings,
     keyword_hits,
     keywords_from_hits,
-    longest_contained,
+    longest_from_hits,
     normalize_text,
     strip,
     unaccent,
@@ -45,26 +45,41 @@ def resolve_dates(df: DataFrame, now: datetime) -> DataFrame:
     return df.withColumn("fecha_dt", strict_date(F.col("fecha")))
 
 
-def tag_categories(
-    df: DataFrame, lexicon: Mapping[str, Sequence[str]], text: str = "texto_clasificacion"
+def tag_text(
+    df: DataFrame,
+    lexicon: Mapping[str, Sequence[str]],
+    states: Sequence[str] = (),
+    text: str = "texto_clasificacion",
 ) -> DataFrame:
-    """One ``array<string>`` column per category with the keywords found.
+    """One ``array<string>`` column per category with its keywords, and ``estado`` if states are given.
 
-    The text is read once for all categories together.
+    The text, expected in lower case, is searched once for all terms together;
+    the hits are a column of their own that the categories and the state are
+    read from.
     """
-    vocabulary = [k for keywords in lexicon.values() for k in keywords]
+    vocabulary = [k for keywords in lexicon.values() for k in keywords] + list(states)
     if not vocabulary:
         return df.withColumns({c: empty_strings() for c in lexicon})
     hits = F.col("_hits")
-    df = df.withColumn("_hits", keyword_hits(F.col(text), vocabulary))
-    return df.withColumns(
-        {c: keywords_from_hits(hits, keywords, vocabulary) for c, keywords in lexicon.items()}
-    ).drop("_hits")
+    found = {c: keywords_from_hits(hits, keywords, vocabulary) for c, keywords in lexicon.items()}
+    if states:
+        found["estado"] = longest_from_hits(hits, states)
+    return (
+        df.withColumn("_hits", keyword_hits(F.col(text), vocabulary)).withColumns(found).drop("_hits")
+    )
+
+
+def tag_categories(
+    df: DataFrame, lexicon: Mapping[str, Sequence[str]], text: str = "texto_clasificacion"
+) -> DataFrame:
+    """One ``array<string>`` column per category with the keywords found."""
+    return tag_text(df, lexicon, text=text)
 
 
 def tag_state(df: DataFrame, states: Sequence[str], text: str = "texto_clasificacion") -> DataFrame:
     """``estado``: the longest state name in the text, or null."""
-    return df.withColumn("estado", longest_contained(F.col(text), states))
+    lowered = "_low"
+    return tag_text(df.withColumn(lowered, F.lower(text)), {}, states, lowered).drop(lowered)
 
 
 def canonical_events(c: Column, mapping: Mapping[str, str] = CANONICAL_EVENTS) -> Column:
@@ -123,11 +138,10 @@ def keyword_frequencies(
         table = F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
         label = F.coalesce(F.try_element_at(table, word), word)
     return (
-        df.select(F.explode(column).alias("_word"))
-        .select(label.alias("_label"))
-        .where(F.col("_label") != "")
-        .groupBy("_label")
+        df.select(F.explode_outer(column).alias("_word"))
+        .groupBy(label.alias("_label"))
         .agg(F.count("*").alias("n"))
+        .where(F.col("_label") != "")
         .select(capitalize(F.col("_label")).alias("etiqueta"), "n")
         .orderBy(F.desc("n"), "etiqueta")
     )
@@ -182,9 +196,10 @@ def clean_places(c: Column, aliases: Mapping[str, str], blacklist: Sequence[str]
 def mention_frequencies(df: DataFrame, column: str) -> DataFrame:
     """``(lugar, n)`` of an array column, most frequent first."""
     return (
-        df.select(F.explode(column).alias("lugar"))
+        df.select(F.explode_outer(column).alias("lugar"))
         .groupBy("lugar")
         .agg(F.count("*").alias("n"))
+        .where(F.col("lugar").isNotNull())
         .orderBy(F.desc("n"), "lugar")
     )
 
@@ -208,7 +223,7 @@ def top_states(frequencies: DataFrame, states: Sequence[str], n: int = 16) -> Da
             F.when(low == "caracas", F.lit("Distrito capital")), F.when(low.isin(*states), F.col("lugar"))
         )
     )
-    return head.select(F.explode(named).alias("lugar"), "n").orderBy(F.desc("n"), "lugar")
+    return head.select(F.explode_outer(named).alias("lugar"), "n").where(F.col("lugar").isNotNull()).orderBy(F.desc("n"), "lugar")
 
 
 def top_actors(df: DataFrame, column: str = "autoridades_actores", n: int = 15) -> DataFrame:

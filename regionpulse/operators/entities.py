@@ -6,10 +6,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regionpulse.functions.text import match_keywords
+from regionpulse.operators.classify import tag_text
 
 # Batch of texts -> (places, actors) per text.
 Extractor = Callable[[pd.Series], list[tuple[list[str], list[str]]]]
@@ -44,7 +43,4 @@ def match_entities(
     df: DataFrame, places: Sequence[str], actors: Sequence[str], column: str = "snippet_full_clean"
 ) -> DataFrame:
     """The same columns from term lists, without a model and without Python workers."""
-    text = F.col(column)
-    return df.withColumns(
-        {"lugares": match_keywords(text, places), "autoridades_actores": match_keywords(text, actors)}
-    )
+    return tag_text(df, {"lugares": places, "autoridades_actores": actors}, text=column)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regionpulse.functions.dates import parse_snippet_date
+from regionpulse.functions.dates import with_snippet_date
 from regionpulse.functions.text import strip
 from regionpulse.functions.urls import clean_redirect, resolve_href
 from regionpulse.operators.filters import valid_hit, valid_link, valid_snippet
@@ -42,13 +42,26 @@ def decode_entities(c: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """Visible text of a piece of HTML, white space collapsed."""
-    return strip(F.regexp_replace(decode_entities(F.regexp_replace(html, r"<[^>]*>", "")), r"\s+", " "))
+    text = F.regexp_replace(html, r"<[^>]*>", "")
+    decoded = F.when(F.contains(html, F.lit("&")), decode_entities(text)).otherwise(text)
+    return strip(F.regexp_replace(decoded, r"\s+", " "))
 
 
-def _keep_first_links(links: Column) -> Column:
-    """First link per address of an array of ``struct<href, title>``, page order kept."""
-    hrefs = F.transform(links, lambda l: l["href"])
-    return F.filter(links, lambda l, i: F.array_position(hrefs, l["href"]) == i + 1)
+def _explode_first_links(pages: DataFrame, links: Column, others: list[str], url: str) -> DataFrame:
+    """One row per link, the first per address, in page order; ``_i`` counts those kept.
+
+    ``links`` is an array of structs with an ``href``.  The array and its
+    addresses are columns of their own, so the comparison inside the array
+    does not compute them again for every element.
+    """
+    staged = pages.select(*others, F.col(url).alias("pagina"), links.alias("_links"))
+    staged = staged.withColumn("_hrefs", F.col("_links.href"))
+    first = F.filter("_links", lambda link, i: F.array_position(F.col("_hrefs"), link["href"]) == i + 1)
+    return (
+        staged.withColumn("_first", first)
+        .select(*others, "pagina", F.posexplode_outer("_first").alias("_i", "_link"))
+        .where(F.col("_link").isNotNull())
+    )
 
 
 def extract_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -56,21 +69,17 @@ def extract_links(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 
     A page is handled inside its row, so nothing is shuffled.
     """
-    anchors = F.arrays_zip(
-        F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(2)).alias("title"),
-    )
-    links = F.transform(
-        anchors,
-        lambda a: F.struct(
-            resolve_href(decode_entities(a["href"]), F.col(url)).alias("href"), plain_text(a["title"]).alias("title")
-        ),
-    )
-    valid = _keep_first_links(F.filter(links, lambda l: valid_link(l["title"], l["href"])))
     others = [c for c in pages.columns if c not in (url, html)]
-    return pages.select(
-        *others, F.col(url).alias("pagina"), F.posexplode(valid).alias("_i", "_link")
-    ).select(
+    anchors = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
+
+    def link(anchor: Column) -> Column:
+        return F.struct(
+            resolve_href(decode_entities(F.regexp_extract(anchor, ANCHOR, 1)), F.col(url)).alias("href"),
+            plain_text(F.regexp_extract(anchor, ANCHOR, 2)).alias("title"),
+        )
+
+    links = F.filter(F.transform(anchors, link), lambda a: valid_link(a["title"], a["href"]))
+    return _explode_first_links(pages, links, others, url).select(
         *others,
         "pagina",
         (F.col("_i") + 1).alias("rank"),
@@ -87,33 +96,36 @@ def extract_results(pages: DataFrame, now: datetime, url: str = "url", html: str
     """
     others = [c for c in pages.columns if c not in (url, html)]
 
-    def inner(block: Column, pattern: str) -> Column:
-        return F.regexp_extract(block, pattern, 2)
+    def parts(block: Column) -> Column:
+        return F.struct(
+            F.regexp_extract(block, TITLE_LINK, 0).alias("anchor"),
+            plain_text(F.regexp_extract(block, SHOWN_ADDRESS, 2)).alias("displayed_url"),
+            plain_text(F.regexp_extract(block, SNIPPET, 2)).alias("snippet"),
+        )
 
-    def hit(block: Column) -> Column:
-        anchor = F.regexp_extract(block, TITLE_LINK, 0)
-        snippet = plain_text(inner(block, SNIPPET))
+    def hit(p: Column) -> Column:
+        target = F.nullif(F.regexp_extract(p["anchor"], ANCHOR, 1), F.lit(""))
         return F.struct(
-            resolve_href(decode_entities(F.regexp_extract(anchor, ANCHOR, 1)), F.col(url)).alias("href"),
-            plain_text(F.regexp_extract(anchor, ANCHOR, 2)).alias("title"),
-            plain_text(inner(block, SHOWN_ADDRESS)).alias("displayed_url"),
-            F.when(valid_snippet(snippet), snippet).otherwise("").alias("snippet"),
-            (F.regexp_extract(anchor, ANCHOR, 1) != "").alias("linked"),
+            resolve_href(decode_entities(target), F.col(url)).alias("href"),
+            plain_text(F.regexp_extract(p["anchor"], ANCHOR, 2)).alias("title"),
+            p["displayed_url"].alias("displayed_url"),
+            F.when(valid_snippet(p["snippet"]), p["snippet"]).otherwise("").alias("snippet"),
         )
 
     blocks = F.regexp_extract_all(F.col(html), F.lit(RESULT_BLOCK), F.lit(2))
-    hits = F.filter(F.transform(blocks, hit), lambda h: h["linked"] & valid_hit(h["href"]))
-    return pages.select(
-        *others, F.col(url).alias("pagina"), F.posexplode(_keep_first_links(hits)).alias("_i", "_hit")
-    ).select(
+    hits = F.filter(F.transform(F.transform(blocks, parts), hit), lambda h: valid_hit(h["href"]))
+    rows = _explode_first_links(pages, hits, others, url).select(
+        *others, "pagina", (F.col("_i") + 1).alias("rank"), "_link.*"
+    )
+    return with_snippet_date(rows, "snippet", "fecha", now).select(
         *others,
         "pagina",
-        (F.col("_i") + 1).alias("rank"),
-        F.col("_hit.title").alias("title"),
-        clean_redirect(F.col("_hit.href")).alias("url"),
-        F.col("_hit.displayed_url").alias("displayed_url"),
-        parse_snippet_date(F.col("_hit.snippet"), now).alias("fecha"),
-        F.col("_hit.snippet").alias("snippet"),
-        F.col("_hit.snippet").alias("snippet_full"),
+        "rank",
+        "title",
+        clean_redirect(F.col("href")).alias("url"),
+        "displayed_url",
+        "fecha",
+        "snippet",
+        F.col("snippet").alias("snippet_full"),
         F.lit("").alias("rich_type"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from regionpulse.functions.geo import EARTH_RADIUS_KM, haversine_km
 from regionpulse.functions.levels import quake_level
+from regionpulse.functions.numbers import round_scaled
 from regionpulse.functions.text import choice_name
 from regionpulse.sources.dimensions import plan_values
 
@@ -164,7 +165,7 @@ def quake_metrics(
     limits = [F.coalesce(name, F.lit(value)) for name, value in zip(levels, default[1:], strict=True)]
 
     def or_zero(c: str) -> Column:
-        return F.when(quiet, F.lit(0.0)).otherwise(F.round(c, 2))
+        return F.when(quiet, F.lit(0.0)).otherwise(round_scaled(F.col(c)))
 
     return (
         states.select("estado", "ord")

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from regionpulse.functions.levels import RAIN_RATIOS, rain_level, rain_priority
+from regionpulse.functions.numbers import round_exact
 from regionpulse.functions.text import choice_name
 
 
@@ -54,14 +55,17 @@ def rain_risk(
     min_normal_mm: float = 15.0,
     ratios: Mapping[str, float] = RAIN_RATIOS,
 ) -> DataFrame:
-    """Rain level per state; states without any earlier year are left out."""
+    """Rain level per state.
+
+    States without any earlier year, or with nothing to divide by, are left out.
+    """
     past = F.when(F.col("k") > 0, F.col("total"))
     per_state = (
         rain_windows(daily, start, end, years)
         .groupBy("estado")
         .agg(
             F.coalesce(F.max(F.when(F.col("k") == 0, F.col("total"))), F.lit(0.0)).alias("acumulado"),
-            F.round(F.median(past), 2).alias("normal_historico"),
+            round_exact(F.median(past)).alias("normal_historico"),
             F.count(past).alias("anios_historicos_usados"),
         )
         .where(F.col("anios_historicos_usados") > 0)
@@ -71,18 +75,19 @@ def rain_risk(
     return (
         states.select("estado", "capital")
         .join(per_state, "estado")
-        .withColumn("_riesgo", F.round(F.col("acumulado") / effective, 2))
+        .withColumn("_riesgo", round_exact(F.try_divide("acumulado", effective)))
+        .where(ratio.isNotNull())
         .select(
             "estado",
             "capital",
-            F.round("acumulado", 2).alias("acumulado"),
+            round_exact(F.col("acumulado")).alias("acumulado"),
             "normal_historico",
             "anios_historicos_usados",
             rain_level(ratio, ratios).alias("alerta"),
             rain_priority(rain_level(ratio, ratios)).alias("prioridad"),
-            F.round(ratio * 100, 2).alias("saturacion"),
+            round_exact(ratio * 100).alias("saturacion"),
             *[
-                F.round(effective * ratios[level], 2).alias(f"umbral_{level}")
+                round_exact(effective * ratios[level]).alias(f"umbral_{level}")
                 for level in ("amarillo", "naranja", "rojo")
             ],
         )

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionpulse.functions.levels import UNKNOWN_WHEN_MATCHING, severity
-from regionpulse.functions.text import longest_contained
-from regionpulse.operators.classify import Situation, canonical_events, filter_situation, situation_list
+from regionpulse.operators.classify import Situation, canonical_events, filter_situation, situation_list, tag_state
 from regionpulse.operators.dedupe import first_per_group
 from regionpulse.operators.filters import located_with_events
 from regionpulse.sources.dimensions import CANONICAL_EVENTS, event_types
@@ -52,9 +51,8 @@ def enrich_with_alert(
     """
     types = event_types(mapping)
     if states is not None:
-        news = news.withColumn(
-            "estado", F.coalesce("estado", longest_contained(F.col("texto_clasificacion"), states))
-        )
+        given = news.withColumnRenamed("estado", "_dado")
+        news = tag_state(given, states).withColumn("estado", F.coalesce("_dado", "estado")).drop("_dado")
     news = located_with_events(
         news.withColumn("tipos_evento_canonico", canonical_events(F.col("eventos"), mapping))
     )

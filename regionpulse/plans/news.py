@@ -16,8 +16,7 @@ from regionpulse.operators.classify import (
     Situation,
     clean_texts,
     resolve_dates,
-    tag_categories,
-    tag_state,
+    tag_text,
 )
 from regionpulse.operators.contracts import prepare_metrics, prepare_news
 from regionpulse.operators.dedupe import accumulate, drop_redundant, merge_parts
@@ -81,8 +80,7 @@ def process_news(
     if settings.foreign_terms:
         df = exclude_terms(df, settings.foreign_terms)
     df = df.withColumn("red_social", social_network(F.col("url")))
-    df = tag_state(tag_categories(df, settings.lexicon), settings.states)
-    return drop_redundant(df)
+    return drop_redundant(tag_text(df, settings.lexicon, settings.states))
 
 
 def publish_news(

@@ -49,6 +49,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores, for work that is heavy per row.
+
+    A file with one row group is one task however many cores there are.  An
+    input that already has a task per core is returned as it is, so a large
+    scan is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def stage(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -11,6 +11,7 @@ from regionpulse.functions import urls
 from regionpulse.operators import filters as R
 from regionpulse.operators import links as L
 from regionpulse.operators import searchgrid as G
+from regionpulse.session import spread
 from regionpulse.sources import dimensions
 from workload.standins import choices, states, table
 
@@ -61,12 +62,12 @@ def valid_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    return L.extract_links(table(spark, sf, "pages"))
+    return L.extract_links(spread(table(spark, sf, "pages")))
 
 
 def page_results(spark: SparkSession, sf: str) -> DataFrame:
     """Documents laid out as result blocks, two per page, read back as hits."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     body = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
     block = F.concat(
         F.lit('<article data-testid="result"><h2><a href="https://a.example.com/'), F.col("source"), F.lit("/"),

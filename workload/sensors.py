@@ -168,8 +168,13 @@ QUERIES = {
 
 
 def _r2(x: str) -> str:
-    """Two decimals, half away from zero on the decimal digits."""
-    return f"CAST(round(CAST({x} AS DECIMAL(30, 10)), 2) AS DOUBLE)"
+    """Two decimals nearest to the exact binary value."""
+    return f"CAST(printf('%.2f', {x}) AS DOUBLE)"
+
+
+def _scaled(x: str) -> str:
+    """Two decimals by scaling and rounding to even."""
+    return f"round_even({x} * 100, 0) / 100"
 
 
 def _windows(start: str, end: str, years: int) -> str:
@@ -221,8 +226,8 @@ limits AS (
 ),
 metrics AS (
   SELECT lower(s.estado) AS estado, CAST(30 AS INTEGER) AS ventana_dias, CAST(coalesce(n, 0) AS INTEGER) AS n_sismos,
-         coalesce({_r2('maxima')}, 0.0) AS magnitud_maxima, coalesce({_r2('media')}, 0.0) AS magnitud_promedio,
-         coalesce({_r2('prof')}, 0.0) AS profundidad_promedio_km,
+         coalesce({_scaled('maxima')}, 0.0) AS magnitud_maxima, coalesce({_scaled('media')}, 0.0) AS magnitud_promedio,
+         coalesce({_scaled('prof')}, 0.0) AS profundidad_promedio_km,
          CASE WHEN maxima >= c THEN 'rojo' WHEN maxima >= b THEN 'naranja' WHEN maxima >= a THEN 'amarillo' ELSE 'verde' END AS nivel_alerta
   FROM states s LEFT JOIN stats t ON s.estado = t.estado JOIN limits l ON s.estado = l.estado
 )

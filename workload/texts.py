@@ -13,7 +13,7 @@ from regionpulse.operators import classify as C
 from regionpulse.operators import entities as E
 from regionpulse.operators import filters as R
 from regionpulse.plans.news import NewsSettings, collect_raw, process_news
-from regionpulse.session import scratch_path
+from regionpulse.session import scratch_path, spread
 from regionpulse.sources import readers
 from workload.standins import day_text, joined, strings, table
 
@@ -35,7 +35,7 @@ BLACKLIST = ["green gear", "bolt", "economy"]
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"))
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,14 +155,13 @@ def snippets(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("hace "), n, F.lit(" horas")),
         F.concat(F.lit("hace "), n, F.lit(" meses")),
     ]
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         "o_orderkey", F.element_at(F.array(*forms), (F.col("o_orderkey") % 16 + 1).cast("int")).alias("snippet_full")
     )
 
 
 def snippet_dates(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = dates.parse_snippet_date(F.col("snippet_full"), REF)
-    return snippets(spark, sf).select("o_orderkey", parsed.alias("fecha"))
+    return dates.with_snippet_date(snippets(spark, sf), "snippet_full", "fecha", REF).select("o_orderkey", "fecha")
 
 
 def leading_date(spark: SparkSession, sf: str) -> DataFrame:
