@@ -78,12 +78,48 @@ def alert_urls(
     return events.where(F.col("url").isNotNull()).select(*GROUP, "url").distinct()
 
 
+def _count_groups(rows: DataFrame) -> DataFrame:
+    """Reports, or reports combined per URL, -> per source -> per group."""
+    per_source = _combine(
+        rows.withColumn("dominio", domain(F.col("url"))),
+        [*GROUP, "dominio"],
+        F.sum(F.octet_length("url") + len(URL_SEPARATOR)).alias("bytes"),
+    )
+    return _combine(
+        per_source,
+        GROUP,
+        F.count("dominio").alias("fuentes"),
+        F.count_if(F.col("dominio").isNotNull() & F.col("victimas")).alias("fuentes_victimas"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+    )
+
+
+def _list_urls(per_url: DataFrame, groups: DataFrame, max_url_bytes: int) -> DataFrame:
+    """Groups with their sorted URLs as one text, where it fits.
+
+    The per-URL rows feed the counts and the lists.  The listed rows keep every
+    column, so both branches read one shuffle and the reports are scanned once.
+    The groups are broadcast: states come from a list of bounded size and event
+    types from the canonical map, so there are few.
+    """
+    row = F.struct("url", *[F.col(c).alias(f"_{c}") for c in _COMBINED])
+    fits = F.col("bytes") <= max_url_bytes
+    return (
+        per_url.select(*GROUP, row.alias("_fila"))
+        .join(F.broadcast(groups), GROUP)
+        .groupBy(*groups.columns)
+        .agg(F.collect_list(F.when(fits & F.col("_fila.url").isNotNull(), F.col("_fila"))).alias("_filas"))
+        .withColumn("urls", F.when(fits, F.array_join(F.array_sort("_filas")["url"], URL_SEPARATOR)))
+    )
+
+
 def alert_metrics(
     df: DataFrame,
     hours: int,
     now: datetime,
     situation: Situation = None,
     states: Sequence[str] | None = None,
+    urls: bool = True,
     max_url_bytes: int = MAX_JOINED_URL_BYTES,
 ) -> DataFrame:
     """Counts, sources, flags, latest date and level per state and event type.
@@ -91,53 +127,32 @@ def alert_metrics(
     Reports are combined per URL, then per source, then per group.  Each step
     combines inside the tasks first, so one group or source with most of the
     reports does not pile up in one task, and distinct sources need no set.
-    ``urls_relacionadas`` holds the sorted URLs; a group whose URLs exceed
-    ``max_url_bytes`` has null there and :func:`alert_urls` has its URLs.
 
-    The per-URL rows feed the counts and the URL lists.  Both branches keep the
-    same columns, so they read one shuffle and the reports are scanned once.
-    The groups are broadcast: states come from a list of bounded size and event
-    types from the canonical map, so there are few.
+    ``urls_relacionadas`` holds the sorted URLs; a group whose URLs exceed
+    ``max_url_bytes`` has null there and :func:`alert_urls` has its URLs.  Where
+    only the levels are needed, ``urls=False`` leaves the column null and saves
+    the step per URL.
     """
     events = explode_events(filter_alert_window(df, now, hours), situation, states)
-    per_url = _combine(events, [*GROUP, "url"])
-    url_bytes = F.octet_length("url") + len(URL_SEPARATOR)
-    per_source = _combine(
-        per_url.withColumn("dominio", domain(F.col("url"))),
-        [*GROUP, "dominio"],
-        F.sum(url_bytes).alias("bytes"),
-    )
-    has_source = F.col("dominio").isNotNull()
-    groups = _combine(
-        per_source,
-        GROUP,
-        F.count("dominio").alias("fuentes"),
-        F.count_if(has_source & F.col("victimas")).alias("fuentes_victimas"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-    )
-    listed = F.struct("url", *[F.col(c).alias(f"_{c}") for c in _COMBINED])
-    fits = F.col("bytes") <= max_url_bytes
-    return (
-        per_url.select(*GROUP, listed.alias("_fila"))
-        .join(F.broadcast(groups), GROUP)
-        .groupBy(*groups.columns)
-        .agg(F.collect_list(F.when(fits & F.col("_fila.url").isNotNull(), F.col("_fila"))).alias("_filas"))
-        .withColumn("_urls", F.array_join(F.array_sort("_filas")["url"], URL_SEPARATOR))
-        .select(
-            *GROUP,
-            F.lit(hours).cast("int").alias("ventana_horas"),
-            F.lit(now.isoformat(sep=" ")).cast("timestamp").alias("fecha_calculo"),
-            F.col("n").cast("long").alias("n_noticias"),
-            F.col("fuentes").alias("n_fuentes_distintas"),
-            F.col("victimas").alias("tiene_victimas"),
-            F.col("rescate").alias("tiene_rescate_activo"),
-            F.col("danios").alias("tiene_danios_estructurales"),
-            F.col("fecha_dt").alias("fecha_mas_reciente"),
-            news_level(
-                F.col("victimas"), F.col("fuentes_victimas"), F.col("rescate"), F.col("danios"), F.col("n")
-            ).alias("nivel_alerta"),
-            F.when(fits, F.col("_urls")).alias("urls_relacionadas"),
-        )
+    if urls:
+        per_url = _combine(events, [*GROUP, "url"])
+        groups = _list_urls(per_url, _count_groups(per_url), max_url_bytes)
+    else:
+        groups = _count_groups(events).withColumn("urls", F.lit(None).cast("string"))
+    return groups.select(
+        *GROUP,
+        F.lit(hours).cast("int").alias("ventana_horas"),
+        F.lit(now.isoformat(sep=" ")).cast("timestamp").alias("fecha_calculo"),
+        F.col("n").cast("long").alias("n_noticias"),
+        F.col("fuentes").alias("n_fuentes_distintas"),
+        F.col("victimas").alias("tiene_victimas"),
+        F.col("rescate").alias("tiene_rescate_activo"),
+        F.col("danios").alias("tiene_danios_estructurales"),
+        F.col("fecha_dt").alias("fecha_mas_reciente"),
+        news_level(
+            F.col("victimas"), F.col("fuentes_victimas"), F.col("rescate"), F.col("danios"), F.col("n")
+        ).alias("nivel_alerta"),
+        F.col("urls").alias("urls_relacionadas"),
     )
 
 

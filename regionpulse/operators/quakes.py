@@ -17,6 +17,9 @@ from regionpulse.sources.dimensions import plan_values
 # Fixed value: bounding box of the scanned area, with a margin.
 BOUNDING_BOX = {"min_lat": 0.5, "max_lat": 13.0, "min_lon": -73.5, "max_lon": -59.5}
 
+# Up to this many capitals per grid cell are compared by generated code.
+CAPITALS_UNROLLED = 16
+
 # Capitals per broadcast; a longer list is taken in slices of this size.
 CAPITALS_PER_SLICE = 20_000
 
@@ -95,6 +98,16 @@ def _cells_of_capitals(states: DataFrame, radius_km: float, cell_deg: float) ->
     )
 
 
+def _nearest(capital: Column) -> Column:
+    """Distance to a capital, its position and its state; the order of preference."""
+    km = haversine_km(F.col("lat"), F.col("lon"), capital["lat"], capital["lon"])
+    return F.struct(
+        (F.rint(km * 1e6) / 1e6).alias("km"),
+        capital["ord"].cast("int").alias("ord"),
+        capital["estado"].alias("estado"),
+    )
+
+
 def assign_nearest_state(
     events: DataFrame, states: DataFrame, radius_km: float, slice_size: int = CAPITALS_PER_SLICE
 ) -> DataFrame:
@@ -106,8 +119,7 @@ def assign_nearest_state(
     taken in slices, each small enough to broadcast, keeping the best so far.
     """
     cell_deg = max(math.degrees(radius_km / EARTH_RADIUS_KM), 0.01)
-    total = states.count()
-    slices = max(1, -(-total // slice_size))
+    slices = max(1, -(-states.count() // slice_size))
     result = events.withColumns(
         {
             "_cy": F.floor(F.col("lat") / cell_deg),
@@ -117,26 +129,16 @@ def assign_nearest_state(
     )
     for i in range(slices):
         part = states if slices == 1 else states.where(F.pmod(F.xxhash64("estado", "ord"), F.lit(slices)) == i)
-        cells = F.broadcast(
-            _cells_of_capitals(part, radius_km, cell_deg).select(
-                F.col("cy").alias("_cy"), F.col("cx").alias("_cx"), "capitals"
-            )
-        )
-        nearest = F.array_min(
-            F.transform(
-                "capitals",
-                lambda c: F.struct(
-                    F.round(haversine_km(F.col("lat"), F.col("lon"), c["lat"], c["lon"]), 6).alias("km"),
-                    c["ord"].cast("int").alias("ord"),
-                    c["estado"].alias("estado"),
-                ),
-            )
-        )
-        result = (
-            result.join(cells, ["_cy", "_cx"], "left")
-            .withColumn("_best", F.least("_best", nearest))
-            .drop("capitals")
-        )
+        cells = _cells_of_capitals(part, radius_km, cell_deg)
+        most = cells.agg(F.coalesce(F.max(F.size("capitals")), F.lit(0))).first()[0]
+        if most <= CAPITALS_UNROLLED:
+            found = [_nearest(F.get("capitals", F.lit(j))) for j in range(most)]
+            known = [F.when(F.size("capitals") > j, option) for j, option in enumerate(found)]
+            best = F.least("_best", *known) if known else F.col("_best")
+        else:
+            best = F.least("_best", F.array_min(F.transform("capitals", _nearest)))
+        near = F.broadcast(cells.select(F.col("cy").alias("_cy"), F.col("cx").alias("_cx"), "capitals"))
+        result = result.join(near, ["_cy", "_cx"], "left").withColumn("_best", best).drop("capitals")
     within = F.when(F.col("_best.km") <= radius_km, F.col("_best.estado"))
     return result.withColumn("estado", within).drop("_cy", "_cx", "_best")
 

@@ -83,7 +83,7 @@ def has_situation(spark: SparkSession, sf: str) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     df = news(spark, sf)
-    return S.enrich_with_alert(df, A.alert_metrics(df, HOURS, NOW))
+    return S.enrich_with_alert(df, A.alert_metrics(df, HOURS, NOW, urls=False))
 
 
 def most_severe_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +98,7 @@ def topk_per_situation(spark: SparkSession, sf: str) -> DataFrame:
 def topk_merge(spark: SparkSession, sf: str) -> DataFrame:
     df = news(spark, sf)
     sent = df.where("criterio_busqueda = 'signup'").select("url")
-    chosen = S.select_news(df, A.alert_metrics(df, HOURS, NOW), sent, SITUATIONS, k=25)
+    chosen = S.select_news(df, A.alert_metrics(df, HOURS, NOW, urls=False), sent, SITUATIONS, k=25)
     return chosen.select("situacion", "orden", "event_id", "url")
 
 
@@ -136,7 +136,7 @@ def submission_xml(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_keys_new(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = S.with_alert_key(A.alert_metrics(news(spark, sf), HOURS, NOW))
+    keyed = S.with_alert_key(A.alert_metrics(news(spark, sf), HOURS, NOW, urls=False))
     sent = keyed.where("nivel_alerta = 'Naranja'").select("clave")
     return S.not_in_ledger(keyed, sent, "clave").select("clave", "n_noticias")
 

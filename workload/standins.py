@@ -31,8 +31,8 @@ def strings(*values: str) -> Column:
 
 def news(spark: SparkSession, sf: str) -> DataFrame:
     """Events as processed news: dated, tagged reports with a source, a state and flags."""
-    e = table(spark, sf, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     site = F.when(k % 3 == 0, "https://www.s").when(k % 3 == 1, "https://s").otherwise("HTTP://WWW.S")
     kind = F.col("event_type")
     words = (
