@@ -15,6 +15,7 @@ def spark():
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="4g", spark__ui__showConsoleProgress="false",
+        spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -66,7 +66,7 @@ def test_sliding_alerts_equal_batch(spark, tmp_path):
     dated_batch, _ = SN.split_undated(explode_events(batch))
     direct = SN.alerts_from_sources(SN.sliding_alerts(dated_batch, hours=72, slide_hours=24))
     assert sorted(map(str, streamed.collect())) == sorted(map(str, direct.collect()))
-    assert direct.count() > 20
+    assert direct.count() > 5
 
 
 def test_ledger_stream_sends_each_key_once(spark, tmp_path):

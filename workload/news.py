@@ -163,14 +163,14 @@ def ledger_batches(spark: SparkSession, sf: str) -> DataFrame:
     return ledgers.read_sent_ledger(spark, compact)
 
 
-def _sends(batch):
-    return [(500, "rejected") if url.endswith("7") else (201, "") for url in batch["enlace"]]
-
-
 def publish_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """Rows sent through a sink that rejects some; only accepted ones remain."""
+
+    def deliver(batch):
+        return [(500, "rejected") if url.endswith("7") else (201, "") for url in batch["enlace"]]
+
     rows = K.prepare_news(_enriched(spark, sf), "event_id")
-    outcomes = sinks.publish(rows, "event_id", _sends, scratch_path(spark, "outcomes"))
+    outcomes = sinks.publish(rows, "event_id", deliver, scratch_path(spark, "outcomes"))
     return sinks.sent_rows(rows, "event_id", outcomes).select("event_id", "enlace")
 
 

@@ -249,15 +249,16 @@ def match_entities(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", joined("lugares"), joined("autoridades_actores"))
 
 
-def _make_extractor():
-    def extract(values: pd.Series) -> list[tuple[list[str], list[str]]]:
-        return [([w for w in GAZETTEER if w in v], [w for w in STATES if w in v]) for v in values]
+def extract_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through the hook for models, with a stand-in for the model."""
 
-    return extract
+    def make_extractor():
+        def extract(values: pd.Series) -> list[tuple[list[str], list[str]]]:
+            return [([w for w in GAZETTEER if w in v], [w for w in STATES if w in v]) for v in values]
 
+        return extract
 
-def extract_entities(spark: SparkSession, sf: str) -> DataFrame:
-    found = E.extract_entities(clean(spark, sf), _make_extractor, "texto")
+    found = E.extract_entities(clean(spark, sf), make_extractor, "texto")
     return found.select("doc_id", joined("lugares"), joined("autoridades_actores"))
 
 
