@@ -35,8 +35,14 @@ INTERFACE_PHRASES = [
 
 
 def filter_leading_date(df: DataFrame, column: str = "snippet_full") -> DataFrame:
-    """Rows whose text starts with a recognised date; null text is dropped."""
-    return df.where(unaccent(F.col(column)).rlike(LEADING_DATE))
+    """Rows whose text starts with a recognised date; null text is dropped.
+
+    A recognised date is at the start and has at most three words.  The first
+    four words that keep a character when transliterated therefore decide for
+    the whole text, and only they are transliterated.
+    """
+    words = F.regexp_extract(column, r"^(?:[^!-~]*[!-~]\S*){0,4}", 0)
+    return df.where(unaccent(words).rlike(LEADING_DATE))
 
 
 def is_excluded_domain(

@@ -69,13 +69,13 @@ def process_news(
 ) -> DataFrame:
     """Cleaned, filtered and tagged news.
 
-    Filters run from cheap to costly and before the tagging: leading date,
-    domain, empty snippet, date window, then the place names.
+    The filters are independent of each other and run from cheap to costly,
+    before the tagging: domain, date window, empty snippet, leading date, then
+    the place names in the cleaned text.
     """
-    df = filter_leading_date(raw)
-    df = filter_excluded_domains(df, settings.excluded_domains)
-    df = filter_empty_snippet(df)
+    df = filter_excluded_domains(raw, settings.excluded_domains)
     df = filter_date_window(resolve_dates(df, now), start, end)
+    df = filter_leading_date(filter_empty_snippet(df))
     df = filter_gazetteer(clean_texts(df), settings.gazetteer)
     if settings.foreign_terms:
         df = exclude_terms(df, settings.foreign_terms)

@@ -138,7 +138,7 @@ def test_top_places_limit_before_filter(spark):
 
 
 def test_leading_date_filter(spark):
-    keep = ["3 jul 2026Caracas", "  14 Septiembre. 2025 x", "hace 3 días", "Hace un momento", "hace 2 minutos"]
+    keep = ["🔥 🔥 🔥 🔥 🔥 3 j🔥ul 2026", "³\u00a0jul 2026", "3 jul 2026Caracas", "  14 Septiembre. 2025 x", "hace 3 días", "Hace un momento", "hace 2 minutos"]
     drop = ["4 de julio de 2026", "ayer", "2026-07-04", "4 set 2025", "hace 2 semanas", "Jul 4, 2026", None, ""]
     df = spark.createDataFrame([(t,) for t in keep + drop], "snippet_full string")
     assert sorted(r[0] for r in R.filter_leading_date(df).collect()) == sorted(keep)
