@@ -13,6 +13,9 @@ from regionpulse.sources.schemas import REDUNDANT_COLUMNS
 # Up to this many rows per group Spark limits each group before the shuffle.
 MAP_SIDE_LIMIT = 1000
 
+# Slices a group is ranked in first when more rows are wanted.
+GROUP_SLICES = 4096
+
 
 def first_per_group(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], k: int = 1, rank: str | None = None
@@ -26,7 +29,7 @@ def first_per_group(
     """
     position = rank or "_pos"
     if k > MAP_SIDE_LIMIT:
-        slices = F.pmod(F.xxhash64(*df.columns), F.lit(256))
+        slices = F.pmod(F.xxhash64(*df.columns), F.lit(GROUP_SLICES))
         inner = W.partitionBy(*keys, "_slice").orderBy(*order)
         df = (
             df.withColumn("_slice", slices)

@@ -46,9 +46,12 @@ def dedupe_counters(before: DataFrame, key: str) -> DataFrame:
 
 
 def ledger_counters(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
-    """Rows in total, and rows a ledger already holds."""
+    """Rows in total, and rows a ledger already holds; counted per key before the join."""
+    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
     known = ledger.select(F.col(key).alias("_known")).distinct()
-    joined = df.join(known, F.col(key) == F.col("_known"), "left")
+    joined = per_key.join(known, F.col(key) == F.col("_known"), "left")
+    held = F.when(F.col("_known").isNotNull(), F.col("n"))
     return joined.agg(
-        F.count("*").alias("filas"), F.count_if(F.col("_known").isNotNull()).alias("omitidas")
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("filas"),
+        F.coalesce(F.sum(held), F.lit(0)).cast("long").alias("omitidas"),
     )

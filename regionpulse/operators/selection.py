@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regionpulse.functions.levels import UNKNOWN_WHEN_MATCHING, severity
 from regionpulse.operators.classify import Situation, canonical_events, filter_situation, situation_list, tag_state
@@ -32,8 +33,13 @@ def not_in_ledger(df: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
 
     A ledger only grows, so it is never forced into a broadcast: adaptive
     execution picks one when it is small and splits skewed keys otherwise.
+    Rows without a key match nothing; they get scattered stand-in keys, so that
+    many of them do not meet in one task.
     """
-    return df.join(ledger.select(key), key, "left_anti")
+    others = [f.name for f in df.schema if f.name != key and not isinstance(f.dataType, T.MapType)]
+    scattered = F.concat(F.lit("\u0000"), F.xxhash64(F.lit(0), *others).cast("string"))
+    sent = ledger.select(F.col(key).alias("_sent"))
+    return df.join(sent, F.coalesce(F.col(key), scattered) == F.col("_sent"), "left_anti")
 
 
 def enrich_with_alert(

@@ -14,9 +14,16 @@ from regionpulse.functions.urls import social_network
 from regionpulse.operators.alerts import alert_metrics, sort_alerts
 from regionpulse.operators.classify import (
     Situation,
+    category_coverage,
     clean_texts,
+    keyword_frequencies,
+    mention_frequencies,
     resolve_dates,
     tag_text,
+    top_actors,
+    top_places,
+    top_states,
+    total_mentions,
 )
 from regionpulse.operators.contracts import prepare_metrics, prepare_news
 from regionpulse.operators.dedupe import accumulate, drop_redundant, merge_parts
@@ -32,6 +39,7 @@ from regionpulse.operators.filters import (
 from regionpulse.operators.selection import not_in_ledger, select_news, with_alert_key
 from regionpulse.session import stage
 from regionpulse.sources import ledgers, readers, sinks
+from regionpulse.sources.schemas import IMPACT_CATEGORIES, ZONE_CATEGORIES
 
 
 Deliver = Callable[[pd.DataFrame], list[tuple[int, str]]]
@@ -136,3 +144,33 @@ def run_news(
     processed = stage(process_news(raw, settings, now, start, end), f"{out}/procesadas")
     alerts = sort_alerts(alert_metrics(processed, settings.window_hours, now, settings.situation))
     return processed, stage(alerts, f"{out}/alertas")
+
+
+def news_summaries(
+    processed: DataFrame, frequency_groups: Mapping[str, Mapping[str, Sequence[str]]] | None = None
+) -> dict[str, DataFrame]:
+    """Exploratory counts: zones, impact, care places and event types.
+
+    ``frequency_groups`` maps a keyword column to its labels and their keywords.
+    """
+    groups = frequency_groups or {}
+    return {
+        "zonas_afectadas": category_coverage(processed, ZONE_CATEGORIES),
+        "nivel_afectacion": category_coverage(processed, IMPACT_CATEGORIES),
+        "centros_atencion": keyword_frequencies(processed, "atencion", groups.get("atencion")),
+        "tipos_eventos": keyword_frequencies(processed, "eventos", groups.get("eventos")),
+    }
+
+
+def place_summaries(
+    processed: DataFrame, states: Sequence[str], places: int = 100, actors: int = 15
+) -> dict[str, DataFrame]:
+    """Totals and most frequent places, states and actors of news with entities."""
+    frequencies = mention_frequencies(processed, "lugares_clean")
+    return {
+        "total_lugares": total_mentions(processed, "lugares_clean"),
+        "top_estados": top_states(frequencies, states),
+        "top_destinos": top_places(frequencies, states, places),
+        "total_actores": total_mentions(processed, "autoridades_actores"),
+        "top_actores": top_actors(processed, n=actors),
+    }

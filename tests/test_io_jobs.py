@@ -176,6 +176,18 @@ def test_news_job(spark, tmp_path):
     assert {f.name: f.dataType for f in processed.schema} == {f.name: f.dataType for f in PROCESSED_NEWS}
     got = [(r.estado, r.tipo_evento, r.nivel_alerta, r.n_noticias, r.n_fuentes_distintas) for r in alerts.collect()]
     assert got == [("lara", "lluvias", "Rojo", 3, 3), ("la guaira", "sismo", "Amarillo", 2, 1)]
+    summaries = P.news_summaries(processed, {"eventos": {"lluvias": ["lluvi"]}})
+    assert [(r.etiqueta, r.n) for r in summaries["tipos_eventos"].collect()] == [("Lluvias", 4), ("Sismo", 2)]
+    assert {r.categoria: r.n for r in summaries["nivel_afectacion"].collect()} == {"Victimas": 2, "Rescate": 1, "Daños": 1}
+    assert summaries["zonas_afectadas"].count() == 8 and summaries["centros_atencion"].count() == 0
+    placed = processed.withColumns(
+        {"lugares_clean": F.array(F.lit("Lara"), F.lit("Coro")), "autoridades_actores": F.array(F.lit("x"))}
+    )
+    places = P.place_summaries(placed, ["lara"])
+    assert places["total_lugares"].first().total == 12 and places["total_actores"].first().total == 6
+    assert [r.lugar for r in places["top_destinos"].collect()] == ["Coro"]
+    assert [r.lugar for r in places["top_estados"].collect()] == ["Lara"]
+    assert [tuple(r) for r in places["top_actores"].collect()] == [("x", 6)]
     assert tag_state(processed.drop("estado"), SETTINGS.states).where("estado = 'lara'").count() == 3
 
 
