@@ -118,9 +118,12 @@ def explode_situations(
 def select_top(news: DataFrame, k: int, group: Sequence[str] = ("situacion_pos",)) -> DataFrame:
     """At most ``k`` news per situation: most severe first, then latest, undated last.
 
-    ``orden`` is the position inside the situation.
+    Ties end with the URL, the title and the query, so the choice does not
+    depend on the layout of the input.  ``orden`` is the position inside the
+    situation.
     """
-    order = [severity(F.col("nivel_alerta_asociado")), F.desc_nulls_last("fecha_dt"), F.col("url")]
+    ties = [c for c in ("url", "title", "criterio_busqueda") if c in news.columns]
+    order = [severity(F.col("nivel_alerta_asociado")), F.desc_nulls_last("fecha_dt"), *ties]
     return first_per_group(news, list(group), order, k=k, rank="orden")
 
 

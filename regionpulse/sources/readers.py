@@ -17,6 +17,9 @@ from regionpulse.sources.schemas import PROCESSED_NEWS, QUAKE_GEOJSON, RAIN_JSON
 
 log = logging.getLogger(__name__)
 
+# Arrays are exploded as outer and nulls dropped after: a plain explode makes the
+# planner repeat the expression behind the array in a filter on its size.
+
 SOURCE_ORDER = "orden_fuente"
 _TOO_MANY = "__campo_sobrante"
 
@@ -134,11 +137,15 @@ def explode_rain_documents(df: DataFrame) -> DataFrame:
 
     A missing amount is 0.0; a document without days gives no rows.
     """
-    day = F.explode(F.arrays_zip(F.col("daily.time").alias("time"), F.col("daily.precipitation_sum").alias("mm")))
-    return df.select("estado", day.alias("d")).select(
-        "estado",
-        F.try_to_date(F.col("d.time"), "yyyy-MM-dd").alias("fecha"),
-        F.coalesce(F.col("d.mm"), F.lit(0.0)).alias("mm"),
+    days = F.arrays_zip(F.col("daily.time").alias("time"), F.col("daily.precipitation_sum").alias("mm"))
+    return (
+        df.select("estado", F.explode_outer(days).alias("d"))
+        .where(F.col("d").isNotNull())
+        .select(
+            "estado",
+            F.try_to_date(F.col("d.time"), "yyyy-MM-dd").alias("fecha"),
+            F.coalesce(F.col("d.mm"), F.lit(0.0)).alias("mm"),
+        )
     )
 
 
@@ -150,7 +157,7 @@ def read_rain_json(spark: SparkSession, path: str) -> DataFrame:
 def explode_quake_documents(df: DataFrame) -> DataFrame:
     """Feature collections -> one row per earthquake."""
     f = F.col("f")
-    return df.select(F.explode("features").alias("f")).select(
+    return df.select(F.explode_outer("features").alias("f")).where(f.isNotNull()).select(
         f["id"].alias("id_evento"),
         F.timestamp_millis(f["properties"]["time"]).alias("fecha_evento"),
         f["properties"]["mag"].alias("magnitud"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 MODULES = (news, texts, search, sensors, streams)
 
 
+def _in_utc(query: Query) -> Query:
+    """The query with timestamps in UTC, whatever the session was started with."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf)
+
+    return run
+
+
 def all_queries() -> dict[str, Query]:
-    return {name: query for module in MODULES for name, query in module.QUERIES.items()}
+    return {name: _in_utc(query) for module in MODULES for name, query in module.QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:

@@ -307,7 +307,7 @@ def _topk(source: str, k: int) -> str:
 tops AS (
   SELECT * FROM (
     SELECT t.pos AS situacion_pos, t.nombre AS situacion, e.*,
-           row_number() OVER (PARTITION BY t.pos ORDER BY {_SEV}, e.fecha_dt DESC NULLS LAST, e.url NULLS FIRST) AS orden
+           row_number() OVER (PARTITION BY t.pos ORDER BY {_SEV}, e.fecha_dt DESC NULLS LAST, e.url NULLS FIRST, e.title) AS orden
     FROM {source} e JOIN kinds k ON k.event_type = e.criterio_busqueda JOIN situaciones t ON t.nombre = k.tipo
   ) WHERE orden <= {k}
 )

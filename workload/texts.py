@@ -155,9 +155,9 @@ def snippets(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("hace "), n, F.lit(" horas")),
         F.concat(F.lit("hace "), n, F.lit(" meses")),
     ]
-    return spread(table(spark, sf, "orders")).select(
-        "o_orderkey", F.element_at(F.array(*forms), (F.col("o_orderkey") % 16 + 1).cast("int")).alias("snippet_full")
-    )
+    form = F.col("o_orderkey") % 16
+    text_of_form = F.coalesce(*[F.when(form == i, f) for i, f in enumerate(forms)])
+    return spread(table(spark, sf, "orders")).select("o_orderkey", text_of_form.alias("snippet_full"))
 
 
 def snippet_dates(spark: SparkSession, sf: str) -> DataFrame:
