@@ -92,14 +92,14 @@ def most_severe_match(spark: SparkSession, sf: str) -> DataFrame:
 
 def topk_per_situation(spark: SparkSession, sf: str) -> DataFrame:
     top = S.select_top(S.explode_situations(_enriched(spark, sf), SITUATIONS), 10)
-    return top.select("situacion", "orden", "event_id", "nivel_alerta_asociado", day_text("fecha_dt"), "url")
+    return top.withColumn("orden", F.col("orden").cast("long")).select("situacion", "orden", "event_id", "nivel_alerta_asociado", day_text("fecha_dt"), "url")
 
 
 def topk_merge(spark: SparkSession, sf: str) -> DataFrame:
     df = news(spark, sf)
     sent = df.where("criterio_busqueda = 'signup'").select("url")
     chosen = S.select_news(df, A.alert_metrics(df, HOURS, NOW, urls=False), sent, SITUATIONS, k=25)
-    return chosen.select("situacion", "orden", "event_id", "url")
+    return chosen.select("situacion", F.col("orden").cast("long").alias("orden"), "event_id", "url")
 
 
 def publish_news(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,7 +218,8 @@ def dedupe_social(spark: SparkSession, sf: str) -> DataFrame:
 def dedupe_topk_large(spark: SparkSession, sf: str) -> DataFrame:
     """First 1,500 rows per event type: more than the per-task limit covers."""
     df = table(spark, sf, "events").select("event_type", "event_id", "value")
-    return D.first_per_group(df, ["event_type"], [F.desc("value"), "event_id"], k=1500, rank="orden")
+    top = D.first_per_group(df, ["event_type"], [F.desc("value"), "event_id"], k=1500, rank="orden")
+    return top.withColumn("orden", F.col("orden").cast("long"))
 
 
 def _runs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

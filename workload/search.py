@@ -62,7 +62,7 @@ def valid_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
-    return L.extract_links(spread(table(spark, sf, "pages")))
+    return L.extract_links(spread(table(spark, sf, "pages"))).withColumn("rank", F.col("rank").cast("long"))
 
 
 def page_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,7 +79,7 @@ def page_results(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("<html><body>"), block, block, F.lit('<article data-testid="result"><p>sin enlace</p></article></body></html>')).alias("html"),
     )
     found = L.extract_results(pages, datetime(2026, 7, 4))
-    return found.select("doc_id", "rank", "title", "url", "fecha", F.length("snippet_full").alias("largo"))
+    return found.select("doc_id", "rank", "title", "url", "fecha", F.length("snippet_full").cast("long").alias("largo"))
 
 
 def _media(spark: SparkSession, sf: str) -> DataFrame:

@@ -439,7 +439,7 @@ ORACLES = {
         array_to_string({_found(STATES)}, ';') AS autoridades_actores FROM clean""",
     "news_processed": f"""WITH {_RAW_SQL} SELECT url, title, title_clean, texto AS texto_clasificacion,
         strftime(fecha_dt, '%Y-%m-%d') AS fecha_dt, 'web' AS red_social, {_longest(STATES)} AS estado, {_TAGS_SQL} FROM processed""",
-    "raw_parts": """SELECT concat('https://a.example.com/', o_custkey) AS url, 1 AS n, 1 AS con_pagina, 'línea ñ' AS cola FROM orders GROUP BY o_custkey
+    "raw_parts": """SELECT concat('https://a.example.com/', o_custkey) AS url, CAST(1 AS BIGINT) AS n, CAST(1 AS BIGINT) AS con_pagina, 'línea ñ' AS cola FROM orders GROUP BY o_custkey
         UNION ALL SELECT DISTINCT concat('https://b.example.com/', c_custkey % 700), 1, 0, '' FROM customer""",
 }
 ORACLES["extract_entities"] = ORACLES["match_entities"]
