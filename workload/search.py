@@ -75,7 +75,7 @@ def page_results(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('</a></h2><div data-result="snippet">3 jul 2026 '), body, F.lit("</div></article>"),
     )
     pages = d.select(
-        "doc_id", F.concat(F.lit("https://buscador.example/"), F.col("doc_id").cast("string")).alias("url"),
+        "doc_id", F.concat(F.lit("https://search.example/"), F.col("doc_id").cast("string")).alias("url"),
         F.concat(F.lit("<html><body>"), block, block, F.lit('<article data-testid="result"><p>sin enlace</p></article></body></html>')).alias("html"),
     )
     found = L.extract_results(pages, datetime(2026, 7, 4))
