@@ -72,9 +72,10 @@ def alert_urls(
     now: datetime,
     situation: Situation = None,
     states: Sequence[str] | None = None,
+    mapping: Mapping[str, str] = CANONICAL_EVENTS,
 ) -> DataFrame:
     """``(estado, tipo_evento, url)``: every distinct URL behind each alert, one row each."""
-    events = explode_events(filter_alert_window(df, now, hours), situation, states)
+    events = explode_events(filter_alert_window(df, now, hours), situation, states, mapping)
     return events.where(F.col("url").isNotNull()).select(*GROUP, "url").distinct()
 
 
@@ -119,6 +120,7 @@ def alert_metrics(
     now: datetime,
     situation: Situation = None,
     states: Sequence[str] | None = None,
+    mapping: Mapping[str, str] = CANONICAL_EVENTS,
     urls: bool = True,
     max_url_bytes: int = MAX_JOINED_URL_BYTES,
 ) -> DataFrame:
@@ -133,7 +135,7 @@ def alert_metrics(
     only the levels are needed, ``urls=False`` leaves the column null and saves
     the step per URL.
     """
-    events = explode_events(filter_alert_window(df, now, hours), situation, states)
+    events = explode_events(filter_alert_window(df, now, hours), situation, states, mapping)
     if urls:
         per_url = _combine(events, [*GROUP, "url"])
         groups = _list_urls(per_url, _count_groups(per_url), max_url_bytes)

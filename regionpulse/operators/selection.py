@@ -139,7 +139,8 @@ def select_news(
     situation: Situation,
     k: int = 10,
     states: Sequence[str] | None = None,
+    mapping: Mapping[str, str] = CANONICAL_EVENTS,
 ) -> DataFrame:
     """News to publish: new, enriched, the top of each situation, each URL once."""
-    fresh = not_in_ledger(enrich_with_alert(news, alerts, states), sent, "url")
+    fresh = not_in_ledger(enrich_with_alert(news, alerts, states, mapping), sent, "url")
     return merge_selections(select_top(explode_situations(fresh, situation), k))

@@ -26,7 +26,14 @@ from regionpulse.operators.classify import (
     total_mentions,
 )
 from regionpulse.operators.contracts import prepare_metrics, prepare_news
-from regionpulse.operators.dedupe import accumulate, drop_redundant, merge_parts
+from regionpulse.operators.dedupe import (
+    accumulate,
+    dedupe_key,
+    drop_redundant,
+    increment,
+    merge_parts,
+    union_by_name,
+)
 from regionpulse.operators.filters import (
     EXCLUDED_DOMAINS,
     exclude_terms,
@@ -39,6 +46,7 @@ from regionpulse.operators.filters import (
 from regionpulse.operators.selection import not_in_ledger, select_news, with_alert_key
 from regionpulse.session import stage
 from regionpulse.sources import ledgers, readers, sinks
+from regionpulse.sources.dimensions import CANONICAL_EVENTS
 from regionpulse.sources.schemas import IMPACT_CATEGORIES, ZONE_CATEGORIES
 
 
@@ -57,15 +65,30 @@ class NewsSettings:
     per_situation: int = 10
     excluded_domains: Sequence[str] = field(default_factory=lambda: list(EXCLUDED_DOMAINS))
     foreign_terms: Sequence[str] = ()
+    canonical: Mapping[str, str] = field(default_factory=lambda: dict(CANONICAL_EVENTS))
+
 
+def collect_raw(
+    spark: SparkSession,
+    paths: Sequence[str],
+    accumulated: DataFrame | None = None,
+    accumulated_is_unique: bool = False,
+) -> DataFrame:
+    """CSV parts -> one row per key, merged after the rows of earlier runs.
 
-def collect_raw(spark: SparkSession, paths: Sequence[str], accumulated: DataFrame | None = None) -> DataFrame:
-    """CSV parts -> one row per key, merged after the rows of earlier runs."""
+    ``accumulated_is_unique`` promises that the earlier rows are a result of
+    this function.  Then only their keys are shuffled, to find what is new, and
+    the earlier rows themselves pass through.
+    """
     parts = readers.read_raw_parts(spark, paths)
     merged = merge_parts(parts, [readers.SOURCE_ORDER])
     if accumulated is None:
-        return merged.drop(readers.SOURCE_ORDER)
-    return accumulate(accumulated, merged, [readers.SOURCE_ORDER]).drop(readers.SOURCE_ORDER)
+        result = merged
+    elif accumulated_is_unique:
+        result = union_by_name(accumulated, increment(accumulated, merged, dedupe_key(merged)))
+    else:
+        result = accumulate(accumulated, merged, [readers.SOURCE_ORDER])
+    return result.drop(readers.SOURCE_ORDER)
 
 
 def process_news(
@@ -112,7 +135,9 @@ def publish_news(
     fresh = stage(not_in_ledger(with_alert_key(alerts), sent_alerts, "clave"), f"{work}/outbox_alertas")
     sent_urls = ledgers.read_sent_ledger(spark, url_ledger)
     chosen = stage(
-        select_news(processed, alerts, sent_urls, settings.situation, settings.per_situation),
+        select_news(
+            processed, alerts, sent_urls, settings.situation, settings.per_situation, mapping=settings.canonical
+        ),
         f"{work}/outbox_noticias",
     )
 
@@ -142,7 +167,9 @@ def run_news(
     and read back, so later steps scan only the columns they need.
     """
     processed = stage(process_news(raw, settings, now, start, end), f"{out}/procesadas")
-    alerts = sort_alerts(alert_metrics(processed, settings.window_hours, now, settings.situation))
+    alerts = sort_alerts(
+        alert_metrics(processed, settings.window_hours, now, settings.situation, mapping=settings.canonical)
+    )
     return processed, stage(alerts, f"{out}/alertas")
 
 

@@ -38,6 +38,8 @@ def test_parts_by_header(spark, tmp_path):
     old = spark.createDataFrame([("u3", "viejo")], "url string, title string")
     again = {r.url: r.title for r in P.collect_raw(spark, paths, old).collect()}
     assert again == {**merged, "u3": "viejo"}
+    quick = P.collect_raw(spark, paths, old, accumulated_is_unique=True)
+    assert {r.url: r.title for r in quick.collect()} == again
 
 
 def test_part_order_does_not_change_the_result(spark, tmp_path):

@@ -12,7 +12,7 @@ from regionpulse.functions import dates, text
 from regionpulse.operators import classify as C
 from regionpulse.operators import entities as E
 from regionpulse.operators import filters as R
-from regionpulse.plans.news import NewsSettings, collect_raw, process_news
+from regionpulse.plans.news import NewsSettings, collect_raw, process_news, run_news
 from regionpulse.session import scratch_path, spread
 from regionpulse.sources import readers
 from workload.standins import day_text, joined, strings, table
@@ -268,7 +268,7 @@ def extract_entities(spark: SparkSession, sf: str) -> DataFrame:
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as raw hits: most snippets start with a date, some sites are excluded."""
     i = F.col("doc_id")
-    site = F.when(i % 9 == 0, "https://www.netflix.com/").when(i % 9 == 1, "https://eltiempo.com/").otherwise("https://a.example.com/")
+    site = F.when(i % 9 == 0, "https://www.netflix.com/").when(i % 9 == 1, "https://eltiempo.com/").otherwise(F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/")))
     lead = (
         F.when(i % 5 == 0, "3 jul 2026").when(i % 5 == 1, F.concat(F.lit("hace "), (i % 90).cast("string"), F.lit(" días ")))
         .when(i % 5 == 2, "14 mayo. 2026 ").when(i % 5 == 3, "Hace 5 minutos ").otherwise("sin fecha ")
@@ -302,6 +302,19 @@ def news_processed(spark: SparkSession, sf: str) -> DataFrame:
     return _processed(process_news(_raw(spark, sf), SETTINGS, REF, "2026-05-20", "2026-07-04"))
 
 
+# The test lexicon's event words by type; one is left out on purpose.
+TYPES = {"ering": "sismo", "tion": "lluvias", " tionth": "lluvias", "cion": "huracan", "schung": "huracan"}
+
+
+def news_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The news job from raw hits to alerts, through its stage tables."""
+    settings = NewsSettings(
+        lexicon={**LEXICON, "rescate": [" ouier"]}, gazetteer=[*GAZETTEER, "tion", "ment"], states=STATES, window_hours=72, canonical=TYPES
+    )
+    _, alerts = run_news(_raw(spark, sf), settings, REF, scratch_path(spark, "news"), "2026-06-20", "2026-07-04")
+    return alerts.drop("fecha_calculo", "ventana_horas").withColumn("fecha_mas_reciente", day_text("fecha_mas_reciente"))
+
+
 def raw_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and customers written as CSV parts with different columns, read back and merged."""
     folder = scratch_path(spark, "parts")
@@ -331,7 +344,7 @@ QUERIES = {
         keyword_frequencies, gazetteer_filter, exclude_terms, extract_state_longest, classification_text,
         empty_snippets, snippet_validity, snippet_dates, leading_date, relative_dates, shifted_years,
         place_cleaning, top_places, top_states, top_actors, total_mentions, list_literals, match_entities,
-        extract_entities, news_processed, raw_parts,
+        extract_entities, news_processed, news_alerts, raw_parts,
     )
 }
 
@@ -369,7 +382,7 @@ freq AS (SELECT lugar, count(*) AS n FROM places GROUP BY lugar)
 _RAW_SQL = rf"""
 raw AS (
   SELECT doc_id AS i, trim(concat(' Título: ', source, ' ', lang)) AS title,
-    concat(CASE doc_id % 9 WHEN 0 THEN 'https://www.netflix.com/' WHEN 1 THEN 'https://eltiempo.com/' ELSE 'https://a.example.com/' END,
+    concat(CASE doc_id % 9 WHEN 0 THEN 'https://www.netflix.com/' WHEN 1 THEN 'https://eltiempo.com/' ELSE concat('https://www.', source, '.example.com/') END,
            source, '/', doc_id) AS url,
     trim(concat(CASE doc_id % 5 WHEN 0 THEN '3 jul 2026' WHEN 1 THEN concat('hace ', doc_id % 90, ' días ')
                 WHEN 2 THEN '14 mayo. 2026 ' WHEN 3 THEN 'Hace 5 minutos ' ELSE 'sin fecha ' END, text), ' ' || chr(10) || chr(9) || chr(13)) AS snippet_full,
@@ -384,6 +397,20 @@ cleaned AS (
 processed AS (SELECT *, concat(title_clean, ' ', snippet_clean) AS texto FROM cleaned WHERE {_any(GAZETTEER, 'snippet_clean')})
 """
 
+_ALERTS_SQL = f"""
+alert_texts AS (
+  SELECT url, fecha_dt, concat(title_clean, ' ', snippet_clean) AS texto FROM cleaned
+  WHERE {_any([*GAZETTEER, 'tion', 'ment'], 'snippet_clean') }
+),
+facts AS (
+  SELECT url, fecha_dt, {_longest(STATES)} AS estado, {_any(LEXICON['victimas'])} AS v, contains(texto, ' ouier') AS r,
+         {_any(LEXICON['daños'])} AS d, regexp_extract(url, '^https://www.([^/]*)', 1) AS dominio,
+         unnest(list_distinct(list_transform({_found(list(TYPES))}, lambda k: CASE WHEN k = 'ering' THEN 'sismo'
+           WHEN k IN ('tion', ' tionth') THEN 'lluvias' ELSE 'huracan' END))) AS tipo_evento
+  FROM alert_texts WHERE fecha_dt BETWEEN DATE '2026-07-02' AND DATE '2026-07-04'
+)
+"""
+
 ORACLES = {
     "normalize_documents": f"WITH {CLEAN_SQL} SELECT doc_id, texto FROM clean",
     "unaccent_documents": r"""SELECT doc_id, regexp_replace(strip_accents(replace(text, 'ß', 'ss')), '[^\x00-\x7F]', '', 'g') AS texto
@@ -442,4 +469,11 @@ ORACLES = {
     "raw_parts": """SELECT concat('https://a.example.com/', o_custkey) AS url, CAST(1 AS BIGINT) AS n, CAST(1 AS BIGINT) AS con_pagina, 'línea ñ' AS cola FROM orders GROUP BY o_custkey
         UNION ALL SELECT DISTINCT concat('https://b.example.com/', c_custkey % 700), 1, 0, '' FROM customer""",
 }
+ORACLES["news_alerts"] = f"""WITH {_RAW_SQL}, {_ALERTS_SQL}
+    SELECT estado, tipo_evento, count(*) AS n_noticias, count(DISTINCT dominio) AS n_fuentes_distintas, bool_or(v) AS tiene_victimas,
+           bool_or(r) AS tiene_rescate_activo, bool_or(d) AS tiene_danios_estructurales, strftime(max(fecha_dt), '%Y-%m-%d') AS fecha_mas_reciente,
+           CASE WHEN bool_or(v) AND count(DISTINCT dominio) FILTER (WHERE v) >= 2 THEN 'Rojo' WHEN bool_or(r) OR bool_or(d) THEN 'Naranja'
+                WHEN count(*) >= 2 THEN 'Amarillo' ELSE 'Verde' END AS nivel_alerta,
+           string_agg(DISTINCT url, ' | ' ORDER BY url) AS urls_relacionadas
+    FROM facts WHERE estado IS NOT NULL GROUP BY estado, tipo_evento"""
 ORACLES["extract_entities"] = ORACLES["match_entities"]
