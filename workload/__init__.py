@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MODULES = (news, texts, search, sensors, streams)
 
 
-def _in_utc(query: Query) -> Query:
+def in_utc(query: Query) -> Query:
     """The query with timestamps in UTC, whatever the session was started with."""
 
     @wraps(query)
@@ -26,7 +26,7 @@ def _in_utc(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _in_utc(query) for module in MODULES for name, query in module.QUERIES.items()}
+    return {name: in_utc(query) for module in MODULES for name, query in module.QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:
