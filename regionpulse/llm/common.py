@@ -31,6 +31,15 @@ def id_of(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST))
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a column that is computed once a row.
+
+    Catalyst merges a projection into the next one, which would evaluate the value again for every element when a
+    lambda refers to it; a generator stands between them.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver forget finished stages, so that Spark deletes their shuffle files."""
     gc.collect()

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from regionpulse.llm import bpe, sharding, warc
+from regionpulse.llm import bpe, decontamination, language, line_chunks, near_duplicates, pivots, sharding, substrings, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op2_warc": warc.query,
+    "op3_decontamination": decontamination.query,
+    "op4_line_dedup": line_chunks.query,
+    "op5_toxicity": toxicity.query,
+    "op6_substring_dedup": substrings.query,
     "op7_bpe": bpe.query,
+    "op8_near_duplicates": near_duplicates.query,
+    "op9_pivots": pivots.query,
+    "op10_language": language.query,
 }
 
 ORACLES = {
     "op2_warc": warc.ORACLE,
+    "op4_line_dedup": line_chunks.ORACLE,
+    "op6_substring_dedup": substrings.ORACLE,
+    "op8_near_duplicates": near_duplicates.ORACLE,
+    "op9_pivots": pivots.ORACLE,
 }
