@@ -5,7 +5,7 @@ score is the logistic function of  w0 + sum of w_i + sum over pairs of <v_i, v_j
 together that say little alone, such as an insult and the mention of a group.  The pair sum takes time linear in the
 number of terms.  The model is fitted on a bounded sample of labelled documents (``SAMPLE`` of each label, chosen by
 a hash of the id) and sent to the tasks that score all documents; it has ``BUCKETS * (FACTORS + 1)`` numbers at most
-and in fact only those of the buckets seen in training.
+and in fact only those of the buckets that tell toxic training documents from others, alone or beside another term.
 
 A null or empty text has no terms and gets the score of the constant; a label without a document, or null, teaches
 nothing; several labels of one id count as toxic if one is.  With no label at all, or of one kind only, every score is
@@ -36,9 +36,14 @@ SAMPLE = 8_000
 #: Training documents that a bucket must occur in.
 LEAST_DOCS = 3
 PREFIX = 5
-EPOCHS = 4
+#: Deviations by which a bucket's share of toxic documents must differ from the share of all.
+SIGNIFICANT = 4.0
+#: Largest weight of a toxic example where there are fewer of them.
+UPWEIGHT = 4.0
+EPOCHS = 6
 RATE = 0.15
-DECAY = 1e-5
+PAIR_RATE = 0.03
+DECAY = 1e-4
 SEED = 11
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -70,39 +75,63 @@ class Machine:
         return 1 / (1 + math.exp(-max(-35.0, min(35.0, self.margin(terms(text))))))
 
 
-def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Machine:
-    """Logistic loss, one example at a time, with a rate for each number that falls with its past gradients."""
-    seen = np.bincount(np.concatenate([np.zeros(0, np.int64), *[b for b, _ in examples]]), minlength=BUCKETS)
-    used = np.flatnonzero(seen >= LEAST_DOCS)
+def _deviation(examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """By how many deviations each bucket's toxic documents are more than its share; 0 for rare buckets."""
+    every = np.bincount(np.concatenate([b for b, _ in examples]), minlength=BUCKETS)
+    toxic = np.bincount(np.concatenate([b for b, y in examples if y]), minlength=BUCKETS)
+    share = sum(y for _, y in examples) / len(examples)
+    spread = np.sqrt(every * share * (1 - share) + 0.25)
+    return np.where(every >= LEAST_DOCS, (toxic - every * share) / spread, 0.0)
+
+
+def telling(examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """Buckets that tell toxic documents from others, in all documents or among those that hold a telling one.
+
+    The second part finds terms that say nothing by themselves and much beside another one.
+    """
+    alone = _deviation(examples)
+    strong = alone >= SIGNIFICANT
+    beside = [(b, y) for b, y in examples if strong[b].any()]
+    mixed = 0 < sum(y for _, y in beside) < len(beside)
+    together = _deviation(beside) if mixed else np.zeros(BUCKETS)
+    return np.flatnonzero(np.maximum(np.abs(alone), np.abs(together)) >= SIGNIFICANT)
+
+
+def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, share: float | None = None) -> Machine:
+    """Logistic loss, one example at a time, with a rate for each number that falls with its past gradients.
+
+    The constant stays at the odds of ``share``, the toxic part of all labelled documents, so that a text without a
+    telling term gets that share however the sample was drawn.
+    """
+    positive = sum(y for _, y in examples)
+    negative = len(examples) - positive
+    up = min(UPWEIGHT, negative / positive) if positive else 1.0
+    share = (positive + 1) / (len(examples) + 2) if share is None else share
+    constant = math.log(share / (1 - share))
+    learnable = bool(positive and negative)
+    used = telling(examples) if learnable else np.zeros(0, np.int64)
     places = np.zeros(BUCKETS, np.int32)
     places[used] = np.arange(1, len(used) + 1)
     rng = np.random.default_rng(SEED)
     w = np.zeros(len(used) + 1)
-    v = rng.normal(0, 0.01, (len(used) + 1, FACTORS))
+    v = rng.normal(0, 0.05, (len(used) + 1, FACTORS))
     v[0] = 0
-    positive = sum(y for _, y in examples)
-    constant = math.log((positive + 1) / (len(examples) - positive + 1))
-    if positive in (0, len(examples)):
-        return Machine(constant, places, w, np.zeros_like(v))
-    gw, gv, gc = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2
+    gw, gv = np.full(len(w), 1e-2), np.full(v.shape, 1e-2)
     rows = [places[b] for b, _ in examples]
     rows = [r[r > 0] for r in rows]
-    for _ in range(epochs):
+    for _ in range(epochs if learnable else 0):
         for k in rng.permutation(len(examples)):
             r, y = rows[k], examples[k][1]
             vr = v[r]
             total = vr.sum(0)
             margin = constant + w[r].sum() + 0.5 * (total @ total - (vr * vr).sum())
-            slope = 1 / (1 + math.exp(-max(-35.0, min(35.0, margin)))) - y
+            slope = (1 / (1 + math.exp(-max(-35.0, min(35.0, margin)))) - y) * (up if y else 1.0)
             step = slope + DECAY * w[r]
             gw[r] += step * step
             w[r] -= RATE * step / np.sqrt(gw[r])
-            # Norm of the terms: long texts have many pairs.
-            pair = slope * (total - vr) / max(1, len(r)) ** 0.5 + DECAY * vr
+            pair = slope * (total - vr) + DECAY * vr
             gv[r] += pair * pair
-            v[r] -= 0.3 * RATE * pair / np.sqrt(gv[r])
-            gc += slope * slope
-            constant -= RATE * slope / math.sqrt(gc)
+            v[r] -= PAIR_RATE * pair / np.sqrt(gv[r])
     return Machine(float(constant), places, w, v)
 
 
@@ -126,13 +155,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
     rows = chosen.select("doc_id", "toxic", "text").mapInArrow(_terms_of, "doc_id long, toxic int, terms array<int>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
-    return fit([(np.asarray(t.values.to_numpy(), np.int64), int(y.as_py())) for y, t in zip(rows["toxic"], rows["terms"])])
+    sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
+    return fit([(np.asarray(t.values.to_numpy(), np.int64), int(y.as_py())) for y, t in zip(rows["toxic"], rows["terms"])], share=share)
 
 
 def _scorer(sent):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        machine = Machine(*sent.value)
         for texts in batches:
-            yield pd.Series([sent.value.score(t) for t in texts], dtype="float64")
+            yield pd.Series([machine.score(t) for t in texts], dtype="float64")
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, "double")
@@ -140,7 +172,7 @@ def _scorer(sent):
 
 def scored(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text as a column."""
-    sent = docs.sparkSession.sparkContext.broadcast(machine)
+    sent = docs.sparkSession.sparkContext.broadcast((machine.constant, machine.places, machine.weights, machine.vectors))
     return docs.withColumn(name, _scorer(sent)(F.col("text").cast("string")))
 
 
