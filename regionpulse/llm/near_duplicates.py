@@ -12,10 +12,10 @@ texts that consist of common passages) also meet in their long lists:
 
 * each is compared with a leader of each of its ``KEYS`` smallest long lists, which joins large groups in linear work;
 * lists whose members are then still in different components are gone through in blocks of ``BLOCK`` members by block
-  pairs, and pairs across components with a sufficient estimate are checked.
+  pairs, which compare the full sets across components and give the links that join their components, not all pairs.
 
-Links inside a component change nothing, so this loses none that counts.  Pairs are only written when their estimate
-calls for a check, first each node's best pair and then those that still connect different components.
+Links inside a component change nothing, so this loses none that counts.  Other pairs are only written when their
+estimate calls for a check, first each node's best pair and then those that still connect different components.
 
 Words are runs of anything but the six ASCII white-space characters, A to Z in lower case.  A text with one to four
 words is one shingle; texts without words, and nulls, are linked with nothing.  Rows with equal ids and texts are one
@@ -48,8 +48,10 @@ LEAST = 0.39
 #: Estimates are let through from here on; at K values the deviation is 0.054.
 ESTIMATE = 0.45
 LONG = 32
-KEYS = 16
+KEYS = 10
 BLOCK = 500
+#: Shingles that a block comparison lays out at once.
+COLUMNS = 16_384
 
 
 def shingles(text: str | bytes | None) -> np.ndarray:
@@ -69,14 +71,14 @@ def shingles(text: str | bytes | None) -> np.ndarray:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(t.as_buffer().to_pybytes()) for t in batch.column(1)]
+        sets = [shingles(t.as_buffer().to_pybytes()) for t in batch.column(2)]
         groups = [hashlib.blake2b(s.tobytes(), digest_size=12).hexdigest() for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(groups),
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(groups),
                 pa.array([s[:K] for s in sets], pa.list_(pa.int64())),
             ],
-            ["doc_id", "n", "g", "sketch"],
+            ["doc_id", "text", "n", "g", "sketch"],
         )
 
 
@@ -117,9 +119,11 @@ class _Job:
     """Tables of one run: every step is written to the shared folder and read again."""
 
     def __init__(self, docs: DataFrame):
-        self.raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("raw"))
-        rows = stage(self.raw.mapInArrow(_sketched, "doc_id long, n long, g string, sketch array<long>"))
-        self.documents = rows.select("doc_id", "n", "g")
+        self.raw = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text"), text_of().cast("binary").alias("raw")
+        )
+        rows = stage(self.raw.mapInArrow(_sketched, "doc_id long, text long, n long, g string, sketch array<long>"))
+        self.documents = rows.select("doc_id", "text", "n", "g")
         firsts = rows.where("n > 0").groupBy("g").agg(F.min(id_of()).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         self.nodes = stage(firsts.select(F.struct("id", "g").alias("node"), "n", "sketch"))
 
@@ -150,11 +154,12 @@ class _Job:
         led = keyed.join(leaders, "v").where(F.col("node") != F.col("leader")).where(_alike("n", "n_leader"))
         led = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         candidates = self.estimated(generated.unionAll(led).distinct())
-        found = self.confirmed(candidates)
-        label = stage(components(found))
-        rest = self.blocks(keyed, leaders, label)
-        more = self.confirmed(self.estimated(rest)) if rest is not None else None
-        return found if more is None else found.unionAll(more)
+        full = self.full_sets(
+            candidates.select(F.col("a").alias("node")).unionAll(candidates.select(F.col("b").alias("node"))).unionAll(heavy.select("node")).distinct()
+        )
+        found = self.confirmed(candidates, full)
+        rest = self.blocks(keyed, leaders, stage(components(found)), full)
+        return found if rest is None else found.unionAll(rest)
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose union sketch allows the similarity, with the estimate."""
@@ -162,69 +167,93 @@ class _Job:
         both = pairs.join(s.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a").join(s.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
         return stage(both.select("a", "b", _estimate("sa", "sb").alias("estimate")).where(F.col("estimate") >= ESTIMATE))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+    def full_sets(self, nodes: DataFrame) -> DataFrame:
+        """The shingles of the given nodes, made again from their texts."""
+        wanted = stage(nodes)
+        rows = self.raw.withColumn("id", id_of()).join(wanted.select(F.col("node.id").alias("id")).distinct().hint("shuffle_hash"), "id", "left_semi").select("raw")
+        sets = rows.mapInArrow(_sets, "g string, full binary").join(wanted.select("node", F.col("node.g").alias("g")), "g")
+        full = stage(sets.groupBy("node").agg(F.first("full").alias("full")))
+        release(nodes.sparkSession)
+        return full
+
+    def confirmed(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
         """The links among the pairs: each node's best pair first, then those that still join two components."""
         best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
-        first = self.exact(best.select("a", "b"))
+        first = self.exact(best.select("a", "b"), full)
         label = stage(components(first))
-        open_ = _across(pairs.join(best, ["a", "b"], "left_anti"), label)
-        return stage(first.unionAll(self.exact(open_)))
+        open_ = stage(_across(pairs.join(best, ["a", "b"], "left_anti"), label))
+        return stage(first.unionAll(self.exact(open_, full)))
 
-    def exact(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are as similar as asked; only the sets of these nodes are made."""
-        pairs = stage(pairs)
-        wanted = stage(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct())
-        rows = self.raw.withColumn("id", id_of()).join(wanted.select(F.col("node.id").alias("id")).distinct().hint("shuffle_hash"), "id", "left_semi").select("raw")
-        full = stage(rows.mapInArrow(_sets, "g string, full binary").join(wanted.select("node", F.col("node.g").alias("g")), "g").dropDuplicates(["node"]).select("node", "full"))
-        release(pairs.sparkSession)
+    def exact(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
+        """The pairs whose full sets are as similar as asked."""
         both = pairs.join(full.withColumnsRenamed({"node": "a", "full": "fa"}), "a").join(full.withColumnsRenamed({"node": "b", "full": "fb"}), "b")
         out = stage(both.where(_linked("fa", "fb")).select("a", "b"))
         release(pairs.sparkSession)
         return out
 
-    def blocks(self, keyed: DataFrame, leaders: DataFrame, label: DataFrame) -> DataFrame | None:
-        """Pairs across components in long lists that still hold several."""
-        members = keyed.join(leaders.select("v"), "v").join(label, "node", "left").select("v", "node", "n", F.coalesce("label", "node").alias("label"))
+    def blocks(self, keyed: DataFrame, leaders: DataFrame, label: DataFrame, full: DataFrame) -> DataFrame | None:
+        """Links across components in long lists that still hold several."""
+        members = keyed.join(leaders.select("v"), "v").join(label, "node", "left").select("v", "node", F.coalesce("label", "node").alias("label"))
         members = stage(members)
         open_lists = stage(members.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high").select("v", "size"))
         if not open_lists.take(1):
             return None
-        sketches = self.nodes.select("node", "sketch")
-        rows = members.join(open_lists, "v").join(sketches, "node")
         n = F.ceil(F.col("size") / BLOCK)
-        rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), n)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+        rows = members.join(open_lists, "v").withColumn("mine", F.pmod(F.xxhash64("node"), n))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).join(full, "node")
         rows = rows.select(
-            "v", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "n", F.hash("label").alias("label"), "sketch"
+            "v", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", F.xxhash64("label").alias("label"), "full"
         )
         node = self.nodes.schema["node"].dataType.simpleString()
-        return stage(rows.groupBy("v", "i", "j").applyInPandas(_block, f"a {node}, b {node}").distinct())
+        return stage(rows.groupBy("v", "i", "j").applyInPandas(_block, f"a {node}, b {node}"))
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of two blocks."""
+    values, counts = np.unique(np.concatenate([*left, *right]), return_counts=True)
+    values = values[counts > 1]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(values), COLUMNS):
+        part = values[at : at + COLUMNS]
+
+        def laid_out(sets):
+            flat = np.concatenate(sets)
+            rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            place = np.minimum(np.searchsorted(part, flat), len(part) - 1)
+            ok = part[place] == flat
+            x = np.zeros((len(sets), len(part)), np.float32)
+            x[rows[ok], place[ok]] = 1
+            return x
+
+        out += laid_out(left) @ laid_out(right).T
+    return out
 
 
 def _block(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks of one list, in different components and with a sufficient overlap of sketches."""
+    """Links between two blocks of one list that join different components, enough to connect them."""
     i, j = group["i"].iloc[0], group["j"].iloc[0]
     left = group[group["mine"] == i].reset_index(drop=True)
     right = group[group["mine"] == j].reset_index(drop=True)
-    every = np.unique(np.concatenate([np.concatenate(list(x["sketch"])) for x in (left, right)])) if len(left) and len(right) else None
     found = []
-    if every is not None:
-        def hot(x):
-            out = np.zeros((len(x), len(every)), np.float32)
-            for r, s in enumerate(x["sketch"]):
-                out[r, np.searchsorted(every, s)] = 1
-            return out
-
-        shared = hot(left) @ hot(right).T
-        ka, kb = left["sketch"].map(len).to_numpy(), right["sketch"].map(len).to_numpy()
-        na, nb = left["n"].to_numpy(), right["n"].to_numpy()
-        ok = shared >= LEAST * np.minimum.outer(ka, kb)
-        ok &= 100 * np.minimum.outer(na, nb) >= PERCENT * np.maximum.outer(na, nb)
-        ok &= left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]
-        key = lambda x: (x["id"], x["g"])
+    if len(left) and len(right):
+        a, b = ([np.frombuffer(x, np.int64) for x in side["full"]] for side in (left, right))
+        shared = _shared(a, b)
+        na, nb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        ok = 100 * shared >= PERCENT * (na[:, None] + nb[None, :] - shared)
+        la, lb = left["label"].to_numpy(), right["label"].to_numpy()
+        ok &= la[:, None] != lb[None, :]
+        root: dict[int, int] = {}
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
         for r, c in zip(*np.nonzero(ok)):
-            x, y = left["node"][r], right["node"][c]
-            if key(x) != key(y):
-                found.append((x, y) if key(x) < key(y) else (y, x))
+            p, q = top(la[r]), top(lb[c])
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                found.append((left["node"][r], right["node"][c]))
     return pd.DataFrame({"a": [f[0] for f in found], "b": [f[1] for f in found]}, dtype=object)
 
 
@@ -236,7 +265,7 @@ def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and ``g`` (a digest of the set) of every row of ``docs``."""
+    """doc_id, n_shingles, component_id, kept and ``text`` (a hash) of every row of ``docs``."""
     job = _Job(docs)
     label = components(job.links())
     homes = stage(
@@ -245,21 +274,26 @@ def groups(docs: DataFrame) -> DataFrame:
     )
     out = job.documents.join(homes, "g", "left")
     component = F.nullif(F.coalesce("home", "doc_id"), F.lit(LAST))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "g").withColumn(
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "text").withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     )
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id; rows that agree in id and text are written once.
+    """One document of each group, the one with the smallest id; of rows that agree in id and text one stays.
 
     Documents without words are in no group: all of them stay, and so do those whose group has only null ids.
     """
-    names = docs.columns
-    found = stage(groups(docs.select("doc_id", "text")).where("NOT kept AND component_id IS NOT NULL AND n_shingles > 0").select(id_of().alias("_id"), F.col("n_shingles")).distinct())
-    rows = docs.select("*", id_of().alias("_id"))
-    left = rows.join(found.select("_id").distinct().hint("shuffle_hash"), "_id", "left_anti")
-    return left.select(*[F.col(f"`{c}`") for c in names])
+    key = ["_id", "_text"]
+    found = stage(groups(docs.select("doc_id", "text")).select(
+        id_of().alias("_id"), F.col("text").alias("_text"), (~F.col("kept") & F.col("component_id").isNotNull() & (F.col("n_shingles") > 0)).alias("goes")
+    ))
+    rows = docs.select("*", id_of().alias("_id"), F.xxhash64(text_of()).alias("_text"))
+    left = rows.join(stage(found.where("goes").select(*key).distinct()).hint("shuffle_hash"), key, "left_anti")
+    repeated = stage(found.where("NOT goes").groupBy(*key).count().where("count > 1").select(*key))
+    if repeated.take(1):
+        left = left.join(repeated, key, "left_anti").unionByName(left.join(repeated, key, "left_semi").dropDuplicates(key))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
