@@ -50,22 +50,20 @@ def _month_number(name: Column, months: dict[str, int]) -> Column:
 
 def _shifted(ref: Column, amount: Column, unit: Column) -> Column:
     """``ref`` minus ``amount`` units as date text; null outside the calendar."""
-    n = F.when(F.length(amount) <= 6, amount).try_cast("int")
-    days = F.try_element_at(F.create_map(*[F.lit(x) for pair in UNIT_DAYS.items() for x in pair]), unit)
-    by_day = F.date_sub(F.to_date(ref), n * days)
-    by_hour = F.to_date(ref - F.make_dt_interval(F.lit(0), n))
+    n = amount.try_cast("long")
+    per_unit = F.try_element_at(F.create_map(*[F.lit(x) for pair in UNIT_DAYS.items() for x in pair]), unit)
+    # Ten thousand years take any date out of the calendar; beyond them the numbers would overflow.
+    days = F.when(n <= 3_660_000, n * per_unit)
+    by_day = F.date_sub(F.to_date(ref), F.when(days <= 3_660_000, days).cast("int"))
+    hours = F.when(n <= 87_840_000, n)
+    by_hour = F.to_date(ref - F.make_dt_interval(F.floor(hours / 24).cast("int"), (hours % 24).cast("int")))
     moved = F.when(unit.isin("hora", "hour"), by_hour).otherwise(by_day)
     return F.when(F.year(moved) >= 1, F.date_format(moved, "yyyy-MM-dd"))
 
 
 def date_head(c: Column) -> Column:
-    """The part of a snippet a leading date can occupy, in lower case without marks.
-
-    Every accepted form is anchored at the start and spans at most five words,
-    so the first five words decide for the whole text.
-    """
-    words = F.regexp_extract(c, r"^(?:[\s\p{Mn}]*[^\s\p{Mn}]\S*){0,5}", 0)
-    return F.regexp_replace(strip_marks(F.lower(words)), r"^\s+", "")
+    """A snippet in lower case, without marks and leading white space."""
+    return F.regexp_replace(strip_marks(F.lower(c)), r"^\s+", "")
 
 
 def parse_head_date(text: Column, ref: datetime | Column) -> Column:

@@ -7,6 +7,7 @@ length of the list.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Sequence
 from functools import cache, reduce
@@ -38,37 +39,70 @@ def empty_strings() -> Column:
     return F.array().cast("array<string>")
 
 
+# Latin letters for Greek and Cyrillic ones, in lower case.
+GREEK = dict(zip("αβγδεζηικλμνξοπρσςτυφω", "abgdeziiklmnxoprsstyfo")) | {"θ": "th", "χ": "ch", "ψ": "ps"}
+CYRILLIC = dict(zip("абвгдезийклмнопрстуфыэ", "abvgdeziiklmnoprstufye")) | {
+    "ё": "io", "ж": "zh", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "'", "ь": "'", "ю": "iu", "я": "ia",
+}
+
+
 @cache
-def _decomposed_letters() -> dict[str, str]:
-    """Latin letter -> ASCII letter, derived from Unicode decomposition."""
+def _decompositions() -> dict[str, str]:
+    """Every character of the basic plane whose compatibility decomposition holds ASCII characters -> these."""
     table = {}
-    for code in (*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00)):
+    for code in (*range(0x00A0, 0xD800), *range(0xF900, 0x10000)):
         parts = unicodedata.normalize("NFKD", chr(code))
-        base = "".join(p for p in parts if not unicodedata.combining(p))
-        if len(base) == 1 and base.isascii():
+        base = "".join(p for p in parts if not unicodedata.combining(p) and p.isascii())
+        if base:
             table[chr(code)] = base
     return table
 
 
+@cache
+def _other_scripts() -> dict[str, str]:
+    """Greek and Cyrillic letters of either case, with and without marks -> Latin letters."""
+    small = {**GREEK, **CYRILLIC}
+    table = {**small, **{k.upper(): v.capitalize() for k, v in small.items() if k != "ς"}}
+    for code in (*range(0x0370, 0x0400), *range(0x0400, 0x0500), *range(0x1F00, 0x2000)):
+        base = "".join(p for p in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(p))
+        if base in table:
+            table.setdefault(chr(code), table[base])
+    return table
+
+
+@cache
+def _decomposed_letters() -> dict[str, str]:
+    """Character -> ASCII character, where the decomposition is one."""
+    return {k: v for k, v in _decompositions().items() if len(v) == 1}
+
+
+def _expand(c: Column, table: dict[str, str]) -> Column:
+    """Characters replaced by several, in the texts that hold one of them."""
+    pairs = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+    letters = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch))
+    return F.when(c.rlike("[" + "".join(table) + "]"), F.array_join(letters, "")).otherwise(c)
+
+
 def _translate(c: Column, table: dict[str, str]) -> Column:
     return F.translate(c, "".join(table), "".join(table.values()))
 
 
 def strip_marks(c: Column) -> Column:
     """Drop accents and other combining marks; every other character stays."""
-    plain = F.regexp_replace(_translate(c, _decomposed_letters()), r"\p{Mn}+", "")
+    several = {k: v for k, v in _decompositions().items() if len(v) > 1}
+    plain = F.regexp_replace(_translate(_expand(c, several), _decomposed_letters()), r"\p{Mn}+", "")
     return F.when(c.rlike(NON_ASCII), plain).otherwise(c)
 
 
 def unaccent(c: Column) -> Column:
-    """ASCII transliteration of Latin text and common punctuation.
+    """ASCII transliteration of Latin, Greek and Cyrillic text, compatibility characters and punctuation.
 
-    Rows that are ASCII already skip the work.  Characters outside the covered
-    ranges are dropped.
+    Rows that are ASCII already skip the work.  Characters that no table covers
+    are dropped.
     """
-    replaced = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), ONE_TO_MANY.items(), c)
-    many = F.when(c.rlike(f"[{''.join(ONE_TO_MANY)}]"), replaced).otherwise(c)
-    single = _translate(many, {**_decomposed_letters(), **ONE_TO_ONE})
+    table = {**_decompositions(), **_other_scripts(), **ONE_TO_ONE, **ONE_TO_MANY}
+    many = _expand(c, {k: v for k, v in table.items() if len(v) > 1})
+    single = _translate(many, {k: v for k, v in table.items() if len(v) == 1})
     return F.when(c.rlike(NON_ASCII), F.regexp_replace(single, NON_ASCII, "")).otherwise(c)
 
 
@@ -191,31 +225,22 @@ def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
     return F.coalesce(found, empty_strings())
 
 
-def keywords_from_hits(hits: Column, keywords: Sequence[str], vocabulary: Sequence[str]) -> Column:
-    """Keywords of one category contained in the text behind ``hits``, in list order, repeats kept.
+def _behind(hits: Column, terms: Sequence[str]) -> Column:
+    """The ``terms`` that the text behind ``hits`` contains, in list order, repeats kept.
 
-    A keyword is present when it, or a longer vocabulary term that starts with
-    it, was the longest match somewhere.
+    A term is present when it, or a longer vocabulary term that starts with it,
+    was the longest match somewhere.
     """
-    vocabulary = sorted(set(vocabulary))
+    listed = F.array(*map(F.lit, terms)) if terms else empty_strings()
+    present = F.filter(listed, lambda term: F.exists(hits, lambda hit: F.startswith(hit, term)))
+    return F.when(F.size(hits) == 0, empty_strings()).otherwise(present)
 
-    def present(keyword: str) -> Column:
-        extensions = [v for v in vocabulary if v.startswith(keyword)]
-        if len(extensions) == 1:
-            return F.array_contains(hits, keyword)
-        return F.arrays_overlap(hits, F.array(*map(F.lit, extensions)))
 
-    picks = [F.when(present(k), F.array(F.lit(k))).otherwise(empty_strings()) for k in keywords]
-    if not picks:
-        return empty_strings()
-    return F.when(F.size(hits) == 0, empty_strings()).otherwise(F.flatten(F.array(*picks)))
+def keywords_from_hits(hits: Column, keywords: Sequence[str]) -> Column:
+    """Keywords of one category contained in the text behind :func:`keyword_hits`, in list order, repeats kept."""
+    return _behind(hits, keywords)
 
 
 def longest_from_hits(hits: Column, names: Sequence[str]) -> Column:
-    """Longest of ``names`` among the hits of :func:`keyword_hits`; ties go to list order; else null.
-
-    The longest name a text contains is always a hit, because only a longer
-    name could hide it.
-    """
-    ordered = sorted(names, key=len, reverse=True)
-    return F.coalesce(*[F.when(F.array_contains(hits, n), F.lit(n)) for n in ordered])
+    """Longest of ``names`` in the text behind the hits of :func:`keyword_hits`; ties go to list order; else null."""
+    return F.get(_behind(hits, sorted(names, key=len, reverse=True)), F.lit(0))

@@ -17,8 +17,8 @@ from regionpulse.sources.dimensions import CANONICAL_EVENTS
 GROUP = ["estado", "tipo_evento"]
 URL_SEPARATOR = " | "
 
-# A group's URLs are joined into one text only up to this size.
-MAX_JOINED_URL_BYTES = 16 * 1024 * 1024
+# Size of one part of a group's URL list.
+PART_BYTES = 1024 * 1024
 
 
 def _has_items(c: str) -> Column:
@@ -95,25 +95,41 @@ def _count_groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def _list_urls(per_url: DataFrame, groups: DataFrame, max_url_bytes: int) -> DataFrame:
-    """Groups with their sorted URLs as one text, where it fits.
+def _list_urls(per_url: DataFrame, groups: DataFrame, part_bytes: int) -> DataFrame:
+    """Groups with their URLs as text in numbered parts, sorted inside each part; no URL is left out.
 
+    A checksum deals a group's URLs out to as many parts as its size asks for, so no task gets a whole large group.
     The per-URL rows feed the counts and the lists.  The listed rows keep every
     column, so both branches read one shuffle and the reports are scanned once.
-    The groups are broadcast: states come from a list of bounded size and event
-    types from the canonical map, so there are few.
     """
     row = F.struct("url", *[F.col(c).alias(f"_{c}") for c in _COMBINED])
-    fits = F.col("bytes") <= max_url_bytes
+    parts = F.greatest(F.ceil(F.col("bytes") / part_bytes), F.lit(1))
+    number = F.conv(F.substring(F.md5("_fila.url"), 1, 8), 16, 10).cast("long")
     return (
         per_url.select(*GROUP, row.alias("_fila"))
-        .join(F.broadcast(groups), GROUP)
-        .groupBy(*groups.columns)
-        .agg(F.collect_list(F.when(fits & F.col("_fila.url").isNotNull(), F.col("_fila"))).alias("_filas"))
-        .withColumn("urls", F.when(fits, F.array_join(F.array_sort("_filas")["url"], URL_SEPARATOR)))
+        .join(groups, GROUP)
+        .withColumn("parte", F.coalesce(F.pmod(number, parts), F.lit(0)))
+        .groupBy(*groups.columns, "parte")
+        .agg(F.collect_list(F.when(F.col("_fila.url").isNotNull(), F.col("_fila"))).alias("_filas"))
+        .withColumn("urls", F.array_join(F.array_sort("_filas")["url"], URL_SEPARATOR))
     )
 
 
+def alert_url_parts(
+    df: DataFrame,
+    hours: int,
+    now: datetime,
+    situation: Situation = None,
+    states: Sequence[str] | None = None,
+    mapping: Mapping[str, str] = CANONICAL_EVENTS,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """``(estado, tipo_evento, parte, urls)``: the URLs of each alert as text, in parts of about ``part_bytes``."""
+    events = explode_events(filter_alert_window(df, now, hours), situation, states, mapping)
+    per_url = _combine(events, [*GROUP, "url"])
+    return _list_urls(per_url, _count_groups(per_url), part_bytes).select(*GROUP, "parte", "urls")
+
+
 def alert_metrics(
     df: DataFrame,
     hours: int,
@@ -122,7 +138,7 @@ def alert_metrics(
     states: Sequence[str] | None = None,
     mapping: Mapping[str, str] = CANONICAL_EVENTS,
     urls: bool = True,
-    max_url_bytes: int = MAX_JOINED_URL_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Counts, sources, flags, latest date and level per state and event type.
 
@@ -130,15 +146,15 @@ def alert_metrics(
     combines inside the tasks first, so one group or source with most of the
     reports does not pile up in one task, and distinct sources need no set.
 
-    ``urls_relacionadas`` holds the sorted URLs; a group whose URLs exceed
-    ``max_url_bytes`` has null there and :func:`alert_urls` has its URLs.  Where
-    only the levels are needed, ``urls=False`` leaves the column null and saves
-    the step per URL.
+    ``urls_relacionadas`` holds the sorted URLs.  A group whose URLs exceed
+    ``part_bytes`` has a row for each part of them (:func:`alert_url_parts`
+    numbers these), so that all are published.  ``urls=False`` asks for the
+    levels alone: a row per group, null URLs, and no step per URL.
     """
     events = explode_events(filter_alert_window(df, now, hours), situation, states, mapping)
     if urls:
         per_url = _combine(events, [*GROUP, "url"])
-        groups = _list_urls(per_url, _count_groups(per_url), max_url_bytes)
+        groups = _list_urls(per_url, _count_groups(per_url), part_bytes)
     else:
         groups = _count_groups(events).withColumn("urls", F.lit(None).cast("string"))
     return groups.select(

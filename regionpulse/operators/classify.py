@@ -28,12 +28,14 @@ Situation = str | Sequence[str] | None
 def clean_texts(df: DataFrame) -> DataFrame:
     """Trim title and snippet and add their cleaned forms and the text to classify."""
     df = df.withColumns({c: strip(F.col(c)) for c in ("title", "snippet_full")})
-    df = df.withColumns(
-        {
-            "title_clean": F.coalesce(normalize_text(F.col("title")), F.lit("")),
-            "snippet_full_clean": normalize_text(F.col("snippet_full")),
-        }
+    # A generator of one row stands between cleaning and what reads it: a filter on a cleaned text is not moved
+    # below it, and the text is not cleaned again for every use.
+    cleaned = F.struct(
+        F.coalesce(normalize_text(F.col("title")), F.lit("")).alias("title"),
+        normalize_text(F.col("snippet_full")).alias("snippet_full"),
     )
+    df = df.drop("title_clean", "snippet_full_clean").withColumn("_limpio", F.explode(F.array(cleaned)))
+    df = df.withColumns({"title_clean": F.col("_limpio.title"), "snippet_full_clean": F.col("_limpio.snippet_full")}).drop("_limpio")
     return df.withColumn(
         "texto_clasificacion", classification_text(F.col("title_clean"), F.col("snippet_full_clean"))
     )
@@ -61,7 +63,7 @@ def tag_text(
     if not vocabulary:
         return df.withColumns({c: empty_strings() for c in lexicon})
     hits = F.col("_hits")
-    found = {c: keywords_from_hits(hits, keywords, vocabulary) for c, keywords in lexicon.items()}
+    found = {c: keywords_from_hits(hits, keywords) for c, keywords in lexicon.items()}
     if states:
         found["estado"] = longest_from_hits(hits, states)
     return (
@@ -108,11 +110,13 @@ def allowed_events(situation: Situation, groups: Mapping[str, Sequence[str]] = S
     return sorted({e for s in situation_list(situation) if s is not None for e in groups.get(s, ())})
 
 
-def filter_situation(c: Column, situation: Situation) -> Column:
+def filter_situation(
+    c: Column, situation: Situation, groups: Mapping[str, Sequence[str]] = SITUATION_EVENTS
+) -> Column:
     """Canonical events that belong to the situation, order kept."""
     if not situation:
         return c
-    allowed = allowed_events(situation)
+    allowed = allowed_events(situation, groups)
     return F.array_intersect(c, F.array(*map(F.lit, allowed)) if allowed else empty_strings())
 
 

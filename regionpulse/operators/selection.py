@@ -53,8 +53,8 @@ def enrich_with_alert(
     Ties go to the first event in alphabetical order; news outside every alert
     gets its first event and ``Verde``.  The alerts become one row per state
     with a level column per event type, so each article meets one row and is
-    neither multiplied nor regrouped.  That table is broadcast: it has a row per
-    state of a bounded list, however many articles there are.
+    neither multiplied nor regrouped.  Its size is known when it is made, and
+    adaptive execution broadcasts it if it is small.
     """
     types = event_types(mapping)
     if states is not None:
@@ -73,7 +73,7 @@ def enrich_with_alert(
             for t in types
         ]
     )
-    joined = news.join(F.broadcast(by_state), F.col("estado") == F.col("_estado"), "left")
+    joined = news.join(by_state, F.col("estado") == F.col("_estado"), "left")
     candidates = [
         F.when(
             F.array_contains("tipos_evento_canonico", t) & F.col(f"_nivel_{t}").isNotNull(),

@@ -1,7 +1,8 @@
 """Ledgers of what was already sent.
 
-A ledger is a Parquet table partitioned by ``batch_id``.  A batch writes its own
-partition with overwrite, so repeating it after a failure adds nothing twice.
+A ledger is a Parquet table partitioned by ``batch_id`` that only grows: a batch
+appends its keys, also when it runs again with other rows.  Every read is a set,
+so keys that a repeated batch writes twice do no harm.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ def _with_batch(schema: T.StructType) -> T.StructType:
 
 def read_sent_ledger(spark: SparkSession, path: str) -> DataFrame:
     """URLs already sent; empty when there is no ledger yet."""
-    return read_or_empty(spark, path, _with_batch(LEDGER_URLS)).select("url")
+    return read_or_empty(spark, path, _with_batch(LEDGER_URLS)).select("url").distinct()
 
 
 def read_alert_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Alert keys already sent; empty when there is no ledger yet."""
-    return read_or_empty(spark, path, _with_batch(LEDGER_ALERTS)).select("clave")
+    return read_or_empty(spark, path, _with_batch(LEDGER_ALERTS)).select("clave").distinct()
 
 
 def ledger_union(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -33,8 +34,8 @@ def ledger_union(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def record_batch(keys: DataFrame, key: str, path: str, batch_id: str | int) -> None:
-    """Write the keys of one batch; the same batch written again replaces itself."""
-    keys.select(key).distinct().write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Add the keys of one batch; what the ledger holds already stays."""
+    keys.select(key).distinct().write.mode("append").parquet(f"{path}/batch_id={batch_id}")
 
 
 def compact_ledger(spark: SparkSession, path: str, target: str, key: str) -> None:

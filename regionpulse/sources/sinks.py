@@ -94,6 +94,10 @@ def failed(outcomes: DataFrame) -> DataFrame:
 
 
 def sent_rows(rows: DataFrame, row_id: str, outcomes: DataFrame) -> DataFrame:
-    """Rows without a failed outcome: only these may enter the ledger."""
-    failures = failed(outcomes).select(F.col("row_id").alias("_failed"))
-    return rows.join(failures, F.col(row_id).cast("string") == F.col("_failed"), "left_anti")
+    """Rows with an accepted outcome and no failed one: only these may enter the ledger.
+
+    A row without an outcome, or with a null id, was not sent.
+    """
+    accepted = F.coalesce(F.col("estado_envio").isin(200, 201), F.lit(False))
+    sent = outcomes.where(F.col("row_id").isNotNull()).groupBy(F.col("row_id").alias("_sent")).agg(F.bool_and(accepted).alias("_ok"))
+    return rows.join(sent.where("_ok"), F.col(row_id).cast("string") == F.col("_sent"), "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,23 +15,30 @@ from regionpulse.sources.readers import read_or_empty
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def ledger_batch(key: str, ledger: str, order: list[str], also: BatchWriter | None = None) -> BatchWriter:
-    """``foreachBatch`` body: rows whose key is new go into the ledger's partition of this batch.
+def ledger_batch(
+    key: str, ledger: str, order: list[str], also: BatchWriter | None = None, stream: str = "stream"
+) -> BatchWriter:
+    """``foreachBatch`` body: rows whose key is new go into the ledger, in a partition of this stream and batch.
 
-    A batch that is repeated after a failure ignores its own earlier partition
-    and overwrites it, so a key is recorded once and the result is the same.
+    ``stream`` names the run of a checkpoint: a stream that starts with a new
+    checkpoint numbers its batches from 0 again and needs a new name, so that it
+    sees, and keeps, what earlier ones wrote.  A batch that is repeated after a
+    failure ignores its own partition and overwrites it, so a key is recorded
+    once and the result is the same.  Rows without a key are not recorded.
     ``also`` sees the new rows of the batch, for instance to send them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        schema = batch.select(key).schema.add("batch_id", "long")
+        own = f"{stream}-{batch_id}"
+        schema = batch.select(key).schema.add("batch_id", "string")
         seen = (
             read_or_empty(batch.sparkSession, ledger, schema)
-            .where(F.col("batch_id") < batch_id)
+            .where(F.col("batch_id") != own)
             .select(key)
         )
-        new = first_per_group(batch, [key], order).join(seen, key, "left_anti")
-        target = f"{ledger}/batch_id={batch_id}"
+        keyed = batch.where(F.col(key).isNotNull())
+        new = first_per_group(keyed, [key], order).join(seen, key, "left_anti")
+        target = f"{ledger}/batch_id={own}"
         new.write.mode("overwrite").parquet(target)
         if also is not None:
             also(batch.sparkSession.read.schema(batch.schema).parquet(target), batch_id)
@@ -39,11 +47,21 @@ def ledger_batch(key: str, ledger: str, order: list[str], also: BatchWriter | No
 
 
 def start_ledger_stream(
-    rows: DataFrame, key: str, ledger: str, checkpoint: str, order: list[str], also: BatchWriter | None = None
+    rows: DataFrame,
+    key: str,
+    ledger: str,
+    checkpoint: str,
+    order: list[str],
+    also: BatchWriter | None = None,
+    stream: str | None = None,
 ) -> StreamingQuery:
-    """Run :func:`ledger_batch` over everything available, resuming from the checkpoint."""
+    """Run :func:`ledger_batch` over everything available, resuming from the checkpoint.
+
+    Unless named, the stream is called after its checkpoint's folder.
+    """
+    name = stream or hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
     return (
-        rows.writeStream.foreachBatch(ledger_batch(key, ledger, order, also))
+        rows.writeStream.foreachBatch(ledger_batch(key, ledger, order, also, name))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -68,13 +68,19 @@ def test_metrics_row(spark):
     assert got["sismo"].n_noticias == 1 and set(got) == {"lluvias", "sismo"}
 
 
-def test_large_url_lists_stay_whole_in_the_long_form(spark):
-    rows = [report(f"https://a{i}.com/{i:04d}") for i in range(200)] + [report("https://x.com", "sucre")]
+def test_large_url_lists_come_in_parts_without_loss(spark):
+    rows = [report(f"https://a{i}.com/{i:04d}") for i in range(200)] + [report("https://x.com", "sucre"), report(None, "sucre")]
     df = frame(spark, rows)
-    got = {r.estado: r for r in A.alert_metrics(df, 48, NOW, max_url_bytes=300).collect()}
-    assert got["lara"].urls_relacionadas is None and got["lara"].n_noticias == 200
-    assert got["sucre"].urls_relacionadas == "https://x.com"
-    assert A.alert_urls(df, 48, NOW).where("estado = 'lara'").count() == 200
+    parts = A.alert_url_parts(df, 48, NOW, part_bytes=300).where("estado = 'lara'").collect()
+    assert len(parts) > 5 and len({p.parte for p in parts}) == len(parts)
+    # No part, and so no task, gets the whole group.
+    assert max(len(p.urls) for p in parts) < 1500
+    assert sorted(u for p in parts for u in p.urls.split(" | ")) == sorted(r[1] for r in rows[:200])
+    assert all(p.urls.split(" | ") == sorted(p.urls.split(" | ")) for p in parts)
+    got = A.alert_metrics(df, 48, NOW, part_bytes=300).collect()
+    assert sum(r.estado == "lara" for r in got) == len(parts) and {r.n_noticias for r in got if r.estado == "lara"} == {200}
+    assert [r.urls_relacionadas for r in got if r.estado == "sucre"] == ["https://x.com"]
+    assert sorted(K.prepare_metrics(A.alert_metrics(df, 48, NOW, part_bytes=300)).where("estado = 'lara'").toPandas()["urls_relacionadas"]) == sorted(p.urls for p in parts)
 
 
 def test_reports_are_scanned_once(spark, tmp_path):

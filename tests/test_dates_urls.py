@@ -48,6 +48,10 @@ SAMPLES = {
     "Ene 4, 2026": None,
     "sin fecha": None,
     "hace 99999999 dias": None,
+    "hace 0000003 dias": "2026-07-07",
+    "hace 1000000 horas": "1912-06-11",
+    "hace 99999999999999999999 horas": None,
+    "3\u202fjul\u20092026": "2026-07-03",
     "": None,
 }
 

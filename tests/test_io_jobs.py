@@ -92,9 +92,11 @@ def test_ledger_batches_repeat_safely(spark, tmp_path):
     ledgers.record_batch(keys, "url", path, "r1")
     ledgers.record_batch(keys, "url", path, "r1")
     ledgers.record_batch(spark.createDataFrame([("b",), ("c",)], LEDGER_URLS), "url", path, "r2")
-    assert sorted(r.url for r in ledgers.read_sent_ledger(spark, path).collect()) == ["a", "b", "b", "c"]
+    assert sorted(r.url for r in ledgers.read_sent_ledger(spark, path).collect()) == ["a", "b", "c"]
+    ledgers.record_batch(spark.createDataFrame([("d",)], LEDGER_URLS), "url", path, "r2")
+    assert sorted(r.url for r in ledgers.read_sent_ledger(spark, path).collect()) == ["a", "b", "c", "d"]
     ledgers.compact_ledger(spark, path, compact, "url")
-    assert sorted(r.url for r in ledgers.read_sent_ledger(spark, compact).collect()) == ["a", "b", "c"]
+    assert sorted(r.url for r in ledgers.read_sent_ledger(spark, compact).collect()) == ["a", "b", "c", "d"]
     union = ledgers.ledger_union(keys, spark.createDataFrame([("z",)], LEDGER_URLS), "url")
     assert sorted(r.url for r in union.collect()) == ["a", "b", "z"]
 

@@ -90,7 +90,22 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     write(spark.createDataFrame([("a",), ("a",), ("b",)], "k string"), 0)
     write(spark.createDataFrame([("b",), ("c",)], "k string"), 1)
     write(spark.createDataFrame([("b",), ("c",)], "k string"), 1)
-    assert sorted((r.k, r.batch_id) for r in spark.read.parquet(ledger).collect()) == [("a", 0), ("b", 0), ("c", 1)]
+    assert sorted((r.k, r.batch_id) for r in spark.read.parquet(ledger).collect()) == [("a", "stream-0"), ("b", "stream-0"), ("c", "stream-1")]
+    write(spark.createDataFrame([(None,), ("a",)], "k string"), 2)
+    again = SL.ledger_batch("k", ledger, ["k"], stream="second")
+    again(spark.createDataFrame([("a",), ("d",)], "k string"), 0)
+    assert sorted(r.k for r in spark.read.parquet(ledger).collect()) == ["a", "b", "c", "d"]
+
+
+def test_a_new_checkpoint_keeps_the_ledger(spark, tmp_path):
+    folder, ledger, sent = str(tmp_path / "in"), str(tmp_path / "l"), []
+    for n, names in enumerate((["a", "b"], ["a", "c"])):
+        spark.createDataFrame([(x,) for x in names], "k string").write.mode("overwrite").parquet(folder)
+        stream = spark.readStream.schema("k string").parquet(folder)
+        SL.start_ledger_stream(
+            stream, "k", ledger, str(tmp_path / f"cp{n}"), ["k"], lambda rows, _: sent.extend(r.k for r in rows.collect())
+        ).awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(ledger).collect()) == sorted(sent) == ["a", "b", "c"]
 
 
 def test_timeline_stream_appends(spark, tmp_path):

@@ -88,6 +88,28 @@ def test_state_is_the_longest_name_not_the_leftmost(spark):
     assert got == {0: "la guaira", 1: "zulia", 2: "zulia", 3: None, 4: None, 5: "aragua", 6: "aragua"}
 
 
+def test_state_under_a_longer_keyword(spark):
+    df = spark.createDataFrame([("lluvia en zulianos",), ("lluvia en apureno",), ("zulia",), ("nada",)], "texto_clasificacion string")
+    got = C.tag_text(df, {"zona": ["zulianos", "apureno"]}, ["zulia", "apure"]).collect()
+    assert [(r.estado, r.zona) for r in got] == [("zulia", ["zulianos"]), ("apure", ["apureno"]), ("zulia", []), (None, [])]
+
+
+def test_compatibility_characters_like_decomposition(value):
+    every = [chr(c) for c in (*range(0xA0, 0xD800), *range(0xF900, 0x10000)) if unicodedata.normalize("NFKD", chr(c)) != chr(c)]
+    plain = ["".join(p for p in unicodedata.normalize("NFKD", ch) if p.isascii()) for ch in every]
+    wanted = [(ch, w) for ch, w in zip(every, plain) if w and ch not in {**X.ONE_TO_ONE, **X.ONE_TO_MANY}]
+    assert len(wanted) > 1300
+    assert value(X.unaccent, [ch for ch, _ in wanted]) == [w for _, w in wanted]
+    assert value(X.unaccent, ["Ελλάδα Χίος ψυχή", "Москва Щёлково Ёж"]) == ["Ellada Chios psychi", "Moskva Shchiolkovo Iozh"]
+
+
+def test_each_text_is_cleaned_once(spark, tmp_path):
+    spark.createDataFrame([("a", "b")], "title string, snippet_full string").write.parquet(str(tmp_path / "t"))
+    df = C.clean_texts(spark.read.parquet(str(tmp_path / "t")))
+    plan = R.filter_gazetteer(df, ["caracas"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(trim(title") <= 3 and "Generate" in plan
+
+
 def test_canonical_events_and_situations(value, spark):
     arrays = [["sismo", " tembl"], ["huracan", "lluvi", "x"], [" crecida"], [], None, ["derrumb", "deslave"]]
     assert value(C.canonical_events, arrays, "array<string>") == [["sismo"], ["huracan", "lluvias"], [], [], [], ["lluvias", "sismo"]]

@@ -56,6 +56,12 @@ def alert_urls(spark: SparkSession, sf: str) -> DataFrame:
     return A.alert_urls(news(spark, sf), ALL_HOURS, LATEST)
 
 
+def alert_url_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The URLs of each alert in parts of two kilobytes."""
+    parts = A.alert_url_parts(news(spark, sf), ALL_HOURS, LATEST, part_bytes=2000)
+    return parts.withColumn("parte", F.col("parte").cast("long"))
+
+
 def explode_events(spark: SparkSession, sf: str) -> DataFrame:
     return A.explode_events(news(spark, sf)).withColumn("fecha_dt", day_text("fecha_dt"))
 
@@ -153,12 +159,12 @@ def ledger_update(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ledger_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Two batches recorded, the second one twice, then compacted."""
+    """Batches of all event types recorded, the last one twice, then compacted."""
     df = news(spark, sf).where("url IS NOT NULL")
     path, compact = scratch_path(spark, "ledger"), scratch_path(spark, "ledger")
     ledgers.record_batch(df.where("criterio_busqueda = 'view'"), "url", path, 1)
     for _ in range(2):
-        ledgers.record_batch(df.where("criterio_busqueda = 'click'"), "url", path, 2)
+        ledgers.record_batch(df.where("criterio_busqueda <> 'view'"), "url", path, 2)
     ledgers.compact_ledger(spark, path, compact, "url")
     return ledgers.read_sent_ledger(spark, compact)
 
@@ -271,7 +277,7 @@ def ledger_counters(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        alert_metrics, alert_metrics_72h, alert_metrics_situation, alert_urls, explode_events,
+        alert_metrics, alert_metrics_72h, alert_metrics_situation, alert_urls, alert_url_parts, explode_events,
         alert_window_filter, date_window, canonical_events, has_situation, most_severe_match,
         topk_per_situation, topk_merge, publish_news, publish_metrics, conform_metrics, choice_violations,
         submission_xml, alert_keys_new, ledger_anti_url, ledger_update, ledger_batches, publish_outcomes,
@@ -324,6 +330,11 @@ ORACLES = {
         SELECT {METRIC_COLUMNS} FROM metrics WHERE tipo_evento IN ('lluvias', 'sequia')""",
     "alert_urls": f"""WITH {NEWS_SQL} SELECT DISTINCT estado, tipo_evento, url FROM exploded
         WHERE url IS NOT NULL AND fecha_dt IS NOT NULL""",
+    "alert_url_parts": f"""WITH {NEWS_SQL},
+        u AS (SELECT DISTINCT estado, tipo_evento, url FROM exploded WHERE fecha_dt IS NOT NULL),
+        s AS (SELECT estado, tipo_evento, greatest(CAST(ceil(coalesce(sum(strlen(url) + 3), 0) / 2000.0) AS BIGINT), 1) AS n FROM u GROUP BY ALL)
+        SELECT estado, tipo_evento, coalesce(('0x' || substr(md5(url), 1, 8))::BIGINT % n, 0) AS parte,
+               coalesce(string_agg(url, ' | ' ORDER BY url), '') AS urls FROM u JOIN s USING (estado, tipo_evento) GROUP BY ALL""",
     "explode_events": f"""WITH {NEWS_SQL} SELECT estado, tipo_evento, url, strftime(fecha_dt, '%Y-%m-%d') AS fecha_dt,
         v AS victimas, r AS rescate, d AS danios FROM exploded""",
     "alert_window_filter": f"""WITH {NEWS_SQL} SELECT event_id, strftime(fecha_dt, '%Y-%m-%d') AS fecha_dt FROM news
@@ -393,7 +404,7 @@ ORACLES = {
         (SELECT 1 FROM news n WHERE n.criterio_busqueda = 'signup' AND n.url = e.url)""",
     "ledger_update": f"WITH {NEWS_SQL} SELECT DISTINCT url FROM news WHERE url IS NOT NULL",
     "ledger_batches": f"""WITH {NEWS_SQL} SELECT DISTINCT url FROM news
-        WHERE url IS NOT NULL AND criterio_busqueda IN ('view', 'click')""",
+        WHERE url IS NOT NULL AND criterio_busqueda IS NOT NULL""",
     "publish_outcomes": f"""{_ENRICHED} SELECT event_id, coalesce(url, '') AS enlace FROM enriched
         WHERE coalesce(url, '') NOT LIKE '%7'""",
     "append_increment": f"WITH {NEWS_SQL} SELECT event_id, url FROM news",

@@ -71,7 +71,7 @@ def stream_ledger(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = scratch_path(spark, "ledger"), scratch_path(spark, "checkpoint")
     for _ in range(2):
         SL.start_ledger_stream(keys, "clave", path, checkpoint, ["clave"]).awaitTermination()
-    return spark.read.schema("clave string, batch_id long").parquet(path).select("clave")
+    return spark.read.schema("clave string, batch_id string").parquet(path).select("clave")
 
 
 QUERIES = {f.__name__: f for f in (stream_dedupe, stream_alerts, stream_ledger)}

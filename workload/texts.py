@@ -24,7 +24,8 @@ REF = datetime(2026, 7, 4, 10, 30)
 LEXICON = {
     "eventos": ["ering", "tion", " tionth", "tion", "quement", "cion", "schung", "zzz"],
     "victimas": [" the", "there", "thereon", "ung", " heit", "ement"],
-    "daños": ["eauou", "tionou", "onnt", " para"],
+    # The last three go on from a state name without being one.
+    "daños": ["eauou", "tionou", "onnt", " para", "ungen", "quea", "thereonth"],
 }
 VOCABULARY = [k for words in LEXICON.values() for k in words]
 STATES = ["the", "there", "thereon", "que", "quement", "cion", "ung", "schung", "para"]
@@ -131,20 +132,22 @@ _MONTHS_EN = ["January", "February", "March", "April", "May", "June", "July", "A
 
 
 def snippets(spark: SparkSession, sf: str) -> DataFrame:
-    """Order dates written in sixteen forms."""
+    """Order dates written in sixteen forms, some with leading zeros, large numbers or Unicode spaces."""
     d, n = F.col("o_orderdate"), (F.col("o_orderkey") % 400).cast("string")
+    padded = F.when(F.col("o_orderkey") % 3 == 0, F.lpad(n, 9, "0")).otherwise(n)
+    many = (F.col("o_orderkey") % 400 + F.when(F.col("o_orderkey") % 3 == 1, 1_000_000).otherwise(0)).cast("string")
     day, year = F.dayofmonth(d).cast("string"), F.year(d).cast("string")
     es = F.element_at(strings(*_MONTHS_ES), F.month(d))
     en = F.element_at(strings(*_MONTHS_EN), F.month(d))
     short = F.substring(es, 1, 3)
     forms = [
-        F.concat(F.lit("  Hace "), n, F.lit(" díasTexto")),
+        F.concat(F.lit("  Hace "), padded, F.lit(" díasTexto")),
         F.concat(n, F.lit(" weeks ago. text")),
         F.lit("Ayer hubo lluvia"),
         F.lit("hoy, texto"),
         F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" texto")),
         F.concat(day, F.lit(" de "), F.regexp_replace(es, r"\.", ""), F.lit(" de "), year),
-        F.concat(day, F.lit(" "), F.upper(short), F.lit(". "), year, F.lit("Caracas.- Autoridades")),
+        F.concat(day, F.lit("\u202f"), F.upper(short), F.lit(".\u2009"), year, F.lit("Caracas.- Autoridades")),
         F.concat(day, F.lit(" "), es, F.lit(" de "), year),
         F.concat(F.substring(en, 1, 3), F.lit(" "), F.date_format(d, "dd"), F.lit(", "), year),
         F.concat(en, F.lit(". "), day, F.lit(" "), year, F.lit(" text")),
@@ -152,7 +155,7 @@ def snippets(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(year, F.lit("-13-"), F.date_format(d, "dd")),
         F.concat(F.lit("31 feb "), year),
         F.concat(F.lit("sin fecha "), n),
-        F.concat(F.lit("hace "), n, F.lit(" horas")),
+        F.concat(F.lit("hace "), many, F.lit(" horas")),
         F.concat(F.lit("hace "), n, F.lit(" meses")),
     ]
     form = F.col("o_orderkey") % 16
@@ -439,7 +442,7 @@ ORACLES = {
           WHEN form = 2 THEN DATE '2026-07-03' WHEN form = 3 THEN DATE '2026-07-04'
           WHEN form IN (4, 5, 6, 8, 9) THEN CAST(d AS DATE)
           WHEN form = 7 THEN CAST(d AS DATE)
-          WHEN form = 14 THEN CAST(TIMESTAMP '2026-07-04 10:30:00' - to_hours(CAST(n AS INTEGER)) AS DATE)
+          WHEN form = 14 THEN CAST(TIMESTAMP '2026-07-04 10:30:00' - to_hours(CAST(n + CASE WHEN o_orderkey % 3 = 1 THEN 1000000 ELSE 0 END AS INTEGER)) AS DATE)
           WHEN form = 15 THEN DATE '2026-07-04' - CAST(30 * n AS INTEGER) END, '%Y-%m-%d') AS fecha FROM parts""",
     "leading_date": f"""WITH {_SNIPPETS_SQL} SELECT o_orderkey FROM parts
         WHERE form IN (0, 12, 14) OR (form = 6 AND month(d) <> 9)""",
