@@ -14,7 +14,7 @@ CODEC = bpe.Codec(open(bpe.vocabulary_path(), encoding="utf-8").read())
 
 
 def same(text):
-    ids = CODEC.encode(text, {})
+    ids = CODEC.encode(text, bpe.Memory(CODEC))
     assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
     assert CODEC.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
 
