@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regionpulse.operators.classify import tag_text
@@ -22,21 +23,19 @@ def extract_entities(
     """``lugares`` and ``autoridades_actores`` from a model run over batches.
 
     ``make_extractor`` is called once per partition, so a model is loaded once
-    and then sees Arrow batches of texts.
+    and then sees Arrow batches of texts.  Only the text goes through Python.
     """
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField("lugares", STRINGS), T.StructField("autoridades_actores", STRINGS)]
-    )
+    schema = T.StructType([T.StructField("lugares", STRINGS), T.StructField("autoridades_actores", STRINGS)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         extract = make_extractor()
-        for batch in batches:
-            found = extract(batch[column].fillna(""))
-            yield batch.assign(
-                lugares=[places for places, _ in found], autoridades_actores=[actors for _, actors in found]
-            )
+        for texts in batches:
+            found = extract(texts.fillna(""))
+            yield pd.DataFrame({"lugares": [places for places, _ in found], "autoridades_actores": [actors for _, actors in found]})
 
-    return df.mapInPandas(run, schema)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    found = df.withColumn("_entidades", F.pandas_udf(run, schema)(F.col(column)))
+    return found.withColumns({c: F.col(f"_entidades.{c}") for c in ("lugares", "autoridades_actores")}).drop("_entidades")
 
 
 def match_entities(

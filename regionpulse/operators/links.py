@@ -2,64 +2,75 @@
 
 from __future__ import annotations
 
+import json
+import sys
+from collections.abc import Callable, Iterator
 from datetime import datetime
+from functools import cache
+from html.entities import html5
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionpulse.functions.dates import with_snippet_date
+from regionpulse.functions.html import page_hits as html_page_hits
+from regionpulse.functions.html import parse, result_blocks
 from regionpulse.functions.text import strip
 from regionpulse.functions.urls import clean_redirect, resolve_href
-from regionpulse.operators.filters import valid_hit, valid_link, valid_snippet
+from regionpulse.operators.filters import valid_link
 
 ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 
-# Markers of a result block, its title link, shown address and snippet.
-RESULT_BLOCK = (
-    r"""(?is)<(article|li|div)\s[^>]*?(?:data-testid="result"|data-layout="organic")[^>]*>(.*?)</\1>"""
-)
-TITLE_LINK = (
-    r"""(?is)<a\s[^>]*?(?:data-testid="result-title-a"|class="[^"]*result__a[^"]*")[^>]*>.*?</a>"""
-    r"""|<h2[^>]*>\s*<a\s[^>]*>.*?</a>"""
-)
-SHOWN_ADDRESS = (
-    r"""(?is)<(span|cite|a|div)\b[^>]*?(?:data-testid="result-extras-url-link"|class="[^"]*result__(?:url|domain)[^"]*")[^>]*>(.*?)</\1>"""
-)
-SNIPPET = (
-    r"""(?is)<(div|span|a|p)\b[^>]*?(?:data-result="snippet"|data-testid="result-snippet"|class="[^"]*(?:result__snippet|snippet)[^"]*")[^>]*>(.*?)</\1>"""
-)
-
-# Character references decoded in text and links.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+REFERENCE = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+@cache
+def _named_references() -> str:
+    """Named character references of HTML and their text, as JSON."""
+    return json.dumps({f"&{name}": text for name, text in html5.items() if name.endswith(";")})
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode the common character references, ``&amp;`` last."""
-    for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Decode character references, named and numeric ones; unknown ones stay."""
+    names = F.from_json(F.lit(_named_references()), "map<string,string>")
+    parts = F.split(c, rf"(?={REFERENCE})|(?<={REFERENCE})")
+
+    def decoded(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        code = F.when(F.lower(F.substring(part, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numeric = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.when(~F.startswith(part, F.lit("&")), part).otherwise(F.coalesce(F.try_element_at(names, part), numeric, part))
+
+    return F.when(c.rlike(REFERENCE), F.array_join(F.transform(parts, decoded), "")).otherwise(c)
 
 
 def plain_text(html: Column) -> Column:
     """Visible text of a piece of HTML, white space collapsed."""
     text = F.regexp_replace(html, r"<[^>]*>", "")
-    decoded = F.when(F.contains(html, F.lit("&")), decode_entities(text)).otherwise(text)
-    return strip(F.regexp_replace(decoded, r"\s+", " "))
+    return strip(F.regexp_replace(decode_entities(text), r"[\s\u00A0]+", " "))
+
+
+def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``value`` as a column that is computed once a row, also where lambdas read it."""
+    return df.withColumn(name, F.explode(F.array(value)))
 
 
 def _explode_first_links(pages: DataFrame, links: Column, others: list[str], url: str) -> DataFrame:
     """One row per link, the first per address, in page order; ``_i`` counts those kept.
 
-    ``links`` is an array of structs with an ``href``.  The array and its
-    addresses are columns of their own, so the comparison inside the array
-    does not compute them again for every element.
+    ``links`` is an array of structs with an ``href``.  Sorting by address and
+    place brings equal addresses together, so the work grows with the links and
+    not with their square.
     """
-    staged = pages.select(*others, F.col(url).alias("pagina"), links.alias("_links"))
-    staged = staged.withColumn("_hrefs", F.col("_links.href"))
-    first = F.filter("_links", lambda link, i: F.array_position(F.col("_hrefs"), link["href"]) == i + 1)
+    placed = F.transform(links, lambda link, i: F.struct(link["href"].alias("href"), i.alias("i"), link.alias("link")))
+    staged = _held(pages.select(*others, F.col(url).alias("pagina"), F.array_sort(placed).alias("_sorted")), "_sorted", F.col("_sorted"))
+    first = F.filter("_sorted", lambda x, k: (k == 0) | (F.get("_sorted", k - 1)["href"] != x["href"]))
+    in_order = F.array_sort(F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["link"].alias("link"))))
     return (
-        staged.withColumn("_first", first)
-        .select(*others, "pagina", F.posexplode_outer("_first").alias("_i", "_link"))
+        staged.select(*others, "pagina", F.posexplode_outer(in_order["link"]).alias("_i", "_link"))
         .where(F.col("_link").isNotNull())
     )
 
@@ -88,35 +99,24 @@ def extract_links(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     )
 
 
-def extract_results(pages: DataFrame, now: datetime, url: str = "url", html: str = "html") -> DataFrame:
-    """Result blocks of stored pages as raw hits, with title, address, snippet and date.
+def _reader(read: Callable[[str | None, str | None], list[tuple[str, str, str, str]]]):
+    schema = "array<struct<title:string,href:string,displayed_url:string,snippet:string>>"
 
-    Blocks without a usable link are dropped and repeated addresses of a page
-    kept once; ``rank`` counts the hits that remain.
-    """
-    others = [c for c in pages.columns if c not in (url, html)]
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for pages, addresses in batches:
+            yield pd.Series([[dict(zip(HIT, hit)) for hit in read(h, u)] for h, u in zip(pages, addresses)], dtype=object)
 
-    def parts(block: Column) -> Column:
-        return F.struct(
-            F.regexp_extract(block, TITLE_LINK, 0).alias("anchor"),
-            plain_text(F.regexp_extract(block, SHOWN_ADDRESS, 2)).alias("displayed_url"),
-            plain_text(F.regexp_extract(block, SNIPPET, 2)).alias("snippet"),
-        )
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, schema)
 
-    def hit(p: Column) -> Column:
-        target = F.nullif(F.regexp_extract(p["anchor"], ANCHOR, 1), F.lit(""))
-        return F.struct(
-            resolve_href(decode_entities(target), F.col(url)).alias("href"),
-            plain_text(F.regexp_extract(p["anchor"], ANCHOR, 2)).alias("title"),
-            p["displayed_url"].alias("displayed_url"),
-            F.when(valid_snippet(p["snippet"]), p["snippet"]).otherwise("").alias("snippet"),
-        )
 
-    blocks = F.regexp_extract_all(F.col(html), F.lit(RESULT_BLOCK), F.lit(2))
-    hits = F.filter(F.transform(F.transform(blocks, parts), hit), lambda h: valid_hit(h["href"]))
-    rows = _explode_first_links(pages, hits, others, url).select(
-        *others, "pagina", (F.col("_i") + 1).alias("rank"), "_link.*"
-    )
+HIT = ("title", "href", "displayed_url", "snippet")
+
+
+def _hits(pages: DataFrame, now: datetime, url: str, html: str, read) -> DataFrame:
+    others = [c for c in pages.columns if c not in (url, html)]
+    rows = pages.select(*others, F.col(url).alias("pagina"), _reader(read)(F.col(html), F.col(url)).alias("_hits"))
+    rows = rows.select(*others, "pagina", F.posexplode("_hits").alias("_i", "_hit")).select(*others, "pagina", (F.col("_i") + 1).alias("rank"), "_hit.*")
     return with_snippet_date(rows, "snippet", "fecha", now).select(
         *others,
         "pagina",
@@ -129,3 +129,22 @@ def extract_results(pages: DataFrame, now: datetime, url: str = "url", html: str
         F.col("snippet").alias("snippet_full"),
         F.lit("").alias("rich_type"),
     )
+
+
+def extract_results(pages: DataFrame, now: datetime, url: str = "url", html: str = "html") -> DataFrame:
+    """Result blocks of stored pages as raw hits, with title, address, snippet and date.
+
+    Elements nest, so the page is read by a small parser in Python; only the page and its address go there.  Blocks
+    without a usable link are dropped and repeated addresses of a page kept once; ``rank`` counts the hits that remain.
+    The snippet is the first valid text of the first selector that has one.
+    """
+    return _hits(pages, now, url, html, lambda page, base: result_blocks(parse(page), base or ""))
+
+
+def page_hits(pages: DataFrame, now: datetime, url: str = "url", html: str = "html") -> DataFrame:
+    """:func:`extract_results`, and for a page without any result its plain links."""
+    return _hits(pages, now, url, html, html_page_hits)
+
+
+# The functions travel to the executors by value, so that these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

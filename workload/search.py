@@ -66,13 +66,17 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents laid out as result blocks, two per page, read back as hits."""
+    """Documents laid out as result blocks of three kinds with nested elements, two per page, read back as hits."""
     d = spread(table(spark, sf, "documents"))
     body = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    kind = F.col("doc_id") % 3
+    opening = F.when(kind == 0, '<article data-testid="result">').when(kind == 1, '<ul><li data-layout="organic">').otherwise('<div class="x" data-testid="result">')
+    closing = F.when(kind == 0, "</article>").when(kind == 1, "</li></ul>").otherwise("</div>")
     block = F.concat(
-        F.lit('<article data-testid="result"><h2><a href="https://a.example.com/'), F.col("source"), F.lit("/"),
-        F.col("doc_id").cast("string"), F.lit('?a=1&amp;b=2"> <b>Nota</b> '), F.col("lang"),
-        F.lit('</a></h2><div data-result="snippet">3 jul 2026 '), body, F.lit("</div></article>"),
+        opening, F.lit('<div><h2><a href="https://a.example.com/'), F.col("source"), F.lit("/"),
+        F.col("doc_id").cast("string"), F.lit('?a=1&amp;b=2"> <b>Nota</b> &ntilde;&#233;&#xF3; '), F.col("lang"),
+        F.lit('</a></h2><div data-result="snippet">corto</div></div><div data-result="snippet"><div>3 jul 2026</div> <div>'), body,
+        F.lit("</div></div>"), closing,
     )
     pages = d.select(
         "doc_id", F.concat(F.lit("https://search.example/"), F.col("doc_id").cast("string")).alias("url"),
@@ -82,6 +86,12 @@ def page_results(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "rank", "title", "url", "fecha", F.length("snippet_full").cast("long").alias("largo"))
 
 
+def page_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits of whole pages: these have no result blocks, so their plain links count."""
+    found = L.page_hits(spread(table(spark, sf, "pages")), datetime(2026, 7, 4))
+    return found.select("page_id", "pagina", F.col("rank").cast("long").alias("rank"), "title", "url")
+
+
 def _media(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(F.col("c_name").alias("medio"), F.col("c_custkey").alias("ord"))
 
@@ -129,7 +139,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         domains, domain_counts, domain_excluded, domain_excluded_host, social_network, excluded_fixed_domains,
-        redirect_targets, valid_hits, page_links, page_results, query_grid, query_grid_sites, query_days,
+        redirect_targets, valid_hits, page_links, page_results, page_hits, query_grid, query_grid_sites, query_days,
         query_round_robin, choice_list, state_dimension, unmapped_keywords,
     )
 }
@@ -185,7 +195,7 @@ ORACLES = {
           WHERE length(title) > 10 AND contains(url, 'http') AND NOT contains(url, '#') AND NOT contains(url, 'javascript:')
             AND NOT contains(url, 'duckduckgo.com'))
         SELECT page_id, pagina, row_number() OVER (PARTITION BY page_id ORDER BY i) AS rank, title, url FROM valid WHERE seen = 1""",
-    "page_results": r"""SELECT doc_id, 1 AS rank, concat('Nota ', lang) AS title,
+    "page_results": r"""SELECT doc_id, 1 AS rank, concat('Nota ñéó ', lang) AS title,
         concat('https://a.example.com/', source, '/', doc_id, '?a=1&b=2') AS url,
         CASE WHEN length(shown) > 20 THEN '2026-07-03' END AS fecha, CASE WHEN length(shown) > 20 THEN length(shown) ELSE 0 END AS largo
         FROM (SELECT *, trim(regexp_replace(concat('3 jul 2026 ', text), '\s+', ' ', 'g')) AS shown FROM documents)""",
@@ -210,3 +220,4 @@ ORACLES = {
         n_nationkey AS ord FROM nation""",
     "unmapped_keywords": """SELECT DISTINCT 'eventos' AS category, event_type AS keyword FROM events WHERE event_type <> 'view'""",
 }
+ORACLES["page_hits"] = ORACLES["page_links"]
