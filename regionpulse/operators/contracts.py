@@ -78,7 +78,8 @@ def prepare_metrics(df: DataFrame, *keep: str) -> DataFrame:
         iso_timestamp(F.col("fecha_calculo")).alias("fecha_calculo"),
         choice_name(F.col("estado")).alias("estado"),
         "tipo_evento",
-        *[F.col(c).cast("int").alias(c) for c in ("ventana_horas", "n_noticias", "n_fuentes_distintas")],
+        # The contract asks for integers: a count beyond them is published as the largest one.
+        *[F.least(F.col(c).cast("long"), F.lit(2**31 - 1)).cast("int").alias(c) for c in ("ventana_horas", "n_noticias", "n_fuentes_distintas")],
         *[
             yes_no(F.col(c)).alias(c)
             for c in ("tiene_victimas", "tiene_rescate_activo", "tiene_danios_estructurales")
@@ -154,10 +155,18 @@ def choice_violations(df: DataFrame, contract: str, choices: DataFrame) -> DataF
     return counted.join(choices.select("list_name", F.col("name").alias("valor")), ["list_name", "valor"], "left_anti")
 
 
+def _stable_uuid(df: DataFrame, form_uuid: str) -> Column:
+    digest = F.md5(F.concat_ws("\u0001", F.lit(form_uuid), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+
+
 def submission_xml(
     df: DataFrame, form_id: str, form_uuid: str, fields: Sequence[str] | None = None, column: str = "xml"
 ) -> DataFrame:
-    """Rows plus one XML submission each; null and empty fields are left out."""
+    """Rows plus one XML submission each; null and empty fields are left out.
+
+    The submission's id is a digest of the row, so that a row that is sent again has the same one.
+    """
     present = [
         F.nullif(F.col(f).cast("string"), F.lit("")).alias(f) for f in (fields or df.columns)
     ]
@@ -165,7 +174,7 @@ def submission_xml(
         F.lit(form_id).alias("_id"),
         F.struct(F.lit(form_uuid).alias("uuid")).alias("formhub"),
         *present,
-        F.struct(F.concat(F.lit("uuid:"), F.uuid()).alias("instanceID")).alias("meta"),
+        F.struct(F.concat(F.lit("uuid:"), _stable_uuid(df, form_uuid)).alias("instanceID")).alias("meta"),
     )
     return df.withColumn(column, F.to_xml(body, {"rowTag": form_id}))
 

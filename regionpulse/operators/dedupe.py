@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regionpulse.sources.schemas import REDUNDANT_COLUMNS
 
@@ -17,6 +18,28 @@ MAP_SIDE_LIMIT = 1000
 GROUP_SLICES = 4096
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Maps cannot be hashed."""
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _holds_map(kind.elementType))
+
+
+def not_seen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """Rows whose key ``seen`` does not hold; null matches null.
+
+    Rows without a key take no part in the shuffle: whether they stay hangs on
+    one row at most of ``seen``.
+    """
+    given = F.col(key).isNotNull()
+    keys = seen.select(F.col(key).alias("_seen"))
+    fresh = rows.where(given).join(keys, F.col(key) == F.col("_seen"), "left_anti")
+    null_seen = keys.where("_seen IS NULL").limit(1).select(F.lit(0).alias("_nula"))
+    without = rows.where(~given).withColumn("_cero", F.lit(0))
+    kept = without.join(F.broadcast(null_seen), F.col("_cero") == F.col("_nula"), "left_anti").drop("_cero")
+    return fresh.unionByName(kept)
+
+
 def first_per_group(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], k: int = 1, rank: str | None = None
 ) -> DataFrame:
@@ -29,7 +52,8 @@ def first_per_group(
     """
     position = rank or "_pos"
     if k > MAP_SIDE_LIMIT:
-        slices = F.pmod(F.xxhash64(*df.columns), F.lit(GROUP_SLICES))
+        hashed = [f.name for f in df.schema if not _holds_map(f.dataType)]
+        slices = F.pmod(F.xxhash64(F.lit(0), *hashed), F.lit(GROUP_SLICES))
         inner = W.partitionBy(*keys, "_slice").orderBy(*order)
         df = (
             df.withColumn("_slice", slices)
@@ -92,5 +116,4 @@ def increment(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
     The append-only way to accumulate: only the keys of the old table move.
     """
-    seen = old.select(F.col(key).alias("_seen")).distinct()
-    return new.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+    return not_seen(new, old, key)

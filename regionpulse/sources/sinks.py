@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regionpulse.operators.dedupe import not_seen
 from regionpulse.sources.readers import read_or_empty
 
 OUTCOME = T.StructType(
@@ -43,9 +44,8 @@ def write_news(df: DataFrame, path: str) -> None:
 
 def append_increment(df: DataFrame, path: str, key: str) -> None:
     """Append only the rows whose key the table does not hold yet."""
-    saved = read_or_empty(df.sparkSession, path, df.schema).select(F.col(key).alias("_saved"))
-    new = df.join(saved, F.col(key).eqNullSafe(F.col("_saved")), "left_anti")
-    new.write.mode("append").parquet(path)
+    saved = read_or_empty(df.sparkSession, path, df.schema).select(key)
+    not_seen(df, saved, key).write.mode("append").parquet(path)
 
 
 def append_snapshot(df: DataFrame, path: str, calculated: str = "fecha_calculo") -> None:
@@ -67,15 +67,16 @@ def publish(
 ) -> DataFrame:
     """Send rows through a caller-supplied sink and return the outcome of each.
 
-    ``deliver`` takes a batch without the ``row_id`` column and gives one
-    ``(status, text)`` per row, in order.  It runs inside the tasks, one batch at a time.  Outcomes are
+    ``deliver`` takes a batch without the ``row_id`` column, which is its index, and gives one
+    ``(status, text)`` per row, in order.  It runs inside the tasks, one batch at a time; a task that is run again
+    delivers again, with the same index, by which a receiver can tell repeats.  Outcomes are
     written before they are read, so later steps do not send again.
     """
     columns = [c for c in rows.columns if c != row_id]
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            results = deliver(batch[columns])
+            results = deliver(batch.set_index(row_id)[columns])
             yield pd.DataFrame(
                 {
                     "row_id": batch[row_id].astype("string"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from regionpulse.functions.levels import news_level
 from regionpulse.functions.urls import domain
+from regionpulse.sources.readers import read_or_empty
 
 
 def dedupe_stream(hits: DataFrame, key: str = "url", event_time: str | None = None, delay: str = "7 days") -> DataFrame:
@@ -57,6 +60,34 @@ def sliding_alerts(
     )
 
 
+def start_alert_stream(per_source: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the counts of :func:`sliding_alerts` as a table of changes.
+
+    Every batch writes only the windows it has changed, in a partition of its
+    own, and windows behind the watermark leave the state.  A repeated batch
+    overwrites its partition.  :func:`latest_counts` reads the table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+
+    return (
+        per_source.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The last change of every window, group and source of an alert stream's table."""
+    changes = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("lote", T.LongType())]))
+    keys = ["ventana", "estado", "tipo_evento", "dominio"]
+    last = changes.groupBy(*keys).agg(F.max_by(F.struct("n", "victimas", "rescate", "danios"), "lote").alias("_ultimo"))
+    return last.select(*keys, "_ultimo.*")
+
+
 def alerts_from_sources(per_source: DataFrame) -> DataFrame:
     """Levels per window, state and event type from per-source counts."""
     known = F.col("dominio").isNotNull()

@@ -12,7 +12,7 @@ from regionpulse.operators import dedupe as D
 from regionpulse.operators import filters as R
 from regionpulse.operators import quality as Q
 from regionpulse.operators import selection as S
-from regionpulse.session import scratch_path
+from regionpulse.session import scratch_path, stage
 from regionpulse.sources import ledgers, sinks
 from workload.standins import (
     ALL_HOURS,
@@ -180,6 +180,25 @@ def publish_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.sent_rows(rows, "event_id", outcomes).select("event_id", "enlace")
 
 
+def publish_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch published three times, partly rejected at first; how often the ledger holds each accepted URL."""
+    rows = K.prepare_news(_enriched(spark, sf), "event_id").where("enlace <> ''").select("enlace", "titulo").dropDuplicates(["enlace"])
+    rows = rows.withColumn("url", F.col("enlace"))
+    ledger, accepted = scratch_path(spark, "ledger"), []
+    for refused in ("7", "3", ""):
+        def deliver(batch, refused=refused):
+            return [(500, "") if refused and url.endswith(refused) else (201, "") for url in batch["enlace"]]
+
+        fresh = stage(S.not_in_ledger(rows, ledgers.read_sent_ledger(spark, ledger), "url"))
+        outcomes = sinks.publish(fresh, "url", deliver, scratch_path(spark, "outcomes"))
+        sent = stage(sinks.sent_rows(fresh, "url", outcomes).select("url"))
+        ledgers.record_batch(sent, "url", ledger, "b1")
+        accepted.append(sent)
+    every = accepted[0].unionAll(accepted[1]).unionAll(accepted[2])
+    kept = ledgers.read_sent_ledger(spark, ledger)
+    return kept.join(every.groupBy("url").agg(F.count("*").alias("veces")), "url", "left")
+
+
 def append_increment(spark: SparkSession, sf: str) -> DataFrame:
     """A table that grew by two overlapping increments, by key."""
     df = news(spark, sf).select("event_id", "url")
@@ -281,7 +300,7 @@ QUERIES = {
         alert_window_filter, date_window, canonical_events, has_situation, most_severe_match,
         topk_per_situation, topk_merge, publish_news, publish_metrics, conform_metrics, choice_violations,
         submission_xml, alert_keys_new, ledger_anti_url, ledger_update, ledger_batches, publish_outcomes,
-        append_increment, dedupe_first, dedupe_social, dedupe_topk_large, dedupe_runs, dedupe_increment,
+        publish_retry, append_increment, dedupe_first, dedupe_social, dedupe_topk_large, dedupe_runs, dedupe_increment,
         union_missing, quality_counters, dedupe_counters, ledger_counters,
     )
 }
@@ -405,6 +424,7 @@ ORACLES = {
     "ledger_update": f"WITH {NEWS_SQL} SELECT DISTINCT url FROM news WHERE url IS NOT NULL",
     "ledger_batches": f"""WITH {NEWS_SQL} SELECT DISTINCT url FROM news
         WHERE url IS NOT NULL AND criterio_busqueda IS NOT NULL""",
+    "publish_retry": f"""{_ENRICHED} SELECT DISTINCT url, 1 AS veces FROM enriched WHERE coalesce(url, '') <> ''""",
     "publish_outcomes": f"""{_ENRICHED} SELECT event_id, coalesce(url, '') AS enlace FROM enriched
         WHERE coalesce(url, '') NOT LIKE '%7'""",
     "append_increment": f"WITH {NEWS_SQL} SELECT event_id, url FROM news",

@@ -47,16 +47,27 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     dated, _ = SN.split_undated(explode_events(_news(spark, sf)))
     path = scratch_path(spark, "stream")
     per_source = SN.sliding_alerts(dated, delay="40 days")
-    query = (
-        per_source.writeStream.outputMode("complete")
-        .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path))
-        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    result = SN.alerts_from_sources(spark.read.schema(per_source.schema).parquet(path))
-    return result.select(
+    SN.start_alert_stream(per_source, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _alerts(SN.latest_counts(spark, path, per_source.schema))
+
+
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Recent reports first, then older ones: windows behind the watermark take no more of them.
+
+    Rows are held against the watermark that the batch before the last one has left.
+    """
+    folder, path = scratch_path(spark, "landed"), scratch_path(spark, "stream")
+    events = explode_events(standins.news(spark, sf)).where("fecha_dt IS NOT NULL")
+    for days in ("fecha_dt >= DATE '2024-01-25'", "fecha_dt >= DATE '2024-01-20' AND fecha_dt < DATE '2024-01-25'", "fecha_dt < DATE '2024-01-20'"):
+        events.where(days).coalesce(1).write.mode("append").parquet(folder)
+    landed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    per_source = SN.sliding_alerts(landed, delay="1 day")
+    SN.start_alert_stream(per_source, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return _alerts(SN.latest_counts(spark, path, per_source.schema))
+
+
+def _alerts(per_source: DataFrame) -> DataFrame:
+    return SN.alerts_from_sources(per_source).select(
         F.date_format("desde", "yyyy-MM-dd HH:mm").alias("desde"), "estado", "tipo_evento", "n_noticias",
         "n_fuentes_distintas", "tiene_victimas", "tiene_rescate_activo", "tiene_danios_estructurales", "nivel_alerta",
     )
@@ -74,9 +85,46 @@ def stream_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("clave string, batch_id string").parquet(path).select("clave")
 
 
-QUERIES = {f.__name__: f for f in (stream_dedupe, stream_alerts, stream_ledger)}
+def stream_ledger_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """URLs recorded by a stream over some reports and by one with a new checkpoint over all of them."""
+    path = scratch_path(spark, "ledger")
+    hits = _news(spark, sf).select("url", "criterio_busqueda")
+    for rows in (hits.where("criterio_busqueda = 'signup'"), hits):
+        checkpoint = scratch_path(spark, "checkpoint")
+        SL.start_ledger_stream(rows.select("url"), "url", path, checkpoint, ["url"]).awaitTermination()
+    return spark.read.schema("url string, batch_id string").parquet(path).select("url")
+
+
+def stream_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Order snapshots appended to a timeline by a stream that is started twice."""
+    path, checkpoint = scratch_path(spark, "timeline"), scratch_path(spark, "checkpoint")
+    orders = _stream(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("fecha_calculo"))
+    for _ in range(2):
+        SL.start_timeline_stream(orders, path, checkpoint).awaitTermination()
+    rows = spark.read.schema("o_orderkey long, fecha_calculo timestamp, fecha_calculo_dia date").parquet(path)
+    return rows.select("o_orderkey", F.date_format("fecha_calculo_dia", "yyyy-MM-dd").alias("dia"))
+
+
+QUERIES = {
+    f.__name__: f for f in (stream_dedupe, stream_alerts, stream_late, stream_ledger, stream_ledger_restart, stream_timeline)
+}
+
+_SLID = """
+        SELECT strftime(desde, '%Y-%m-%d %H:%M') AS desde, estado, tipo_evento, count(*) AS n_noticias,
+               count(DISTINCT dominio) AS n_fuentes_distintas, bool_or(v) AS tiene_victimas, bool_or(r) AS tiene_rescate_activo,
+               bool_or(d) AS tiene_danios_estructurales,
+               CASE WHEN bool_or(v) AND count(DISTINCT dominio) FILTER (WHERE v) >= 2 THEN 'Rojo'
+                    WHEN bool_or(r) OR bool_or(d) THEN 'Naranja' WHEN count(*) >= 2 THEN 'Amarillo' ELSE 'Verde' END AS nivel_alerta
+        FROM slid GROUP BY desde, estado, tipo_evento"""
 
 ORACLES = {
+    "stream_late": f"""WITH {NEWS_SQL},
+        slid AS (
+          SELECT e.*, CAST(fecha_dt AS TIMESTAMP) - to_hours(CAST(12 * i AS INTEGER)) AS desde FROM exploded e, range(0, 6) t(i)
+          WHERE fecha_dt IS NOT NULL AND (fecha_dt >= DATE '2024-01-20' OR CAST(fecha_dt AS TIMESTAMP) + to_hours(CAST(72 - 12 * i AS INTEGER))
+            > (SELECT max(fecha_dt) FROM exploded WHERE fecha_dt >= DATE '2024-01-20') - INTERVAL 1 DAY)) {_SLID}""",
+    "stream_ledger_restart": f"WITH {NEWS_SQL} SELECT DISTINCT url FROM news WHERE url IS NOT NULL",
+    "stream_timeline": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS dia FROM orders",
     "stream_dedupe": f"WITH {NEWS_SQL} SELECT DISTINCT url FROM news",
     "stream_alerts": f"""WITH {NEWS_SQL},
         slid AS (
