@@ -113,6 +113,36 @@ def filter_gazetteer(df: DataFrame, terms: Sequence[str], column: str = "snippet
     return df.where(contains_any(F.col(column), terms))
 
 
+# Leading characters of a term that texts and terms are joined by.
+ANCHOR_LENGTH = 6
+
+
+def filter_gazetteer_table(
+    df: DataFrame, terms: DataFrame, column: str = "snippet_full_clean", term: str = "term"
+) -> DataFrame:
+    """:func:`filter_gazetteer` for a table of terms of any size.
+
+    Texts and terms meet on the first characters of the terms, in a join; the
+    whole term is then looked for in the text.  The terms are never part of the
+    plan and never on the driver.
+    """
+    lengths = list(range(1, ANCHOR_LENGTH + 1))
+    listed = terms.select(F.lower(F.col(term)).alias("_term")).where("_term <> ''").distinct()
+    listed = listed.withColumn("_gram", F.substring("_term", 1, ANCHOR_LENGTH))
+    used = {r[0] for r in listed.select(F.length("_gram")).distinct().collect()}
+    low = F.lower(F.col(column))
+    texts = df.where(low.isNotNull()).select(F.md5(low).alias("_key"), low.alias("_text"))
+    pieces = [
+        F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths if n in used
+    ]
+    if not pieces:
+        return df.where(F.lit(False))
+    grams = texts.select("_key", F.explode(F.array_distinct(F.concat(*pieces))).alias("_gram"))
+    likely = grams.join(listed, "_gram").select("_key", "_term").distinct()
+    found = likely.join(texts, "_key").where(F.contains("_text", F.col("_term"))).select("_key").distinct()
+    return df.join(found, F.md5(low) == F.col("_key"), "left_semi")
+
+
 def exclude_terms(df: DataFrame, terms: Sequence[str], column: str = "snippet_full_clean") -> DataFrame:
     """Rows whose text contains none of the terms; null text is kept."""
     return df.where(~F.coalesce(contains_any(F.col(column), terms), F.lit(False)))

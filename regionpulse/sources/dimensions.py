@@ -12,10 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionpulse.functions.text import capitalize, choice_name, normalize_term
+from regionpulse.functions.text import capitalize, choice_name, normalize_term, normalize_text
 from regionpulse.sources.schemas import (
+    ALIAS_DIM,
     CANONICAL_DIM,
     CHOICES,
+    GAZETTEER_DIM,
     LEXICON_DIM,
     QUAKE_THRESHOLDS,
     STATES_DIM,
@@ -49,7 +51,10 @@ MAX_PLAN_TERMS = 200_000
 
 
 def plan_values(df: DataFrame, *columns: str, limit: int = MAX_PLAN_TERMS) -> list:
-    """Rows of a small dimension as Python values, refusing anything above ``limit``."""
+    """Rows of a small dimension as Python values, refusing anything above ``limit``.
+
+    A longer gazetteer stays a table: ``filters.filter_gazetteer_table`` joins it.
+    """
     rows = df.select(*columns).limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"dimension has more than {limit} rows and cannot be part of a plan")
@@ -95,6 +100,17 @@ def load_mapping(dim: DataFrame, key: str, value: str) -> dict[str, str]:
     return dict(plan_values(dim, key, value))
 
 
+def gazetteer_dim(terms: DataFrame, normalize: bool = True) -> DataFrame:
+    """``(term, kind)`` rows of a gazetteer of any size, once each, in the form terms have in cleaned text."""
+    term = normalize_text(F.col("term")) if normalize else F.col("term")
+    return terms.select(term.alias("term"), "kind").where("term <> ''").distinct().to(GAZETTEER_DIM)
+
+
+def load_aliases(aliases: DataFrame, blacklist: DataFrame | None = None) -> tuple[dict[str, str], list[str]]:
+    """Place aliases ``(raw, clean)`` and excluded terms, as the settings of the place cleaning."""
+    return dict(plan_values(aliases.to(ALIAS_DIM), "raw", "clean")), plan_values(blacklist, "term") if blacklist else []
+
+
 def canonical_dim(spark: SparkSession, mapping: Mapping[str, str] = CANONICAL_EVENTS) -> DataFrame:
     return spark.createDataFrame(list(mapping.items()), CANONICAL_DIM)
 

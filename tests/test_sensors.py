@@ -14,13 +14,13 @@ from regionpulse.plans.rain import run_rain
 from regionpulse.sources import dimensions
 
 STATES = {
-    "lara": {"capital": "Barquisimeto", "lat": 10.0678, "lon": -69.3467},
-    "la guaira": {"capital": "La Guaira", "lat": 10.6, "lon": -66.9331},
-    "zulia": {"capital": "Maracaibo", "lat": 10.6333, "lon": -71.6333},
+    "norte": {"capital": "Puerto Norte", "lat": 10.05, "lon": -69.35},
+    "alto rio": {"capital": "Villa Alta", "lat": 10.55, "lon": -66.95},
+    "sur": {"capital": "Ciudad Sur", "lat": 10.7, "lon": -71.7},
 }
 THRESHOLDS = {
-    "zulia": {"umbral_amarillo": 4.5, "umbral_naranja": 5.5, "umbral_rojo": 6.5},
-    "_default": {"umbral_amarillo": 4.0, "umbral_naranja": 5.0, "umbral_rojo": 6.0},
+    "sur": {"umbral_amarillo": 4.2, "umbral_naranja": 5.1, "umbral_rojo": 6.3},
+    "_default": {"umbral_amarillo": 3.9, "umbral_naranja": 4.8, "umbral_rojo": 5.9},
 }
 
 
@@ -45,22 +45,22 @@ def test_rain_levels_and_medians(spark):
 
     rows = []
     # 3 days now; even number of earlier years: the median is between two totals
-    rows += series("lara", [(d, 20.0) for d in days] + year(1, 10.0) + year(2, 5.0))
-    rows += series("la guaira", [(d, 6.0) for d in days] + year(1, 0.0))  # dry normal: the floor applies
-    rows += series("zulia", [(d, 50.0) for d in days])  # no earlier year
-    rows += series("lara", [(start - timedelta(days=1), 999.0), (end + timedelta(days=1), 999.0)])
+    rows += series("norte", [(d, 20.0) for d in days] + year(1, 10.0) + year(2, 5.0))
+    rows += series("alto rio", [(d, 6.0) for d in days] + year(1, 0.0))  # dry normal: the floor applies
+    rows += series("sur", [(d, 50.0) for d in days])  # no earlier year
+    rows += series("norte", [(start - timedelta(days=1), 999.0), (end + timedelta(days=1), 999.0)])
     daily = spark.createDataFrame(rows, "estado string, fecha date, mm double")
     states = dimensions.states_dim(spark, STATES)
     got = {r.estado: r for r in N.rain_risk(daily, states, start, end, years=3, min_normal_mm=15).collect()}
-    assert set(got) == {"lara", "la guaira"}
+    assert set(got) == {"norte", "alto rio"}
     totals = [sum(mm for d, mm in year(k, v)) for k, v in ((1, 10.0), (2, 5.0))]
-    assert got["lara"].normal_historico == round(median(totals), 2) and got["lara"].anios_historicos_usados == 2
-    assert got["lara"].acumulado == 60.0
+    assert got["norte"].normal_historico == round(median(totals), 2) and got["norte"].anios_historicos_usados == 2
+    assert got["norte"].acumulado == 60.0
     ratio = round(60.0 / median(totals), 2)
-    assert got["lara"].saturacion == round(ratio * 100, 2)
-    guaira = got["la guaira"]
-    assert (guaira.acumulado, guaira.normal_historico, guaira.saturacion, guaira.alerta) == (18.0, 0.0, 120.0, "VERDE")
-    assert (guaira.umbral_amarillo, guaira.umbral_naranja, guaira.umbral_rojo) == (18.75, 25.5, 33.0)
+    assert got["norte"].saturacion == round(ratio * 100, 2)
+    alto = got["alto rio"]
+    assert (alto.acumulado, alto.normal_historico, alto.saturacion, alto.alerta) == (18.0, 0.0, 120.0, "VERDE")
+    assert (alto.umbral_amarillo, alto.umbral_naranja, alto.umbral_rojo) == (18.75, 25.5, 33.0)
 
 
 def test_ratio_edges_are_inclusive(spark):
@@ -77,13 +77,13 @@ def test_ratio_edges_are_inclusive(spark):
 
 
 def test_nothing_to_divide_by_leaves_the_state_out(spark):
-    daily = spark.createDataFrame([("lara", date(2023, 7, 1), 5.0), ("lara", date(2022, 7, 1), 0.0)], "estado string, fecha date, mm double")
+    daily = spark.createDataFrame([("norte", date(2023, 7, 1), 5.0), ("norte", date(2022, 7, 1), 0.0)], "estado string, fecha date, mm double")
     assert N.rain_risk(daily, dimensions.states_dim(spark, STATES), date(2023, 7, 1), date(2023, 7, 1), 1, 0.0).count() == 0
 
 
 def test_overlapping_windows_match_brute_force(spark):
     rng = random.Random(5)
-    rows = [("lara", date(2020, 1, 1) + timedelta(days=rng.randrange(1500)), float(rng.randrange(50))) for _ in range(400)]
+    rows = [("norte", date(2020, 1, 1) + timedelta(days=rng.randrange(1500)), float(rng.randrange(50))) for _ in range(400)]
     daily = spark.createDataFrame(rows, "estado string, fecha date, mm double")
     start, end = date(2022, 1, 10), date(2023, 6, 1)
     expected = {
@@ -95,20 +95,20 @@ def test_overlapping_windows_match_brute_force(spark):
 
 def test_rain_bounds_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "r")
-    spark.createDataFrame([("lara", date(2023, 7, 1), 5.0)], "estado string, fecha date, mm double").write.parquet(path)
+    spark.createDataFrame([("norte", date(2023, 7, 1), 5.0)], "estado string, fecha date, mm double").write.parquet(path)
     windows = N.rain_windows(spark.read.parquet(path), date(2023, 6, 1), date(2023, 7, 1), 3)
     plan = windows._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(" in plan
 
 
 def test_cumulative_and_output(spark):
-    rows = [("lara", date(2023, 7, d), float(d)) for d in (1, 2, 2, 3)] + [("lara", date(2022, 7, 2), 4.0)]
+    rows = [("norte", date(2023, 7, d), float(d)) for d in (1, 2, 2, 3)] + [("norte", date(2022, 7, 2), 4.0)]
     daily = spark.createDataFrame(rows, "estado string, fecha date, mm double")
     got = N.cumulative_rain(daily, date(2023, 7, 1), date(2023, 7, 3)).orderBy("fecha").collect()
     assert [(r.mm, r.acumulado_mm) for r in got] == [(1.0, 1.0), (4.0, 5.0), (3.0, 8.0)]
     out = run_rain(daily, dimensions.states_dim(spark, STATES), date(2023, 7, 3), datetime(2023, 7, 3, 8), window_days=2, years=1)
     assert out.first().asDict() == {
-        "fecha_calculo": datetime(2023, 7, 3, 8), "estado": "lara", "capital": "Barquisimeto", "precipitacion_30dias": 8.0,
+        "fecha_calculo": datetime(2023, 7, 3, 8), "estado": "norte", "capital": "Puerto Norte", "precipitacion_30dias": 8.0,
         "saturacion": 53.0, "nivel_alerta": "verde", "umbral_amarillo": 18.75, "umbral_naranja": 25.5, "umbral_rojo": 33.0,
     }
 
@@ -172,15 +172,15 @@ def test_quake_metrics_cover_every_state(spark):
     states, thresholds = dimensions.states_dim(spark, STATES), dimensions.thresholds_dim(spark, THRESHOLDS)
     now = datetime(2026, 7, 10)
     assigned, metrics = run_quakes(events, states, thresholds, now, now)
-    assert {r.id_evento: r.estado for r in assigned.collect()} == {"1": "lara", "2": "lara", "3": None}
+    assert {r.id_evento: r.estado for r in assigned.collect()} == {"1": "norte", "2": "norte", "3": None}
     rows = metrics.collect()
-    assert [r.estado for r in rows] == ["lara", "la_guaira", "zulia"]
-    lara, guaira, _ = rows
-    assert (lara.n_sismos, lara.magnitud_maxima, lara.magnitud_promedio, lara.profundidad_promedio_km, lara.nivel_alerta) == (2, 4.25, 4.12, 15.0, "amarillo")
-    assert (guaira.n_sismos, guaira.magnitud_maxima, guaira.nivel_alerta) == (0, 0.0, "verde")
+    assert [r.estado for r in rows] == ["norte", "alto_rio", "sur"]
+    norte, alto, _ = rows
+    assert (norte.n_sismos, norte.magnitud_maxima, norte.magnitud_promedio, norte.profundidad_promedio_km, norte.nivel_alerta) == (2, 4.25, 4.12, 15.0, "amarillo")
+    assert (alto.n_sismos, alto.magnitud_maxima, alto.nivel_alerta) == (0, 0.0, "verde")
     # null magnitudes count as events and stay green
     only_null = Z.assign_nearest_state(events.where("id_evento = '4'"), states, 150.0)
-    row = Z.quake_metrics(only_null, states, thresholds, 30, now).where(F.col("estado") == "la_guaira").first()
+    row = Z.quake_metrics(only_null, states, thresholds, 30, now).where(F.col("estado") == "alto_rio").first()
     assert (row.n_sismos, row.magnitud_maxima, row.nivel_alerta) == (1, None, "verde")
     assert Z.quake_metrics(assigned.where("false"), states, thresholds, 30, now).count() == 3
 

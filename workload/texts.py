@@ -14,7 +14,7 @@ from regionpulse.operators import entities as E
 from regionpulse.operators import filters as R
 from regionpulse.plans.news import NewsSettings, collect_raw, process_news, run_news
 from regionpulse.session import scratch_path, spread
-from regionpulse.sources import readers
+from regionpulse.sources import readers, sinks
 from workload.standins import day_text, joined, strings, table
 
 REF = datetime(2026, 7, 4, 10, 30)
@@ -99,6 +99,44 @@ def gazetteer_filter(spark: SparkSession, sf: str) -> DataFrame:
     return R.filter_gazetteer(clean(spark, sf), GAZETTEER, "texto").select("doc_id")
 
 
+def gazetteer_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows with the terms as a table."""
+    terms = spark.createDataFrame([(t,) for t in [*GAZETTEER, "qqqqzz", None, ""]], "term string")
+    return R.filter_gazetteer_table(clean(spark, sf), terms, "texto").select("doc_id")
+
+
+def strict_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates in forms that are a date and forms that are none."""
+    day, key = F.date_format("o_orderdate", "yyyy-M-d"), F.col("o_orderkey")
+    form = F.when(key % 4 == 0, day).when(key % 4 == 1, F.concat(day, F.lit(" 10:00"))).when(key % 4 == 2, "2026-13-01").otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd")
+    )
+    return table(spark, sf, "orders").select("o_orderkey", F.date_format(dates.strict_date(form), "yyyy-MM-dd").alias("dia"))
+
+
+def news_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed documents written by publication date, as a version and as an accumulated table, and read back."""
+    path, accumulated = scratch_path(spark, "processed"), scratch_path(spark, "accumulated")
+    rows = table(spark, sf, "documents").select(
+        F.concat(F.lit("https://d.example.com/"), F.col("doc_id").cast("string")).alias("url"),
+        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("fecha_dt"),
+        F.array(F.col("lang"), F.col("source")).alias("eventos"),
+    )
+    sinks.write_news(rows, path)
+    first = readers.read_processed(spark, path, rows.schema)
+    version = sinks.write_version(first.where("url NOT LIKE '%7'"), accumulated)
+    kept = readers.read_accumulated(spark, version, rows.schema)
+    return kept.select("url", day_text("fecha_dt"), joined("eventos"))
+
+
+def export_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts exported as CSV and read back."""
+    path = scratch_path(spark, "export")
+    rows = table(spark, sf, "part").select("p_partkey", "p_name", F.concat(F.lit('a "b", c; '), "p_brand").alias("marca"))
+    sinks.export_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
 def exclude_terms(spark: SparkSession, sf: str) -> DataFrame:
     return R.exclude_terms(clean(spark, sf), FOREIGN, "texto").select("doc_id")
 
@@ -113,11 +151,10 @@ def classification_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def empty_snippets(spark: SparkSession, sf: str) -> DataFrame:
-    df = docs(spark, sf).select(
-        "doc_id",
-        F.when(F.col("lang") == "de", "  ").when(F.col("lang") == "fr", "nan").when(F.col("lang") == "en", F.col("text")).alias("snippet_full"),
-    )
-    return R.filter_empty_snippet(df).select("doc_id")
+    """Texts of all languages, some of them blank, ``nan`` or missing."""
+    i = F.col("doc_id")
+    text_of = F.when(i % 7 == 0, "  ").when(i % 7 == 1, "nan").when(i % 7 == 2, F.lit(None).cast("string")).otherwise(F.col("text"))
+    return R.filter_empty_snippet(docs(spark, sf).select("doc_id", text_of.alias("snippet_full"))).select("doc_id")
 
 
 def snippet_validity(spark: SparkSession, sf: str) -> DataFrame:
@@ -345,6 +382,7 @@ QUERIES = {
     for f in (
         normalize_documents, unaccent_documents, choice_names, match_keywords, category_coverage,
         keyword_frequencies, gazetteer_filter, exclude_terms, extract_state_longest, classification_text,
+        gazetteer_join, strict_dates, news_tables, export_table,
         empty_snippets, snippet_validity, snippet_dates, leading_date, relative_dates, shifted_years,
         place_cleaning, top_places, top_states, top_actors, total_mentions, list_literals, match_entities,
         extract_entities, news_processed, news_alerts, raw_parts,
@@ -430,10 +468,16 @@ ORACLES = {
         labels AS (SELECT CASE WHEN w IN ('tion', 'cion', 'ering') THEN 'sufijos' WHEN w = 'schung' THEN 'aleman' ELSE w END AS w FROM words)
         SELECT concat(upper(substr(w, 1, 1)), substr(w, 2)) AS etiqueta, count(*) AS n FROM labels GROUP BY 1""",
     "gazetteer_filter": f"WITH {CLEAN_SQL} SELECT doc_id FROM clean WHERE {_any(GAZETTEER)}",
+    "gazetteer_join": f"WITH {CLEAN_SQL} SELECT doc_id FROM clean WHERE {_any(GAZETTEER)}",
+    "strict_dates": """SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 3) THEN strftime(o_orderdate, '%Y-%m-%d') END AS dia FROM orders""",
+    "news_tables": """SELECT concat('https://d.example.com/', doc_id) AS url,
+        strftime(DATE '2026-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y-%m-%d') AS fecha_dt, concat(lang, ';', source) AS eventos
+        FROM documents WHERE doc_id % 10 <> 7""",
+    "export_table": """SELECT p_partkey, p_name, concat('a "b", c; ', p_brand) AS marca FROM part""",
     "exclude_terms": f"WITH {CLEAN_SQL} SELECT doc_id FROM clean WHERE NOT {_any(FOREIGN)}",
     "extract_state_longest": f"WITH {CLEAN_SQL} SELECT doc_id, {_longest(STATES)} AS estado FROM clean",
     "classification_text": f"WITH {CLEAN_SQL} SELECT c.doc_id, trim(concat(d.source, ' ', c.texto)) AS texto FROM clean c JOIN documents d USING (doc_id)",
-    "empty_snippets": "SELECT doc_id FROM documents WHERE lang = 'en' AND trim(text) NOT IN ('', 'nan')",
+    "empty_snippets": "SELECT doc_id FROM documents WHERE doc_id % 7 > 2 AND trim(text) NOT IN ('', 'nan')",
     "snippet_validity": r"SELECT doc_id FROM documents WHERE lang <> 'de' AND length(trim(text, ' ' || chr(10) || chr(9) || chr(13))) > 20",
     "snippet_dates": f"""WITH {_SNIPPETS_SQL}
         SELECT o_orderkey, strftime(CASE
