@@ -137,7 +137,7 @@ def filter_gazetteer_table(
     ]
     if not pieces:
         return df.where(F.lit(False))
-    grams = texts.select("_key", F.explode(F.array_distinct(F.concat(*pieces))).alias("_gram"))
+    grams = texts.select("_key", F.explode(F.concat(*pieces)).alias("_gram"))
     likely = grams.join(listed, "_gram").select("_key", "_term").distinct()
     found = likely.join(texts, "_key").where(F.contains("_text", F.col("_term"))).select("_key").distinct()
     return df.join(found, F.md5(low) == F.col("_key"), "left_semi")

@@ -11,6 +11,7 @@ from regionpulse.operators import contracts as K
 from regionpulse.operators import dedupe as D
 from regionpulse.operators import filters as R
 from regionpulse.operators import quality as Q
+from regionpulse.operators import searchgrid as G
 from regionpulse.operators import selection as S
 from regionpulse.session import scratch_path, stage
 from regionpulse.sources import ledgers, sinks
@@ -28,6 +29,7 @@ from workload.standins import (
     joined,
     metrics_sql,
     news,
+    positions,
     table,
 )
 
@@ -52,6 +54,17 @@ def alert_metrics_situation(spark: SparkSession, sf: str) -> DataFrame:
     return _metrics(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST, situation=["lluvias", "sequia"]))
 
 
+def alerts_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return positions(A.sort_alerts(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST, urls=False))).select("orden", "estado", "tipo_evento")
+
+
+def tagged_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits of two searches, each with its query."""
+    hits = table(spark, sf, "events").select("event_id", "user_id")
+    one, two = (G.tag_hits(hits.where(f"event_id % 2 = {i}"), q) for i, q in enumerate(("lluvia site:ve", 'sismo "zona"')))
+    return one.unionByName(two)
+
+
 def alert_urls(spark: SparkSession, sf: str) -> DataFrame:
     return A.alert_urls(news(spark, sf), ALL_HOURS, LATEST)
 
@@ -125,6 +138,12 @@ def conform_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def conform_news(spark: SparkSession, sf: str) -> DataFrame:
+    """The load date, which is today's, aside."""
+    rows = K.conform_output(K.prepare_news(_enriched(spark, sf), "event_id"), "news")
+    return rows.drop("fecha_carga").withColumn("fecha", F.date_format("fecha", "yyyy-MM-dd"))
+
+
 def choice_violations(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select(
         F.concat(F.lit("nation_"), (F.col("user_id") % 30).cast("string")).alias("estado"),
@@ -296,7 +315,7 @@ def ledger_counters(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        alert_metrics, alert_metrics_72h, alert_metrics_situation, alert_urls, alert_url_parts, explode_events,
+        alert_metrics, alert_metrics_72h, alert_metrics_situation, alerts_ranked, tagged_hits, conform_news, alert_urls, alert_url_parts, explode_events,
         alert_window_filter, date_window, canonical_events, has_situation, most_severe_match,
         topk_per_situation, topk_merge, publish_news, publish_metrics, conform_metrics, choice_violations,
         submission_xml, alert_keys_new, ledger_anti_url, ledger_update, ledger_batches, publish_outcomes,
@@ -347,6 +366,9 @@ ORACLES = {
     "alert_metrics_72h": f"WITH {NEWS_SQL}, {metrics_sql(*WINDOW_72H)} SELECT {METRIC_COLUMNS} FROM metrics",
     "alert_metrics_situation": f"""WITH {NEWS_SQL}, {metrics_sql(*WINDOW_ALL)}
         SELECT {METRIC_COLUMNS} FROM metrics WHERE tipo_evento IN ('lluvias', 'sequia')""",
+    "alerts_ranked": f"""WITH {NEWS_SQL}, {metrics_sql(*WINDOW_ALL)} SELECT row_number() OVER (ORDER BY {_SEV.replace("nivel", "nivel_alerta", 1)},
+        n_noticias DESC, estado, tipo_evento) - 1 AS orden, estado, tipo_evento FROM metrics""",
+    "tagged_hits": """SELECT event_id, user_id, CASE event_id % 2 WHEN 0 THEN 'lluvia site:ve' ELSE 'sismo "zona"' END AS criterio_busqueda FROM events""",
     "alert_urls": f"""WITH {NEWS_SQL} SELECT DISTINCT estado, tipo_evento, url FROM exploded
         WHERE url IS NOT NULL AND fecha_dt IS NOT NULL""",
     "alert_url_parts": f"""WITH {NEWS_SQL},
@@ -449,3 +471,4 @@ ORACLES = {
     "ledger_counters": f"""WITH {NEWS_SQL} SELECT count(*) AS filas, count(*) FILTER (WHERE url IN
         (SELECT url FROM news WHERE criterio_busqueda = 'signup' AND url IS NOT NULL)) AS omitidas FROM news""",
 }
+ORACLES["conform_news"] = f"SELECT * EXCLUDE (event_id, fecha), nullif(fecha, '') AS fecha FROM ({ORACLES['publish_news']})"

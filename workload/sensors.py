@@ -25,6 +25,7 @@ from workload.standins import (
     RAIN_YEARS,
     STATES_SQL,
     day_text,
+    positions,
     quakes,
     rain_daily,
     states,
@@ -54,6 +55,15 @@ def rain_risk(spark: SparkSession, sf: str) -> DataFrame:
     return N.sort_rain(_risk(spark, sf))
 
 
+def rain_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return positions(N.sort_rain(_risk(spark, sf))).select("orden", "estado")
+
+
+def conform_rain(spark: SparkSession, sf: str) -> DataFrame:
+    rows = K.conform_output(publish_rain(spark, sf), "rain")
+    return rows.withColumn("fecha_calculo", F.date_format("fecha_calculo", "yyyy-MM-dd HH:mm:ss"))
+
+
 def rain_at_risk(spark: SparkSession, sf: str) -> DataFrame:
     return N.at_risk(_risk(spark, sf)).select("estado", "alerta", "prioridad")
 
@@ -110,6 +120,15 @@ def quake_newest(spark: SparkSession, sf: str) -> DataFrame:
     return Z.sort_quakes(quakes(spark, sf)).select("id_evento", "magnitud")
 
 
+def quake_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    return positions(Z.sort_quakes(quakes(spark, sf))).select("orden", "id_evento")
+
+
+def conform_quakes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = K.conform_output(publish_quakes(spark, sf), "quakes")
+    return rows.withColumn("fecha_calculo", F.date_format("fecha_calculo", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
     return Z.assign_nearest_state(quakes(spark, sf), states(spark, sf), 150.0)
 
@@ -160,7 +179,8 @@ def geo_json(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        rain_windows, rain_windows_overlapping, rain_risk, rain_at_risk, rain_levels, rain_cumulative, publish_rain,
+        rain_windows, rain_windows_overlapping, rain_risk, rain_ranked, quake_ranked, conform_rain, conform_quakes,
+        rain_at_risk, rain_levels, rain_cumulative, publish_rain,
         rain_timeline, rain_json, quake_bbox, quake_newest, quake_nearest, quake_nearest_sliced, quake_metrics,
         publish_quakes, quake_counters, geo_json,
     )
@@ -239,6 +259,8 @@ ORACLES = {
     "rain_windows": f"WITH {RAIN_SQL}, {_windows('2001-06-15', '2001-07-15', RAIN_YEARS)} SELECT estado, k, total FROM totals",
     "rain_windows_overlapping": f"WITH {RAIN_SQL}, {_windows('2000-06-15', '2001-07-15', 3)} SELECT estado, k, total FROM totals",
     "rain_risk": f"{_RISK} SELECT * FROM risk",
+    "rain_ranked": f"{_RISK} SELECT row_number() OVER (ORDER BY prioridad DESC, saturacion DESC, estado) - 1 AS orden, estado FROM risk",
+    "quake_ranked": f"WITH {QUAKES_SQL} SELECT row_number() OVER (ORDER BY fecha_evento DESC, id_evento) - 1 AS orden, id_evento FROM quakes",
     "rain_at_risk": f"{_RISK} SELECT estado, alerta, prioridad FROM risk WHERE prioridad > 1",
     "rain_levels": f"{_RISK} SELECT alerta AS nivel, count(*) AS n FROM risk GROUP BY alerta",
     "rain_cumulative": f"""WITH {RAIN_SQL},
@@ -267,3 +289,5 @@ ORACLES = {
         (event_id % 45) / 4.0::DOUBLE AS lat, (event_id % 90) / 2.0::DOUBLE AS lon, '' AS url_detalle
         FROM events CROSS JOIN (VALUES ('a'), ('b')) t(s)""",
 }
+for _name in ("rain", "quakes"):
+    ORACLES[f"conform_{_name}"] = f"SELECT * REPLACE ('2024-02-01 06:30:15' AS fecha_calculo) FROM ({ORACLES[f'publish_{_name}']})"
