@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -50,13 +50,25 @@ def find_parts(spark: SparkSession, folder: str, pattern: str = "*_part*.csv") -
     return paths
 
 
-def _header(spark: SparkSession, path: str, encoding: str) -> tuple[str, ...] | None:
-    try:
-        names = spark.read.option("header", True).option("encoding", encoding).csv(path).columns
-    except Exception as error:  # an unreadable part must not stop the others
-        log.warning("part %s skipped: %s", path, error)
-        return None
-    return tuple(n.lstrip("﻿") for n in names) or None
+def _headers(spark: SparkSession, paths: Sequence[str], encoding: str) -> dict[tuple[str, ...], list[str]]:
+    """Paths by their header: the first lines of all files, found in one pass of tasks over them."""
+    lines = (
+        spark.read.option("encoding", encoding).option("ignoreCorruptFiles", True).text(list(paths))
+        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    )
+    first = (
+        lines.where("block = 0 AND value <> ''")
+        .withColumn("place", F.monotonically_increasing_id())
+        .groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    )
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, files in first.groupBy("header").agg(F.collect_list("path")).collect():
+        names = tuple(n.lstrip("\ufeff") for n in next(csv.reader([header])))
+        groups.setdefault(names, []).extend(sorted(files))
+    missing = {p.rsplit("/", 1)[-1] for p in paths} - {f.rsplit("/", 1)[-1] for files in groups.values() for f in files}
+    for name in sorted(missing):
+        log.warning("part %s skipped: no header", name)
+    return groups
 
 
 def read_raw_parts(
@@ -73,12 +85,7 @@ def read_raw_parts(
     quotes but reads each file in one task; turn it off for very large parts
     without such breaks, which are then split.
     """
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p, encoding), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers, strict=True):
-        if header:
-            groups.setdefault(header, []).append(path)
+    groups = _headers(spark, paths, encoding)
     if not groups:
         raise FileNotFoundError("no readable part file")
 
@@ -169,8 +176,12 @@ def explode_quake_documents(df: DataFrame) -> DataFrame:
     )
 
 
-def read_quake_geojson(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed feature collections -> earthquake rows."""
-    return explode_quake_documents(
-        spark.read.schema(QUAKE_GEOJSON).option("multiLine", multiline).json(path)
-    )
+def read_quake_geojson(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Landed features or feature collections, one JSON document per line -> earthquake rows.
+
+    Files of lines are split over tasks.  ``multiline`` reads documents that span lines, each file in one task.
+    """
+    either = T.StructType([*QUAKE_GEOJSON.fields, *QUAKE_GEOJSON["features"].dataType.elementType.fields])
+    rows = spark.read.schema(either).option("multiLine", multiline).json(path)
+    alone = F.array(F.struct(*[F.col(f.name) for f in QUAKE_GEOJSON["features"].dataType.elementType.fields]))
+    return explode_quake_documents(rows.select(F.coalesce("features", F.when(F.col("properties").isNotNull(), alone)).alias("features")))

@@ -81,7 +81,11 @@ def test_rain_and_quake_documents(spark, tmp_path):
         {"id": "b", "properties": {"time": 1700000000000}, "geometry": {"coordinates": [-60, 1]}},
     ]}
     (tmp_path / "q.json").write_text(json.dumps(geo, indent=1))
-    a, b = readers.read_quake_geojson(spark, str(tmp_path / "q.json")).orderBy("id_evento").collect()
+    a, b = readers.read_quake_geojson(spark, str(tmp_path / "q.json"), multiline=True).orderBy("id_evento").collect()
+    lines = [json.dumps(geo), *map(json.dumps, geo["features"]), '{"other": 1}']
+    (tmp_path / "lines.json").write_text("\n".join(lines))
+    by_line = readers.read_quake_geojson(spark, str(tmp_path / "lines.json")).orderBy("id_evento").collect()
+    assert by_line == [a, a, b, b]
     assert tuple(a) == ("a", datetime(2023, 11, 14, 22, 13, 20, 123000), 4.5, 7.0, "aquí", 10.5, -66.9, "u")
     assert (b.magnitud, b.profundidad_km, b.lugar, b.url_detalle, b.lat, b.lon) == (None, None, "", "", 1.0, -60.0)
 
