@@ -7,7 +7,6 @@ length of the list.
 
 from __future__ import annotations
 
-import json
 import unicodedata
 from collections.abc import Sequence
 from functools import cache, reduce
@@ -76,11 +75,36 @@ def _decomposed_letters() -> dict[str, str]:
     return {k: v for k, v in _decompositions().items() if len(v) == 1}
 
 
-def _expand(c: Column, table: dict[str, str]) -> Column:
-    """Characters replaced by several, in the texts that hold one of them."""
-    pairs = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
-    letters = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch))
-    return F.when(c.rlike("[" + "".join(table) + "]"), F.array_join(letters, "")).otherwise(c)
+def _ranges(chars: Sequence[str], apart: Sequence[str]) -> str:
+    """A character class around ``chars`` in few ranges, none of which holds one of ``apart``."""
+    others = {ord(ch) for ch in apart}
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if spans and code - spans[-1][1] < 64 and not others & set(range(spans[-1][1], code)):
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\u{low:04x}-\\u{high:04x}" for low, high in spans) + "]"
+
+
+def _expand(c: Column, tested: Column, table: dict[str, str]) -> Column:
+    """``c`` with rare characters replaced by several, where ``tested``, its origin, holds one of them."""
+    pairs = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in table.items() if "'" not in v and "\\" not in v) + ")")
+    highest_plain = chr(min(map(ord, table)) - 1)
+    letters = F.transform(F.split(c, ""), lambda ch: F.when(ch <= highest_plain, ch).otherwise(F.coalesce(F.try_element_at(pairs, ch), ch)))
+    guard = _ranges(list(table), [*ONE_TO_ONE, *ONE_TO_MANY, *_decomposed_letters()])
+    return F.when(tested.rlike(guard), F.array_join(letters, "")).otherwise(c)
+
+
+def _replace_each(c: Column, table: dict[str, str]) -> Column:
+    replaced = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), table.items(), c)
+    return F.when(c.rlike(f"[{''.join(table)}]"), replaced).otherwise(c)
+
+
+def _several() -> dict[str, str]:
+    """Characters beyond Latin-1 that become several."""
+    table = {**_decompositions(), **_other_scripts()}
+    return {k: v for k, v in table.items() if len(v) > 1 and ord(k) > 255 and k not in ONE_TO_MANY}
 
 
 def _translate(c: Column, table: dict[str, str]) -> Column:
@@ -89,8 +113,10 @@ def _translate(c: Column, table: dict[str, str]) -> Column:
 
 def strip_marks(c: Column) -> Column:
     """Drop accents and other combining marks; every other character stays."""
-    several = {k: v for k, v in _decompositions().items() if len(v) > 1}
-    plain = F.regexp_replace(_translate(_expand(c, several), _decomposed_letters()), r"\p{Mn}+", "")
+    several = {k: v for k, v in _several().items() if k in _decompositions()}
+    fractions = {k: v for k, v in _decompositions().items() if len(v) > 1 and ord(k) < 256}
+    wide = _expand(_replace_each(c, fractions), c, several)
+    plain = F.regexp_replace(_translate(wide, _decomposed_letters()), r"\p{Mn}+", "")
     return F.when(c.rlike(NON_ASCII), plain).otherwise(c)
 
 
@@ -100,9 +126,10 @@ def unaccent(c: Column) -> Column:
     Rows that are ASCII already skip the work.  Characters that no table covers
     are dropped.
     """
-    table = {**_decompositions(), **_other_scripts(), **ONE_TO_ONE, **ONE_TO_MANY}
-    many = _expand(c, {k: v for k, v in table.items() if len(v) > 1})
-    single = _translate(many, {k: v for k, v in table.items() if len(v) == 1})
+    fractions = {k: v for k, v in _decompositions().items() if len(v) > 1 and ord(k) < 256}
+    wide = _expand(_replace_each(c, {**fractions, **ONE_TO_MANY}), c, _several())
+    table = {**_decompositions(), **_other_scripts(), **ONE_TO_ONE}
+    single = _translate(wide, {k: v for k, v in table.items() if len(v) == 1 and k not in ONE_TO_MANY})
     return F.when(c.rlike(NON_ASCII), F.regexp_replace(single, NON_ASCII, "")).otherwise(c)
 
 
