@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import time
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,10 +41,22 @@ def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Batches of texts for Python workers: Spark's default of 10,000 rows is too much where rows are whole documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def release(spark: SparkSession) -> None:
-    """Let the driver forget finished stages, so that Spark deletes their shuffle files."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver forget finished stages, so that Spark deletes their shuffle files.
+
+    Spark's cleaner learns of them from the garbage collector and works in the background; the second round takes
+    what the first has made unreachable.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 ship(__name__)

@@ -6,6 +6,9 @@ of that minimiser.  Equal windows have equal minimisers and so meet in one bucke
 sorted; of equal ones all but the first, by (doc_id, place), are repeats.  A document loses the words that its
 repeated windows cover.
 
+Strings travel only where they can be equal to another one: a first pass sends the minimisers alone, and those that
+occur once in all texts need no string.
+
 Sequences that occur very often would fill a bucket, so they are ordered after all others: a window takes one as its
 minimiser only if it holds nothing else, that is, inside a common passage, where windows are equal.  Super-k-mers
 equal to an earlier one in the same batch of documents are judged at once and do not travel.  Frequency is counted
@@ -27,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionpulse.llm.common import id_of, release, ship, table, text_of
+from regionpulse.llm.common import id_of, release, ship, table, text_batches, text_of
 from regionpulse.session import stage
 
 WINDOW = 20
-GRAM = 3
+#: Long enough that few sequences occur twice by chance.
+GRAM = 6
 #: Occurrences of a slot's sequences from which they are ordered last.
 OFTEN = 20_000
 LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 26
@@ -108,7 +112,66 @@ def _packed(words: list[bytes], often: np.ndarray) -> list[tuple[int, int, int]]
     return list(zip(least[first].astype(np.int64).tolist(), first.tolist(), [*first[1:].tolist(), len(least)]))
 
 
+def _minimisers(sent):
+    """(key, handle, start, known): the minimisers of each document, without their strings.
+
+    Of a minimiser that a batch holds several times one row travels to its bucket; the batch itself shows that the
+    others (``known``) are repeated, and these are dealt out by document.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.unpackbits(sent.value).astype(bool)
+        for batch in _parts(batches, 1):
+            keys, starts, sizes = [], [], []
+            for raw in batch.column(1):
+                found = _packed(raw.as_buffer().to_pybytes().split(), often)
+                keys += [f[0] for f in found]
+                starts += [f[1] for f in found]
+                sizes.append(len(found))
+            key = np.array(keys, np.int64)
+            handle = np.repeat(batch.column(0).to_numpy(), sizes)
+            _, place, back, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            several = count[back] > 1
+            travels = np.zeros(len(key), bool)
+            travels[place] = True
+            route = np.where(travels, key, handle)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route), pa.array(handle, pa.int64()), pa.array(starts, pa.int32()), pa.array(several), pa.array(travels)],
+                ["key", "handle", "start", "known", "travels"],
+            )
+
+    return run
+
+
+def _occurring_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted minimisers to (handle, start) of those that are known to be repeated or meet another one here."""
+    held: list | None = None
+
+    def chosen(key, handle, start, known, travels, last):
+        """Rows to give, without those of the last key unless nothing follows."""
+        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (travels[1:] != travels[:-1])]))
+        run = np.diff(np.concatenate([edge, [len(key)]]))
+        again = known | (travels & (np.repeat(run, run) > 1))
+        stop = len(key) if last else edge[-1]
+        keep = again[:stop]
+        rest = [x[stop:] for x in (key, handle, start, known, travels)]
+        return pa.RecordBatch.from_arrays([pa.array(handle[:stop][keep]), pa.array(start[:stop][keep])], ["handle", "start"]), rest
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        if held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+        out, held = chosen(*columns, last=False)
+        yield out
+    if held is not None and len(held[0]):
+        yield chosen(*held, last=True)[0]
+
+
 def _sender(sent):
+    """Super-k-mers of the places that the first pass has found, one row per different string and batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.unpackbits(sent.value).astype(bool)
         for batch in _parts(batches, 2):
@@ -117,14 +180,24 @@ def _sender(sent):
             seen: dict[bytes, tuple[int, int, int]] = {}
             for i in sorted(range(len(ids)), key=lambda i: (ids[i], texts[i])):
                 words = batch.column(2)[i].as_buffer().to_pybytes().split()
-                lengths = np.fromiter(map(len, words), np.int64, len(words))
-                begin = np.concatenate([[0], np.cumsum(lengths + 1)]).tolist()
-                joined, own = b" ".join(words), (ids[i], texts[i])
+                wanted = set(batch.column(3)[i].as_py())
+                own = (ids[i], texts[i])
+                known: list[list[int]] = []
+                rows = []
                 for key, a, b in _packed(words, often):
-                    piece = joined[begin[a] : begin[b + WINDOW - 1] - 1]
-                    if seen.setdefault(piece, (*own, a)) != (*own, a):
-                        piece = None
-                    for column, value in zip(out, (key, *own, a, b + WINDOW - 1, piece)):
+                    if a not in wanted:
+                        continue
+                    piece, stop = b" ".join(words[a : b + WINDOW - 1]), b + WINDOW - 1
+                    if seen.setdefault(piece, (*own, a)) == (*own, a):
+                        rows.append((key, *own, a, stop, piece))
+                    elif known and a <= known[-1][1]:
+                        known[-1][1] = stop
+                    else:
+                        known.append([a, stop])
+                # What is known to be repeated needs no bucket: it is dealt out by document.
+                rows += [(own[1], *own, a, stop, None) for a, stop in known]
+                for row in rows:
+                    for column, value in zip(out, row):
                         column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["key", "id", "text", "start", "stop", "packed"])
@@ -198,15 +271,31 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of(out)
 
 
+def _candidates(rows: DataFrame, sent) -> DataFrame:
+    """``handle`` and ``starts`` of the super-k-mers whose minimiser occurs more than once."""
+    light = rows.select("handle", "raw").mapInArrow(_minimisers(sent), "key long, handle long, start int, known boolean, travels boolean")
+    ordered = light.repartition("key").sortWithinPartitions("key", "travels")
+    again = ordered.mapInArrow(_occurring_again, "handle long, start int")
+    return stage(again.groupBy("handle").agg(F.collect_list("start").alias("starts")))
+
+
+def _spans(rows: DataFrame, candidates: DataFrame, sent) -> DataFrame:
+    wanted = rows.join(candidates.hint("shuffle_hash"), "handle").select("id", "text", "raw", "starts")
+    ordered = wanted.mapInArrow(_sender(sent), ROWS).repartition("key").sortWithinPartitions("key", F.col("packed").isNotNull(), "id", "text", "start")
+    found = ordered.mapInArrow(_bucket, "id long, text long, start int, stop int")
+    return stage(found.groupBy("id", "text").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
+
+
 def repeats(docs: DataFrame, often: int = OFTEN) -> DataFrame:
     """``id``, ``text`` (a hash) and ``spans``: the words that each document loses, as (start, stop)."""
     spark = docs.sparkSession
-    rows = docs.select(id_of().alias("id"), F.xxhash64(text_of()).alias("text"), text_of().cast("binary").alias("raw"))
+    text_batches(spark)
+    keyed = docs.select(id_of().alias("id"), F.xxhash64(text_of()).alias("text"), text_of().cast("binary").alias("raw"))
+    rows = keyed.withColumn("handle", F.xxhash64("id", "text"))
     sent = spark.sparkContext.broadcast(frequent(rows, often))
-    sent_rows = rows.mapInArrow(_sender(sent), ROWS)
-    ordered = sent_rows.repartition("key").sortWithinPartitions("key", F.col("packed").isNotNull(), "id", "text", "start")
-    found = ordered.mapInArrow(_bucket, "id long, text long, start int, stop int")
-    spans = stage(found.groupBy("id", "text").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
+    candidates = _candidates(rows, sent)
+    release(spark)
+    spans = _spans(rows, candidates, sent)
     release(spark)
     return spans
 
