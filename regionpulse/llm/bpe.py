@@ -21,13 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from regionpulse.llm.common import ship, table
+from regionpulse.llm.common import ship, table, text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern that cuts texts before the merges of byte-level files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
-CACHE = 600_000
+CACHE = 200_000
 BATCH_BYTES = 4 << 20
 
 
@@ -62,7 +62,7 @@ class Codec:
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
-    def merge(self, piece: str) -> list[int]:
+    def merge(self, piece: str) -> tuple[int, ...]:
         """Ids of one pre-token."""
         symbols = [self.start[b] for b in piece.encode()]
         n, merges = len(symbols), self.merges
@@ -82,7 +82,7 @@ class Codec:
                     heapq.heappush(queue, (*found, i))
             if (h := before[i]) >= 0 and (found := merges.get((symbols[h], merged))):
                 heapq.heappush(queue, (*found, h))
-        return [s for s in symbols if s >= 0]
+        return tuple([s for s in symbols if s >= 0])
 
     def encode(self, text: str, seen: Memory) -> list[int]:
         """Ids of a text; ``seen`` remembers pre-tokens."""
@@ -107,7 +107,7 @@ class Memory(dict):
     def __init__(self, codec: Codec):
         self.codec = codec
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> tuple[int, ...]:
         self[piece] = ids = self.codec.merge(piece)
         return ids
 
@@ -151,6 +151,7 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = True) -> D
 
     The vocabulary file (1.5 MB) is read by the driver and sent to each executor once.
     """
+    text_batches(docs.sparkSession)
     with open(path or vocabulary_path(), encoding="utf-8") as file:
         source = docs.sparkSession.sparkContext.broadcast(file.read())
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regionpulse.llm.common import ship, table
+from regionpulse.llm.common import ship, table, text_batches
 from regionpulse.llm.toxicity import held_out
 from regionpulse.session import stage
 
@@ -115,6 +115,7 @@ def _clustered(group: pd.DataFrame) -> pd.DataFrame:
 
 def train(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Inverse document frequencies, and the language and place of each centroid, learned from ``text`` and ``lang``."""
+    text_batches(docs.sparkSession)
     training = docs.where("text IS NOT NULL AND lang IS NOT NULL").select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.xxhash64("text", F.lit(SEED)).alias("h")
     )
@@ -158,6 +159,7 @@ def _predictor(sent, least: float):
 
 def identify(docs: DataFrame, model, least: float = 0.0) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the cosine of the nearest centroid."""
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     found = docs.withColumn("_found", _predictor(sent, least)(F.col("text").cast("string")))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
-from regionpulse.llm.common import LAST, id_of, release, ship, table, text_of
+from regionpulse.llm.common import LAST, id_of, release, ship, table, text_batches, text_of
 from regionpulse.llm.components import components
 from regionpulse.session import stage
 
@@ -119,6 +119,7 @@ class _Job:
     """Tables of one run: every step is written to the shared folder and read again."""
 
     def __init__(self, docs: DataFrame):
+        text_batches(docs.sparkSession)
         self.raw = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text"), text_of().cast("binary").alias("raw")
         )

@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionpulse.llm.common import ship, table
+from regionpulse.llm.common import ship, table, text_batches
 from regionpulse.session import stage
 
 BUCKETS = 1 << 20
 FACTORS = 4
 #: Labelled documents of each label that the model is fitted on, at most.
-SAMPLE = 8_000
+SAMPLE = 5_000
 #: Training documents that a bucket must occur in.
 LEAST_DOCS = 3
 PREFIX = 5
@@ -52,7 +52,7 @@ def terms(text: str | None) -> np.ndarray:
     """The distinct buckets of a text."""
     words = set(WORD.findall((text or "").lower()))
     words |= {w[:PREFIX] + "+" for w in words if len(w) > PREFIX}
-    return np.unique(np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words)) % BUCKETS)
+    return np.unique(np.fromiter((zlib.crc32(w.encode()) % BUCKETS for w in words), np.int32, len(words)))
 
 
 @dataclass
@@ -137,12 +137,13 @@ def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, share: flo
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = pa.array([terms(t.as_py()).astype(np.int32) for t in batch.column(2)], pa.list_(pa.int32()))
+        found = pa.array([terms(t.as_py()) for t in batch.column(2)], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["doc_id", "toxic", "terms"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Fits on at most ``sample`` documents of each label; only their terms reach the driver."""
+    text_batches(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -157,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
-    return fit([(np.asarray(t.values.to_numpy(), np.int64), int(y.as_py())) for y, t in zip(rows["toxic"], rows["terms"])], share=share)
+    return fit([(t.values.to_numpy(), int(y.as_py())) for y, t in zip(rows["toxic"], rows["terms"])], share=share)
 
 
 def _scorer(sent):
@@ -172,6 +173,7 @@ def _scorer(sent):
 
 def scored(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text as a column."""
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((machine.constant, machine.places, machine.weights, machine.vectors))
     return docs.withColumn(name, _scorer(sent)(F.col("text").cast("string")))
 
