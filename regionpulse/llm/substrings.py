@@ -21,7 +21,6 @@ no words; a null id comes last.  Rows that agree in doc_id and text are one docu
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
