@@ -27,8 +27,8 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern that cuts texts before the merges of byte-level files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Distinct pre-tokens that a worker remembers before it starts afresh.
-CACHE = 200_000
-BATCH_BYTES = 4 << 20
+CACHE = 100_000
+BATCH_BYTES = 1 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

@@ -51,7 +51,7 @@ LONG = 32
 KEYS = 10
 BLOCK = 500
 #: Shingles that a block comparison lays out at once.
-COLUMNS = 16_384
+COLUMNS = 4_096
 
 
 def shingles(text: str | bytes | None) -> np.ndarray:
