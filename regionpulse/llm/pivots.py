@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Reference vectors (pivots) are drawn from the data; every vector is described by its ``NEAREST`` nearest pivots, in
+Reference vectors (pivots) are drawn from the data and thinned until no two are within cosine ``APART``, so that a
+dense group has one pivot, or a few, that its members share, however many were drawn from it; every vector is described by its ``NEAREST`` nearest pivots, in
 order.  Each pivot has an inverted list of the vectors it describes.  Vectors of one list that share at least
 ``SHARED`` pivots are compared, each pair in the list of the first pivot they share; the cosine in double precision
 decides.  Lists are gone through in blocks of about ``BLOCK`` vectors by block pairs, so a pivot near a third of all
@@ -31,6 +32,8 @@ from regionpulse.session import stage
 COSINE = 0.9
 NEAREST = 10
 SHARED = 1
+#: No two pivots are nearer than this.  Below ``COSINE``: in a group that just misses it, drawn pivots would all be kept.
+APART = 0.8
 BLOCK = 1000
 SEED = 5
 
@@ -46,6 +49,17 @@ def _unit(values) -> np.ndarray:
     return x / np.linalg.norm(x)
 
 
+def _thinned(drawn: np.ndarray, apart: float = APART) -> np.ndarray:
+    """The drawn pivots without those within cosine ``apart`` of an earlier one that is kept."""
+    kept = np.zeros(len(drawn), bool)
+    near = np.zeros(len(drawn), bool)
+    for k, pivot in enumerate(drawn):
+        if not near[k]:
+            kept[k] = True
+            near |= drawn @ pivot >= apart
+    return drawn[kept]
+
+
 def _described(sent, nearest: int):
     """One row per vector and pivot near it; ``pivots`` holds all of them, nearest first."""
 
@@ -128,7 +142,7 @@ def grouped(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST,
     pivots = {}
     for d in sizes:
         drawn = entries.where(F.size("x") == d).orderBy(F.xxhash64("node.g", F.lit(SEED)), "node.g").limit(n_pivots).select("x").collect()
-        pivots[d] = np.vstack([_unit(r.x) for r in drawn])
+        pivots[d] = _thinned(np.vstack([_unit(r.x) for r in drawn]))
     sent = spark.sparkContext.broadcast(pivots)
     node = entries.schema["node"].dataType.simpleString()
     # Vectors of different lengths never meet: the length is part of the list.

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from regionpulse.llm import pivots
 
@@ -63,3 +64,35 @@ def test_null_and_repeated_ids_and_empty(spark):
     got = pivots.grouped(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == [(0, 0, 0, False), (0, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True)]
     assert pivots.grouped(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def dense(seed, close, members, others, d=64):
+    """Vectors of which the first ``members`` have cosines of about ``close`` to each other."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    group = np.sqrt(close) * unit(rng.normal(size=(1, d))) + np.sqrt(1 - close) * unit(rng.normal(size=(members, d)))
+    return np.vstack([group, unit(rng.normal(size=(others, d)))])
+
+
+@pytest.mark.parametrize("n_pivots", [1024, 4096])
+@pytest.mark.parametrize("close", [0.97, 0.92, 0.88])
+def test_members_of_a_dense_group_share_pivots(n_pivots, close):
+    x = dense(3, close, n_pivots // 3 + 800, n_pivots - n_pivots // 3)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    drawn, members = np.vstack([x[: n_pivots // 3], x[n_pivots // 3 + 800 :]]), x[n_pivots // 3 :][:800]
+    kept = pivots._thinned(drawn[np.random.default_rng(4).permutation(n_pivots)])
+    near = np.argsort(-(members @ kept.T), axis=1)[:, : pivots.NEAREST]
+    hot = np.zeros((800, len(kept)), np.float32)
+    np.put_along_axis(hot, near, 1, axis=1)
+    linked = np.triu(members @ members.T >= pivots.COSINE, 1)
+    assert (linked & (hot @ hot.T > 0)).sum() >= 0.98 * linked.sum() > 0
+
+
+def test_dense_group_of_a_third_with_many_pivots(spark):
+    x = dense(3, 0.92, 400, 800, 32).astype(np.float32)
+    exact = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = (exact @ exact.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], SCHEMA).repartition(3)
+    got = {r.vec_id: r.n_links for r in pivots.grouped(df, n_pivots=1024).collect()}
+    assert all(got[i] <= n for i, n in enumerate(links))
+    assert sum(got.values()) >= 0.98 * links.sum() > 0
