@@ -2,8 +2,9 @@
 
 A text is a vector of hashed one-, two- and three-letter sequences of its words, with the square root of the count
 times the inverse document frequency, scaled to length one.  Document frequencies are counted over all training
-texts; the centroids are found by k-means, per language, over a bounded sample of them (``SAMPLE`` documents per
-language, ``TOTAL`` over all languages, chosen by a hash of the id).  A text gets the language of the centroid with
+texts; the centroids are found by k-means, per language, over a bounded sample of its different texts (``SAMPLE`` per
+language, ``TOTAL`` over all languages, chosen by a hash of the text).  Every language that has a text with a letter
+gets a centroid, also if there are more than ``TOTAL`` languages or all its texts are copies of a few.  A text gets the language of the centroid with
 the largest cosine; one with a cosine under ``least`` is rejected as ``und``.  ``least`` 0 rejects only what has no
 vector at all: a null text, or one without letters.
 
@@ -28,13 +29,15 @@ from regionpulse.session import stage
 
 SLOTS = 4096
 CENTROIDS = 3
-#: Sampled training documents per language, and over all languages.
+#: Sampled different training texts per language, and over all languages (but one per language at least).
 SAMPLE = 400
 TOTAL = 4_000
 ROUNDS = 8
 SEED = 23
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+#: For Java, whose Unicode version may not know a letter yet.
+MAYBE_LETTER = r"[\p{L}\p{Cn}]"
 
 
 def letters() -> np.ndarray:
@@ -120,18 +123,23 @@ def train(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -> tuple[np
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.xxhash64("text", F.lit(SEED)).alias("h")
     )
     idf = frequencies(training)
-    sizes = {r.lang: r["count"] for r in training.groupBy("lang").count().orderBy("lang").limit(total).toLocalIterator()}
-    each = max(1, min(sample, total // max(1, len(sizes))))
-    if not sizes:
+    # The draw is by a hash of the text, so shares are of different texts, not of rows.
+    lettered = training.where(F.col("text").rlike(MAYBE_LETTER))
+    sizes = stage(lettered.select("lang", "h").distinct().groupBy("lang").count())
+    n_langs = sizes.count()
+    each = max(1, min(sample, total // max(1, n_langs)))
+    if not n_langs:
         return idf, [], np.zeros((0, SLOTS), np.float32)
     # Hashes are uniform: those under the limit are about twice the sample, from which the first ones are taken.
-    limits = docs.sparkSession.createDataFrame([(k, float(min(1.0, 2 * each / n + 50 / n))) for k, n in sizes.items()], "lang string, share double")
-    near = training.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * float(1 << 40))
+    limits = sizes.select("lang", F.least(F.lit(1.0), (2.0 * each + 50.0) / F.col("count")).alias("share"))
+    near = lettered.join(F.broadcast(limits), "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * float(1 << 40))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     some = near.select("lang", "h", "text").dropDuplicates(["lang", "h"])
     vectors = some.mapInArrow(_vectors(idf), "lang string, h long, vector binary").where("vector IS NOT NULL")
     chosen = stage(vectors.withColumn("r", rank).where(F.col("r") <= each).drop("r"))
     found = chosen.groupBy("lang").applyInPandas(_clustered, "lang string, centre binary").orderBy("lang", "centre").collect()
+    if not found:
+        return idf, [], np.zeros((0, SLOTS), np.float32)
     return idf, [r.lang for r in found], np.vstack([np.frombuffer(r.centre, np.float32) for r in found])
 
 

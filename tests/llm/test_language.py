@@ -46,3 +46,29 @@ def test_nothing_learned_and_empty(spark, docs):
     model = language.train(docs([]).select("text", "lang"))
     assert [r.lang_pred for r in language.identify(docs([(1, "some words")]), model).collect()] == ["und"]
     assert language.identify(docs([]), model).count() == 0
+
+
+def test_a_language_of_copies_is_learned(spark, tongues):
+    # One text each: a share of the 4,000 rows would draw it with probability 0.21.
+    rows = [(tongues("aa", 12), "aa") for _ in range(300)]
+    for k in range(12):
+        rows += [(f"{tongues('bb', 8)} {chr(0x0EC0 + k)}", f"l{k:02d}")] * 4000
+    model = language.train(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    assert set(model[1]) == {"aa", *(f"l{k:02d}" for k in range(12))}
+
+
+def test_the_sample_is_of_different_texts(spark, tongues, monkeypatch):
+    def clustered(group):
+        return language.pd.DataFrame({"lang": group["lang"].iloc[:1], "centre": [language.np.float32(len(group)).tobytes() + bytes(4 * language.SLOTS - 4)]})
+
+    monkeypatch.setattr(language, "_clustered", clustered)
+    rows = [(tongues("aa", 12), "aa") for _ in range(60)]
+    rows += [r for r in rows for _ in range(200)]
+    _, langs, centres = language.train(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    assert langs == ["aa"] and centres[0][0] == len(set(rows)) == 60
+
+
+def test_more_languages_than_the_sample(spark, tongues):
+    rows = [(tongues("cc", 6), f"l{k:02d}") for k in range(20) for _ in range(3)]
+    _, langs, _ = language.train(spark.createDataFrame(rows, "text string, lang string"), total=8)
+    assert set(langs) == {f"l{k:02d}" for k in range(20)}
