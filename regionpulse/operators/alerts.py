@@ -95,15 +95,17 @@ def _count_groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def _list_urls(per_url: DataFrame, groups: DataFrame, part_bytes: int) -> DataFrame:
+def _list_urls(per_url: DataFrame, groups: DataFrame, part_bytes: int | None) -> DataFrame:
     """Groups with their URLs as text in numbered parts, sorted inside each part; no URL is left out.
 
+    Without ``part_bytes`` a group is one part, whatever its size.
+
     A checksum deals a group's URLs out to as many parts as its size asks for, so no task gets a whole large group.
     The per-URL rows feed the counts and the lists.  The listed rows keep every
     column, so both branches read one shuffle and the reports are scanned once.
     """
     row = F.struct("url", *[F.col(c).alias(f"_{c}") for c in _COMBINED])
-    parts = F.greatest(F.ceil(F.col("bytes") / part_bytes), F.lit(1))
+    parts = F.lit(1) if part_bytes is None else F.greatest(F.ceil(F.col("bytes") / part_bytes), F.lit(1))
     number = F.conv(F.substring(F.md5("_fila.url"), 1, 8), 16, 10).cast("long")
     return (
         per_url.select(*GROUP, row.alias("_fila"))
@@ -138,7 +140,7 @@ def alert_metrics(
     states: Sequence[str] | None = None,
     mapping: Mapping[str, str] = CANONICAL_EVENTS,
     urls: bool = True,
-    part_bytes: int = PART_BYTES,
+    part_bytes: int | None = None,
 ) -> DataFrame:
     """Counts, sources, flags, latest date and level per state and event type.
 
@@ -146,10 +148,10 @@ def alert_metrics(
     combines inside the tasks first, so one group or source with most of the
     reports does not pile up in one task, and distinct sources need no set.
 
-    ``urls_relacionadas`` holds the sorted URLs.  A group whose URLs exceed
-    ``part_bytes`` has a row for each part of them (:func:`alert_url_parts`
-    numbers these), so that all are published.  ``urls=False`` asks for the
-    levels alone: a row per group, null URLs, and no step per URL.
+    There is one row per group, and ``urls_relacionadas`` holds all its URLs, sorted; a text beyond Spark's limit of
+    2 GB a value fails.  A caller that names ``part_bytes`` gets a row for each part of the URLs instead
+    (:func:`alert_url_parts` numbers these), which repeats the counts.  ``urls=False`` asks for the levels alone: a
+    row per group, null URLs, and no step per URL.
     """
     events = explode_events(filter_alert_window(df, now, hours), situation, states, mapping)
     if urls:

@@ -83,6 +83,14 @@ def test_large_url_lists_come_in_parts_without_loss(spark):
     assert sorted(K.prepare_metrics(A.alert_metrics(df, 48, NOW, part_bytes=300)).where("estado = 'lara'").toPandas()["urls_relacionadas"]) == sorted(p.urls for p in parts)
 
 
+def test_a_large_group_is_one_row(spark):
+    urls = [f"https://a{i}.com/{'x' * 4000}" for i in range(400)]
+    df = frame(spark, [report(u) for u in urls])
+    [row] = A.alert_metrics(df, 48, NOW).collect()
+    assert row.n_noticias == 400 and len(row.urls_relacionadas) > A.PART_BYTES
+    assert row.urls_relacionadas == " | ".join(sorted(urls))
+
+
 def test_reports_are_scanned_once(spark, tmp_path):
     frame(spark, [report(f"https://a.com/{i}") for i in range(20)]).write.parquet(str(tmp_path / "t"))
     df = A.alert_metrics(spark.read.parquet(str(tmp_path / "t")), 48, NOW)
