@@ -8,6 +8,11 @@ by (doc_id, position), stays.
 Rows that agree in doc_id and text are one document and get the same result.  A null text has no lines to remove and
 stays null; null ids come last.  A document whose lines are all removed keeps its row with an empty text.  Extra
 columns are kept as they are; ``n_chars`` follows the text.
+
+Chunks miss what has no two boundaries of its own: short passages, and the ends of long ones.  ``dedup_passages``, which
+the pipeline uses, has no boundaries.  Every two lines in a row that are not blank, with the blank ones between them,
+are compared, first by hash, then byte by byte, and go where they stand earlier.  So every passage of two or more such
+lines goes whole, and an earlier copy of each line that goes stays.
 """
 
 from __future__ import annotations
@@ -111,6 +116,84 @@ def dedup(docs: DataFrame) -> DataFrame:
     return out.select(*[F.col(f"`{c}`") for c in names])
 
 
+def _paired(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_lines``, and ``_pairs``, an array of (start, end): each line that is not blank and the next one."""
+    df = held(docs, "_lines", F.split(text_of(), "\n", -1))
+    full = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i)) != "")
+    df = held(df, "_full", full)
+    pairs = F.zip_with("_full", F.slice("_full", F.lit(2), F.size("_full")), lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+    return held(df, "_pairs", F.filter(pairs, lambda p: p["end"].isNotNull())).drop("_full")
+
+
+def _between(pair: Column) -> Column:
+    """The lines from the start of a pair to its end."""
+    return F.array_join(F.slice("_lines", pair["start"] + 1, pair["end"] - pair["start"] + 1), "\n")
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_text`` and ``gone``: the pairs of lines, as (start, end), that stand earlier in the corpus, in order."""
+    spark = docs.sparkSession
+    keyed = _keyed(docs).select("_id", "_text", "text")
+    marks = F.transform(
+        "_pairs",
+        lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.xxhash64(_between(p)).alias("hash"), F.octet_length(_between(p)).alias("size")),
+    )
+    light = stage(_paired(keyed).select("_id", "_text", F.inline(marks)))
+    place = F.struct("_id", "_text", "start")
+    repeated = stage(light.groupBy("hash", "size").agg(F.min(place).alias("first"), F.count_distinct(place).alias("n")).where("n > 1").drop("n"))
+    release(spark)
+    found = light.join(repeated, ["hash", "size"])
+    wanted = stage(found.groupBy("_id", "_text").agg(F.collect_set(F.struct("start", "end", "hash", "size", "first")).alias("wanted")))
+    texts = held(keyed.join(wanted.hint("shuffle_hash"), ["_id", "_text"]), "_lines", F.split(text_of(), "\n", -1))
+    texts = texts.select("_id", "_text", F.inline(F.transform(
+        "wanted",
+        lambda w: F.struct(
+            w["start"].alias("start"), w["end"].alias("end"), w["hash"].alias("hash"), w["size"].alias("size"), w["first"].alias("first"), _between(w).alias("chunk")
+        ),
+    )))
+    texts = texts.withColumn("is_first", F.col("first") == F.struct("_id", "_text", "start"))
+    texts = stage(texts.drop("first").dropDuplicates(["_id", "_text", "start"]))
+    release(spark)
+    firsts = texts.where("is_first").select("hash", "size", F.col("chunk").alias("first_chunk"))
+    same = texts.where("not is_first").join(firsts, ["hash", "size"]).where("chunk = first_chunk")
+    return stage(same.groupBy("_id", "_text").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("gone")))
+
+
+def _without_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``gone``, ``_lines``, ``_ranges`` of lines that stay (first, and the one after the last) and ``_stay``, their text."""
+    df = _keyed(docs).join(passages(docs).hint("shuffle_hash"), ["_id", "_text"], "left")
+    df = held(df, "_lines", F.split(text_of(), "\n", -1))
+    df = held(df, "_gone", F.coalesce("gone", F.array().cast("array<struct<start:int,end:int>>")))
+    # Starts and ends both rise from pair to pair.
+    ranges = F.transform(
+        F.sequence(F.lit(0), F.size("_gone")),
+        lambda k: F.struct(
+            F.coalesce(F.get("_gone", k - 1)["end"] + 1, F.lit(0)).alias("start"), F.coalesce(F.get("_gone", k)["start"], F.size("_lines")).alias("stop")
+        ),
+    )
+    df = held(df, "_ranges", F.filter(ranges, lambda r: r["stop"] > r["start"]))
+    kept = F.transform("_ranges", lambda r: F.array_join(F.slice("_lines", r["start"] + 1, r["stop"] - r["start"]), "\n"))
+    return held(df, "_stay", F.array_join(kept, "\n"))
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` without repeated passages of two or more lines, same columns."""
+    names = docs.columns
+    out = _without_passages(docs).withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.col("_stay")))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in names])
+
+
+def passage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps of its lines when repeated passages go; a null text counts as one empty line."""
+    stay = F.aggregate("_ranges", F.lit(0), lambda n, r: n + r["stop"] - r["start"])
+    return _without_passages(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - stay).cast("long").alias("n_removed"),
+        F.sha2(F.col("_stay").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps; a null text counts as one empty line."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

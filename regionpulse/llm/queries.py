@@ -9,6 +9,7 @@ QUERIES = {
     "op2_warc": warc.query,
     "op3_decontamination": decontamination.query,
     "op4_line_dedup": line_chunks.query,
+    "op4_passages": line_chunks.passage_query,
     "op5_toxicity": toxicity.query,
     "op6_substring_dedup": substrings.query,
     "op7_bpe": bpe.query,

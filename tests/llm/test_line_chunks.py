@@ -69,3 +69,42 @@ def test_documents_keep_their_columns(spark, docs):
     assert all(r.n_chars == len(r.text or "") for r in result.values())
     seen = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in out.collect())
     assert seen == sorted(r[4] for r in brute(rows))
+
+
+def without_passages(rows):
+    """Lines left of each row, by the definition: pairs of lines in a row, blank ones between them included."""
+    seen, out = {}, {}
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0)):
+        i, text = rows[k]
+        lines = (text or "").split("\n")
+        full = [n for n, x in enumerate(lines) if x.strip(" ")]
+        gone = set()
+        for a, b in zip(full, full[1:]):
+            if seen.setdefault(tuple(lines[a : b + 1]), (i, text, a)) != (i, text, a):
+                gone |= set(range(a, b + 1))
+        kept = [x for n, x in enumerate(lines) if n not in gone]
+        out[k] = (i, len(lines), len(gone), hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    return sorted(out.values(), key=str)
+
+
+def test_passages_of_every_length_go_whole(spark, folder):
+    rows = sample(3, 80) + [(500, None), (501, ""), (502, "\n\n"), (504, "a\nb\n" * 2000), (505, "é\r\n" * 9), (None, "a\nb\n" * 30)]
+    for k, n in enumerate([2, 3, 4, 6, 10, 20, 50]):
+        run = [f"run {n} line {j}{chr(10) * (j % 2)}" for j in range(n)]
+        rows += [(600 + 2 * k, "\n".join([f"one {k}", *run, "own"])), (601 + 2 * k, "\n".join([f"two {k}", "more", *run, f"end {k}"]))]
+    got = {r.doc_id: tuple(r) for r in C.passage_query(spark, folder(rows)).collect()}
+    assert sorted(got.values(), key=str) == without_passages(rows)
+    for k, n in enumerate([2, 3, 4, 6, 10, 20, 50]):
+        assert got[600 + 2 * k][2] == 0 and got[601 + 2 * k][2] >= n
+    plan = C.passage_query(spark, folder(rows[:3]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_documents_without_passages_keep_their_columns(spark, docs):
+    rows = sample(2, 40) + [(100, None), (7, "x\ny"), (7, "x\ny")]
+    df = docs(rows)
+    out = C.dedup_passages(df)
+    assert out.dtypes == df.dtypes
+    left = out.collect()
+    assert all(r.n_chars == len(r.text or "") for r in left) and [r.text for r in left if r.doc_id == 100] == [None]
+    assert sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in left) == sorted(r[3] for r in without_passages(rows))
