@@ -179,9 +179,14 @@ def explode_quake_documents(df: DataFrame) -> DataFrame:
 def read_quake_geojson(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Landed features or feature collections, one JSON document per line -> earthquake rows.
 
-    Files of lines are split over tasks.  ``multiline`` reads documents that span lines, each file in one task.
+    Files of lines are split over tasks.  ``multiline`` reads documents that span lines, each file in one task.  A line
+    or file that does not parse fails the read, so that documents of the other layout are not lost.
     """
     either = T.StructType([*QUAKE_GEOJSON.fields, *QUAKE_GEOJSON["features"].dataType.elementType.fields])
-    rows = spark.read.schema(either).option("multiLine", multiline).json(path)
+    fields = T.StructType([*either.fields, T.StructField("_corrupt", T.StringType())])
+    rows = spark.read.schema(fields).option("multiLine", multiline).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    lost = F.col("_corrupt").isNotNull() & F.col("features").isNull() & F.col("properties").isNull()
+    message = F.lit("GeoJSON that does not parse; documents that span lines need multiline=True")
+    rows = rows.where(F.when(lost, F.raise_error(message).cast("boolean")).otherwise(True))
     alone = F.array(F.struct(*[F.col(f.name) for f in QUAKE_GEOJSON["features"].dataType.elementType.fields]))
     return explode_quake_documents(rows.select(F.coalesce("features", F.when(F.col("properties").isNotNull(), alone)).alias("features")))

@@ -90,6 +90,14 @@ def test_rain_and_quake_documents(spark, tmp_path):
     assert (b.magnitud, b.profundidad_km, b.lugar, b.url_detalle, b.lat, b.lon) == (None, None, "", "", 1.0, -60.0)
 
 
+def test_geojson_that_spans_lines_is_not_lost(spark, tmp_path):
+    geo = {"features": [{"id": "a", "properties": {"mag": 4.5, "time": 1700000000123}, "geometry": {"coordinates": [1, 2, 3]}}]}
+    (tmp_path / "q.json").write_text(json.dumps(geo, indent=1))
+    with pytest.raises(Exception, match="multiline=True"):
+        readers.read_quake_geojson(spark, str(tmp_path / "q.json")).collect()
+    assert readers.read_quake_geojson(spark, str(tmp_path / "q.json"), multiline=True).count() == 1
+
+
 def test_ledger_batches_repeat_safely(spark, tmp_path):
     path, compact = str(tmp_path / "l"), str(tmp_path / "c")
     keys = spark.createDataFrame([("a",), ("b",), ("a",)], LEDGER_URLS)
