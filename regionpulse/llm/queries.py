@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from regionpulse.llm import bpe, decontamination, language, line_chunks, near_duplicates, pivots, sharding, substrings, toxicity, warc
+from regionpulse.llm import (
+    bpe, decontamination, divergence, language, line_chunks, near_duplicates, pivots, sharding, substrings, token_counts, toxicity, warc, whitening,
+)
 
 QUERIES = {
     "op1_sharding": sharding.query,
@@ -16,6 +18,9 @@ QUERIES = {
     "op8_near_duplicates": near_duplicates.query,
     "op9_pivots": pivots.query,
     "op10_language": language.query,
+    "op11_token_counts": token_counts.query,
+    "op12_divergence": divergence.query,
+    "op13_whitening": whitening.query,
 }
 
 ORACLES = {
@@ -24,4 +29,5 @@ ORACLES = {
     "op6_substring_dedup": substrings.ORACLE,
     "op8_near_duplicates": near_duplicates.ORACLE,
     "op9_pivots": pivots.ORACLE,
+    "op12_divergence": divergence.ORACLE,
 }
