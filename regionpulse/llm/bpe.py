@@ -1,20 +1,22 @@
 """Byte-level BPE: encoding by a priority queue of merges, decoding by concatenating vocabulary strings.
 
 A pre-token's symbols form a doubly linked list.  The queue holds (rank, position) of every adjacent pair that can be
-merged; an entry whose pair has changed since is stale and skipped.  Equal pre-tokens are encoded once per
-``CACHE`` distinct ones.  A pre-token of any length takes ``n log n`` steps.
+merged; an entry whose pair has changed since is stale and skipped.  A worker remembers the pre-tokens it has met in
+two generations of ``CACHE``, some 125 MB.  A pre-token of any length takes ``n log n`` steps.
 
-A null text is empty; a text that names an added token holds that token's id, as the vocabulary file says.
+A null text is empty; a text that names an added token holds that token's id, as the vocabulary file says.  Texts of
+any length are encoded whole.  Every row is encoded by itself, so repeated rows and null ids give repeated rows, and an
+empty table gives an empty one.  Only ``doc_id`` and ``text`` are read, so further columns may have any names.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import sys
 import types
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pyarrow as pa
@@ -26,8 +28,8 @@ from regionpulse.llm.common import ship, table, text_batches
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern that cuts texts before the merges of byte-level files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Distinct pre-tokens that a worker remembers before it starts afresh.
-CACHE = 100_000
+#: Distinct pre-tokens of one generation of a worker's memory.
+CACHE = 250_000
 BATCH_BYTES = 1 << 20
 
 
@@ -53,10 +55,11 @@ class Codec:
         ids = spec["model"]["vocab"]
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.start = {letters[c]: ids[c] for c in letters}
-        self.merges = {}
+        self.merges, self.merged = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[ids[a], ids[b]] = (rank, ids[a + b])
+            self.merges[ids[a], ids[b]] = rank
+            self.merged.append(ids[a + b])
         self.bytes = {i: bytes(letters[c] for c in token) for token, i in ids.items()}
         self.bytes |= {i: token.encode() for token, i in self.added.items()}
         self.pattern = regex.compile(PATTERN)
@@ -64,25 +67,39 @@ class Codec:
 
     def merge(self, piece: str) -> tuple[int, ...]:
         """Ids of one pre-token."""
-        symbols = [self.start[b] for b in piece.encode()]
-        n, merges = len(symbols), self.merges
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = [(*found, i) for i in range(n - 1) if (found := merges.get((symbols[i], symbols[i + 1])))]
-        heapq.heapify(queue)
+        symbols = list(map(self.start.__getitem__, piece.encode()))
+        n, rank_of = len(symbols), self.merges.get
+        # The rank of the pair that begins at each place now; an entry of the queue with another rank is stale.
+        ranks = list(map(rank_of, zip(symbols, symbols[1:])))
+        shift = n.bit_length()
+        queue = [r << shift | i for i, r in enumerate(ranks) if r is not None]
+        if not queue:
+            return tuple(symbols)
+        heapify(queue)
+        ranks.append(None)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        mask, made = (1 << shift) - 1, self.merged
         while queue:
-            rank, merged, i = heapq.heappop(queue)
-            j = after[i]
-            if symbols[i] < 0 or j < 0 or merges.get((symbols[i], symbols[j])) != (rank, merged):
+            entry = heappop(queue)
+            rank, i = entry >> shift, entry & mask
+            if ranks[i] != rank:
                 continue
-            symbols[i], symbols[j] = merged, -1
-            after[i] = k = after[j]
-            if k >= 0:
+            j = after[i]
+            k = after[i] = after[j]
+            symbols[i] = merged = made[rank]
+            symbols[j] = ranks[j] = ranks[i] = None
+            if k < n:
                 before[k] = i
-                if found := merges.get((merged, symbols[k])):
-                    heapq.heappush(queue, (*found, i))
-            if (h := before[i]) >= 0 and (found := merges.get((symbols[h], merged))):
-                heapq.heappush(queue, (*found, h))
-        return tuple([s for s in symbols if s >= 0])
+                found = rank_of((merged, symbols[k]))
+                if found is not None:
+                    ranks[i] = found
+                    heappush(queue, found << shift | i)
+            h = before[i]
+            if h >= 0:
+                ranks[h] = found = rank_of((symbols[h], merged))
+                if found is not None:
+                    heappush(queue, found << shift | h)
+        return tuple([s for s in symbols if s is not None])
 
     def encode(self, text: str, seen: Memory) -> list[int]:
         """Ids of a text; ``seen`` remembers pre-tokens."""
@@ -92,8 +109,7 @@ class Codec:
             if k % 2:
                 out.append(self.added[part])
                 continue
-            if len(seen) > CACHE:
-                seen.clear()
+            seen.turn()
             out.extend(chain.from_iterable(map(seen.__getitem__, self.pattern.findall(part))))
         return out
 
@@ -102,15 +118,22 @@ class Codec:
 
 
 class Memory(dict):
-    """Pre-tokens and their ids."""
+    """Pre-tokens and their ids, in two generations: what is used stays, what is not used for a generation goes."""
 
     def __init__(self, codec: Codec):
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        self[piece] = ids = self.codec.merge(piece)
+        ids = self.old.get(piece)
+        self[piece] = ids = self.codec.merge(piece) if ids is None else ids
         return ids
 
+    def turn(self) -> None:
+        """Begins a generation if this one is full."""
+        if len(self) > CACHE:
+            self.old = dict(self)
+            self.clear()
+
 
 def _worker_memory(source: str) -> Memory:
     """The memory of this Python worker, kept from one task to the next."""
