@@ -41,6 +41,20 @@ def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` under names that no operator uses inside, so that they may have any names."""
+    return [_quoted(c).alias(f"carried_{k}") for k, c in enumerate(docs.columns)]
+
+
+def restored(docs: DataFrame, **new: Column) -> list[Column]:
+    """The ``carried`` columns under their own names, with some replaced."""
+    return [new.get(c, F.col(f"carried_{k}")).alias(c) for k, c in enumerate(docs.columns)]
+
+
 def text_batches(spark: SparkSession) -> None:
     """Batches of texts for Python workers: Spark's default of 10,000 rows is too much where rows are whole documents."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regionpulse.llm.common import ship, table, text_batches
+from regionpulse.llm.common import carried, restored, ship, table, text_batches
 from regionpulse.llm.toxicity import held_out
 from regionpulse.session import stage
 
@@ -166,12 +166,12 @@ def _predictor(sent, least: float):
 
 
 def identify(docs: DataFrame, model, least: float = 0.0) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the cosine of the nearest centroid."""
+    """``docs`` with ``lang_pred`` and ``score``, the cosine of the nearest centroid; columns of these names are replaced."""
     text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.withColumn("_found", _predictor(sent, least)(F.col("text").cast("string")))
-    return found.select(*[F.col(f"`{c}`") for c in kept], "_found.lang_pred", "_found.score")
+    kept = docs.drop("lang_pred", "score")
+    found = kept.select(*carried(kept), _predictor(sent, least)(F.col("text").cast("string")).alias("found"))
+    return found.select(*restored(kept), "found.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionpulse.llm.common import held, id_of, release, table, text_of
+from regionpulse.llm.common import carried, held, id_of, release, restored, table, text_of
 from regionpulse.session import stage
 
 #: A chunk ends after one line in so many.
@@ -58,7 +58,16 @@ def chunked(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("*", id_of().alias("_id"), F.xxhash64(text_of()).alias("_text"))
+    return docs.select(*carried(docs), "text", id_of().alias("_id"), F.xxhash64(text_of()).alias("_text"))
+
+
+def _changed(docs: DataFrame, rows: DataFrame, untouched: Column) -> DataFrame:
+    """``docs`` with ``_stay`` of ``rows`` as text, except where it is untouched; ``n_chars`` follows the text."""
+    new = {"text": F.when(untouched, F.col("text")).otherwise(F.col("_stay"))}
+    if "n_chars" in docs.columns:
+        before = F.col(f"carried_{docs.columns.index('n_chars')}")
+        new["n_chars"] = F.when(untouched, before).otherwise(F.char_length("_stay")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*restored(docs, **new))
 
 
 def _chunk_rows(df: DataFrame) -> DataFrame:
@@ -107,13 +116,8 @@ def _kept(df: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated chunks, same columns."""
-    names = docs.columns
     joined = _keyed(docs).join(removals(docs).hint("shuffle_hash"), ["_id", "_text"], "left")
-    new = F.when(F.col("starts").isNull(), F.col("text")).otherwise(F.col("_stay"))
-    out = _kept(joined).withColumn("text", new)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("starts").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+    return _changed(docs, _kept(joined), F.col("starts").isNull())
 
 
 def _paired(docs: DataFrame) -> DataFrame:
@@ -178,18 +182,14 @@ def _without_passages(docs: DataFrame) -> DataFrame:
 
 def dedup_passages(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages of two or more lines, same columns."""
-    names = docs.columns
-    out = _without_passages(docs).withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.col("_stay")))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in names])
+    return _changed(docs, _without_passages(docs), F.col("gone").isNull())
 
 
 def passage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps of its lines when repeated passages go; a null text counts as one empty line."""
     stay = F.aggregate("_ranges", F.lit(0), lambda n, r: n + r["stop"] - r["start"])
     return _without_passages(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - stay).cast("long").alias("n_removed"),
+        F.col("carried_0").alias("doc_id"), F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - stay).cast("long").alias("n_removed"),
         F.sha2(F.col("_stay").cast("binary"), 256).alias("kept_sha256"),
     )
 
@@ -200,7 +200,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = _keyed(docs).join(removals(docs).hint("shuffle_hash"), ["_id", "_text"], "left")
     lines = lambda chunks: F.aggregate(chunks, F.lit(0), lambda n, c: n + c["n"]).cast("long")
     return _kept(joined).select(
-        "doc_id",
+        F.col("carried_0").alias("doc_id"),
         lines("_chunks").alias("n_lines"),
         F.size("_chunks").cast("long").alias("n_chunks"),
         (lines("_chunks") - lines("_left")).alias("n_removed"),

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
-from regionpulse.llm.common import LAST, id_of, release, ship, table, text_batches, text_of
+from regionpulse.llm.common import LAST, carried, id_of, release, restored, ship, table, text_batches, text_of
 from regionpulse.llm.components import components
 from regionpulse.session import stage
 
@@ -283,18 +283,19 @@ def groups(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest id; of rows that agree in id and text one stays.
 
-    Documents without words are in no group: all of them stay, and so do those whose group has only null ids.
+    Documents without words are in no group: all of them stay, and so do those whose group has only null ids.  The row
+    travels as it is, so further columns may have any names; an empty table gives an empty one.
     """
     key = ["_id", "_text"]
     found = stage(groups(docs.select("doc_id", "text")).select(
         id_of().alias("_id"), F.col("text").alias("_text"), (~F.col("kept") & F.col("component_id").isNotNull() & (F.col("n_shingles") > 0)).alias("goes")
     ))
-    rows = docs.select("*", id_of().alias("_id"), F.xxhash64(text_of()).alias("_text"))
+    rows = docs.select(*carried(docs), id_of().alias("_id"), F.xxhash64(text_of()).alias("_text"))
     left = rows.join(stage(found.where("goes").select(*key).distinct()).hint("shuffle_hash"), key, "left_anti")
     repeated = stage(found.where("NOT goes").groupBy(*key).count().where("count > 1").select(*key))
     if repeated.take(1):
         left = left.join(repeated, key, "left_anti").unionByName(left.join(repeated, key, "left_semi").dropDuplicates(key))
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.select(*restored(docs))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

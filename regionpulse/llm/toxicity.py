@@ -3,13 +3,15 @@
 A document is the set of its lower-case words and of the first letters of longer words, hashed into ``BUCKETS``.  The
 score is the logistic function of  w0 + sum of w_i + sum over pairs of <v_i, v_j>:  the vectors v let two terms count
 together that say little alone, such as an insult and the mention of a group.  The pair sum takes time linear in the
-number of terms.  The model is fitted on a bounded sample of labelled documents (``SAMPLE`` of each label, chosen by
+number of terms.  Pairs of terms that say nothing alone are found by their own counts.  The model is fitted on a bounded sample of labelled documents (``SAMPLE`` of each label, chosen by
 a hash of the id) and sent to the tasks that score all documents; it has ``BUCKETS * (FACTORS + 1)`` numbers at most
 and in fact only those of the buckets that tell toxic training documents from others, alone or beside another term.
 
-A null or empty text has no terms and gets the score of the constant; a label without a document, or null, teaches
+A null or empty text has no terms and gets the toxic share of the labels as its score; a label without a document, or null, teaches
 nothing; several labels of one id count as toxic if one is.  With no label at all, or of one kind only, every score is
-the (smoothed) share of toxic ones.  Null ids belong to the held-out part.
+the (smoothed) share of toxic ones, a quarter without any, and ``non_toxic`` keeps every document.  Null ids belong to
+the held-out part.  Texts of any length are scored whole; each row is scored by itself, so repeated rows get the same
+score, and an empty table gives an empty one.  Further columns may have any names.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionpulse.llm.common import ship, table, text_batches
+from regionpulse.llm.common import carried, restored, ship, table, text_batches
 from regionpulse.session import stage
 
 BUCKETS = 1 << 20
@@ -38,9 +40,17 @@ LEAST_DOCS = 3
 PREFIX = 5
 #: Deviations by which a bucket's share of toxic documents must differ from the share of all.
 SIGNIFICANT = 4.0
+#: The most frequent buckets are looked at in pairs, if they have so many documents, and by so many deviations of a pair.
+PAIR_TERMS = 2048
+PAIR_DOCS = 20
+PAIR_SIGNIFICANT = 6.0
+#: Loss, as a part of the plainer machine's, under which pairs count as better.
+BETTER = 0.95
+#: Toxic share before any label is seen, with the weight of one label.
+PRIOR = 0.25
 #: Largest weight of a toxic example where there are fewer of them.
 UPWEIGHT = 4.0
-EPOCHS = 6
+EPOCHS = 15
 RATE = 0.15
 PAIR_RATE = 0.03
 DECAY = 1e-4
@@ -57,14 +67,21 @@ def terms(text: str | None) -> np.ndarray:
 
 @dataclass
 class Machine:
-    """The fitted numbers; ``places`` gives a bucket's row, 0 for buckets that have none."""
+    """The fitted numbers; ``places`` gives a bucket's row, 0 for buckets that have none.
+
+    ``base`` is the margin of a text without words; ``learned`` is false where the labels were missing or all alike.
+    """
 
     constant: float
     places: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
+    base: float
+    learned: bool
 
     def margin(self, buckets: np.ndarray) -> float:
+        if not len(buckets):
+            return self.base
         rows = self.places[buckets]
         rows = rows[rows > 0]
         v = self.vectors[rows]
@@ -72,7 +89,7 @@ class Machine:
         return float(self.constant + self.weights[rows].sum() + 0.5 * (total @ total - (v * v).sum()))
 
     def score(self, text: str | None) -> float:
-        return 1 / (1 + math.exp(-max(-35.0, min(35.0, self.margin(terms(text))))))
+        return _logistic(self.margin(terms(text)))
 
 
 def _deviation(examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
@@ -97,42 +114,97 @@ def telling(examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
     return np.flatnonzero(np.maximum(np.abs(alone), np.abs(together)) >= SIGNIFICANT)
 
 
+def partners(examples: list[tuple[np.ndarray, int]], machine: Machine) -> np.ndarray:
+    """Buckets of pairs whose documents are toxic more, or less, often than ``machine`` says.
+
+    Only the ``PAIR_TERMS`` most frequent buckets are looked at, the ones that can bear out a pair.
+    """
+    every = np.bincount(np.concatenate([b for b, _ in examples]), minlength=BUCKETS)
+    common = np.argsort(-every, kind="stable")[:PAIR_TERMS]
+    common = common[every[common] >= PAIR_DOCS]
+    at = np.full(BUCKETS, -1)
+    at[common] = np.arange(len(common))
+    excess, spread = np.zeros((2, len(common), len(common)), np.float32)
+    for k in range(0, len(examples), 1024):
+        part = examples[k : k + 1024]
+        likely = np.array([_logistic(machine.margin(b)) for b, _ in part])
+        has = np.zeros((len(part), len(common)), np.float32)
+        for row, (b, _) in zip(has, part):
+            row[at[b][at[b] >= 0]] = 1
+        excess += has.T @ (has * (np.array([y for _, y in part]) - likely)[:, None].astype(np.float32))
+        spread += has.T @ (has * (likely * (1 - likely))[:, None].astype(np.float32))
+    far = np.abs(excess) >= PAIR_SIGNIFICANT * np.sqrt(spread + 1)
+    np.fill_diagonal(far, False)
+    return common[far.any(0)]
+
+
+def _logistic(margin: float) -> float:
+    return 1 / (1 + math.exp(-max(-35.0, min(35.0, margin))))
+
+
+def _loss(machine: Machine, examples: list[tuple[np.ndarray, int]]) -> float:
+    return -sum(math.log(_logistic(machine.margin(b) * (1 if y else -1))) for b, y in examples)
+
+
 def fit(examples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, share: float | None = None) -> Machine:
+    """A machine over the buckets that tell alone or beside a telling one, and over those that tell only in pairs.
+
+    The latter join if four fifths of the examples explain the last fifth better with them.  Where pairs tell, the
+    constant is learned as well if that halves the loss once more: then documents with neither term tell too.
+    """
+    positive = sum(y for _, y in examples)
+    share = (positive + PRIOR) / (len(examples) + 1) if share is None else share
+    if not 0 < positive < len(examples):
+        return _descent(examples, np.zeros(0, np.int64), 0, share)
+    used, free = telling(examples), False
+    learn, judge = [e for k, e in enumerate(examples) if k % 5], examples[::5]
+    if 0 < sum(y for _, y in learn) < len(learn):
+        plain = _descent(learn, used, epochs, share)
+        more = np.union1d(used, partners(learn, plain))
+        if len(more) > len(used):
+            best = BETTER * _loss(plain, judge)
+            if (loss := _loss(_descent(learn, more, epochs, share), judge)) < best:
+                used, best = more, loss
+            if _loss(_descent(learn, more, epochs, share, True), judge) < best / 2:
+                used, free = more, True
+    return _descent(examples, used, epochs, share, free)
+
+
+def _descent(examples: list[tuple[np.ndarray, int]], used: np.ndarray, epochs: int, share: float, free: bool = False) -> Machine:
     """Logistic loss, one example at a time, with a rate for each number that falls with its past gradients.
 
-    The constant stays at the odds of ``share``, the toxic part of all labelled documents, so that a text without a
-    telling term gets that share however the sample was drawn.
+    The constant starts at the odds of ``share``, the toxic part of all labelled documents.  Unless it is ``free`` it
+    stays there, so that a text without a telling term gets that share however the sample was drawn.
     """
     positive = sum(y for _, y in examples)
-    negative = len(examples) - positive
-    up = min(UPWEIGHT, negative / positive) if positive else 1.0
-    share = (positive + 1) / (len(examples) + 2) if share is None else share
+    up = min(UPWEIGHT, (len(examples) - positive) / positive) if positive else 1.0
     constant = math.log(share / (1 - share))
-    learnable = bool(positive and negative)
-    used = telling(examples) if learnable else np.zeros(0, np.int64)
     places = np.zeros(BUCKETS, np.int32)
     places[used] = np.arange(1, len(used) + 1)
     rng = np.random.default_rng(SEED)
     w = np.zeros(len(used) + 1)
     v = rng.normal(0, 0.05, (len(used) + 1, FACTORS))
     v[0] = 0
-    gw, gv = np.full(len(w), 1e-2), np.full(v.shape, 1e-2)
+    gw, gv, gc = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2
     rows = [places[b] for b, _ in examples]
     rows = [r[r > 0] for r in rows]
-    for _ in range(epochs if learnable else 0):
+    for _ in range(epochs):
         for k in rng.permutation(len(examples)):
             r, y = rows[k], examples[k][1]
             vr = v[r]
             total = vr.sum(0)
             margin = constant + w[r].sum() + 0.5 * (total @ total - (vr * vr).sum())
-            slope = (1 / (1 + math.exp(-max(-35.0, min(35.0, margin)))) - y) * (up if y else 1.0)
+            slope = (_logistic(margin) - y) * (up if y else 1.0)
             step = slope + DECAY * w[r]
             gw[r] += step * step
             w[r] -= RATE * step / np.sqrt(gw[r])
             pair = slope * (total - vr) + DECAY * vr
             gv[r] += pair * pair
             v[r] -= PAIR_RATE * pair / np.sqrt(gv[r])
-    return Machine(float(constant), places, w, v)
+            if free:
+                gc += slope * slope
+                constant -= RATE * slope / math.sqrt(gc)
+    return Machine(float(constant), places, w, v, math.log(share / (1 - share)), 0 < positive < len(examples))
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     rows = chosen.select("doc_id", "toxic", "text").mapInArrow(_terms_of, "doc_id long, toxic int, terms array<int>").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
+    share = (sizes.get(1, 0) + PRIOR) / (sum(sizes.values()) + 1)
     return fit([(t.values.to_numpy(), int(y.as_py())) for y, t in zip(rows["toxic"], rows["terms"])], share=share)
 
 
@@ -174,7 +246,7 @@ def _scorer(sent):
 def scored(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text as a column."""
     text_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((machine.constant, machine.places, machine.weights, machine.vectors))
+    sent = docs.sparkSession.sparkContext.broadcast(astuple(machine))
     return docs.withColumn(name, _scorer(sent)(F.col("text").cast("string")))
 
 
@@ -184,10 +256,15 @@ def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0) -> Column:
 
 
 def non_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with a score under a half, same columns; learns from the labels that are not held out."""
+    """The documents with a score under a half, same columns; learns from the labels that are not held out.
+
+    Without labels, or with labels of one kind only, nothing is known of toxic texts and every document stays.
+    """
     machine = train(docs, labels.where(~held_out()))
-    names = docs.columns
-    return scored(docs, machine, "_score").where("_score < 0.5").select(*[F.col(f"`{c}`") for c in names])
+    if not machine.learned:
+        return docs
+    rows = docs.select(*carried(docs), "text")
+    return scored(rows, machine).where("score < 0.5").select(*restored(docs))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

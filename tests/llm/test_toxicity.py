@@ -34,6 +34,48 @@ def test_pairs_count_beyond_single_terms():
     assert pair > 0.5
 
 
+def test_pairs_of_words_that_say_nothing_alone():
+    """Toxic where both words or neither stand: no single word tells, and a sum of weights cannot."""
+    def rows(n, seed):
+        out = []
+        for _, text, _ in corpus(n, seed):
+            words = set(text.split())
+            out.append((toxicity.terms(text), int(("insult" in words) == ("group" in words))))
+        return out
+
+    examples, fresh = rows(1500, 1), rows(600, 2)
+    assert len(toxicity.telling(examples)) == 0
+    machine = toxicity.fit(examples)
+    assert np.mean([(machine.margin(b) >= 0) == y for b, y in fresh]) > 0.95
+
+
+def test_pair_sum_equals_the_double_sum():
+    machine = toxicity.fit([(toxicity.terms(t), y) for _, t, y in corpus(400, 3)])
+    for _, text, _ in corpus(30, 4):
+        rows = [r for r in machine.places[toxicity.terms(text)].tolist() if r]
+        double = sum(float(machine.vectors[a] @ machine.vectors[b]) for k, a in enumerate(rows) for b in rows[:k])
+        plain = machine.constant + sum(float(machine.weights[r]) for r in rows) + double
+        assert abs(machine.margin(toxicity.terms(text)) - plain) < 1e-9
+
+
+def test_nothing_goes_where_nothing_is_learned(spark, docs):
+    df = docs([(1, "one two three"), (2, None), (3, "")])
+    for labels in ([], [(1, 1, 1)], [(1, 1, 0), (2, 1, 0)], [(None, 1, 1), (3, 1, None)]):
+        known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        assert toxicity.non_toxic(df, known).count() == 3
+    assert toxicity.fit([]).score("word") == toxicity.PRIOR
+
+
+def test_columns_of_any_name(spark, docs):
+    rows = [(i, f"{'scum' if i % 3 == 0 else 'dear'} reader number {chr(97 + i % 26)}") for i in range(200)]
+    names = ["score", "_score", "row", "toxic", "terms", "predicted", "found"]
+    df = docs(rows).selectExpr("*", *[f"'{c}' {c}" for c in names])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int").selectExpr("*", "'x' text", "1 terms")
+    left = toxicity.non_toxic(df, labels)
+    assert left.columns == df.columns
+    assert {tuple(r[c] for c in names) for r in left.collect()} == {tuple(names)} and left.count() == 133
+
+
 def test_texts_of_every_kind():
     machine = toxicity.fit([(toxicity.terms("bad thing"), 1), (toxicity.terms("good thing"), 0)] * 20)
     assert machine.score("so bad") > 0.5 > machine.score("so good")
