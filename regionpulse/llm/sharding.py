@@ -95,6 +95,5 @@ def query(spark, sf_dir: str) -> DataFrame:
         "doc_id", "source", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
     )
     return interleave(docs, "source", ["doc_id", "size", "text_crc32"]).select(
-        "doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source",
     )

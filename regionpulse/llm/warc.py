@@ -167,10 +167,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
-       CASE WHEN bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to, TRUE AS intact
-FROM (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest,
-             min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first_id FROM pages)
+       CASE WHEN bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 100 AND place > 1 THEN first_id END AS refers_to, TRUE AS intact
+FROM (SELECT *, rank() OVER (PARTITION BY digest ORDER BY page_id NULLS LAST, url NULLS LAST) AS place, min(page_id) OVER (PARTITION BY digest) AS first_id
+      FROM (SELECT page_id, url, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages))
 """
 
 ship(__name__)

@@ -92,6 +92,13 @@ def centred(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
     return (x * n - sums) / n
 
 
+def deviations(x: np.ndarray, fit: Fit) -> pa.Array:
+    """The sum of squares of n x - S of each row, exact; one that does not fit a long stops the job."""
+    off = x * fit.n - fit.sums
+    large = (off.astype(np.float64) ** 2).sum(1).max(initial=0) >= float(1 << 62)
+    return pa.array(((off.astype(object) if large else off) ** 2).sum(1).tolist(), pa.int64())
+
+
 def bidiagonal(product: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, float]], d: int) -> tuple[np.ndarray, np.ndarray]:
     """The bidiagonal matrix B and the vectors V (columns), with X = U B V'.
 
@@ -185,21 +192,18 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     fit = fitted(distinct, components)
     if not len(fit.values):
         return spark.createDataFrame([], schema)
-    scale, names = fit.components / np.sqrt(fit.values), ["vec_id", "whitened", "deviations"]
+    scale, names = fit.components / np.sqrt(fit.values), ["vec_id", "deviation", "whitened"]
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, x in _blocks(batches, 1):
             z = centred(x, fit.n, fit.sums) @ scale
-            off = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array((x * fit.n - fit.sums).ravel()))
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * z.shape[1], pa.int32()), pa.array(z.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column(0), flat, off], names)
+            bounds = pa.array(np.arange(len(x) + 1) * z.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column(0), deviations(x, fit), pa.ListArray.from_arrays(bounds, pa.array(z.ravel()))], names)
 
     error = identity_error(distinct, fit)
-    out = rows.mapInArrow(project, "vec_id long, whitened array<double>, deviations array<long>")
-    square = F.aggregate("deviations", F.lit(0).cast("decimal(38,0)"), lambda s, e: (s + e.cast("decimal(19,0)") * e.cast("decimal(19,0)")).cast("decimal(38,0)"))
+    out = rows.mapInArrow(project, "vec_id long, deviation long, whitened array<double>")
     explained = F.array(*[F.lit(float(e / fit.trace)) for e in fit.values])
-    out = out.select("vec_id", square.cast("long").alias("deviation"), F.posexplode("whitened").alias("k", "whitened"))
-    return out.select(
+    return out.select("vec_id", "deviation", F.posexplode("whitened").alias("k", "whitened")).select(
         "vec_id", (F.col("k") + 1).alias("component"), F.lit(fit.n).cast("long").alias("n"), "deviation", "whitened",
         F.get(explained, F.col("k")).alias("explained"), F.lit(error).alias("identity_error"),
     )
