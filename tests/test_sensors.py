@@ -13,14 +13,15 @@ from regionpulse.plans.quakes import run_quakes
 from regionpulse.plans.rain import run_rain
 from regionpulse.sources import dimensions
 
+# An invented country: capitals on a diagonal, two degrees apart, and thresholds that rise by odd steps.
 STATES = {
-    "norte": {"capital": "Puerto Norte", "lat": 10.05, "lon": -69.35},
-    "alto rio": {"capital": "Villa Alta", "lat": 10.55, "lon": -66.95},
-    "sur": {"capital": "Ciudad Sur", "lat": 10.7, "lon": -71.7},
+    "norte": {"capital": "Puerto Norte", "lat": 8.0, "lon": -64.0},
+    "alto rio": {"capital": "Villa Alta", "lat": 6.0, "lon": -66.0},
+    "sur": {"capital": "Ciudad Sur", "lat": 4.0, "lon": -68.0},
 }
 THRESHOLDS = {
-    "sur": {"umbral_amarillo": 4.2, "umbral_naranja": 5.1, "umbral_rojo": 6.3},
-    "_default": {"umbral_amarillo": 3.9, "umbral_naranja": 4.8, "umbral_rojo": 5.9},
+    "sur": {"umbral_amarillo": 2.7, "umbral_naranja": 3.2, "umbral_rojo": 7.1},
+    "_default": {"umbral_amarillo": 3.3, "umbral_naranja": 4.9, "umbral_rojo": 7.7},
 }
 
 
@@ -160,10 +161,11 @@ def test_equal_distance_goes_to_the_first_state(spark):
 
 
 def quake_rows():
+    """Two near the first capital, one near none, one by the second without magnitude, one outside the box, one too old."""
     t = datetime(2026, 7, 1)
     return [
-        ("1", t, 4.0, 10.0, "x", 10.1, -69.3, ""), ("2", t, 4.25, 20.0, "x", 10.0, -69.4, ""), ("3", t, 5.0, 1.0, "x", 0.6, -60.0, ""),
-        ("4", t, None, 5.0, "x", 10.6, -66.9, ""), ("5", t, 9.0, 5.0, "x", 20.0, -66.9, ""), ("6", datetime(2026, 1, 1), 9.0, 5.0, "x", 10.6, -66.9, ""),
+        ("1", t, 4.0, 10.0, "x", 8.2, -64.1, ""), ("2", t, 4.25, 20.0, "x", 7.7, -63.9, ""), ("3", t, 5.0, 1.0, "x", 1.1, -61.0, ""),
+        ("4", t, None, 5.0, "x", 6.3, -66.2, ""), ("5", t, 9.0, 5.0, "x", 40.0, -66.2, ""), ("6", datetime(2026, 1, 1), 9.0, 5.0, "x", 6.3, -66.2, ""),
     ]
 
 
