@@ -108,9 +108,18 @@ def filter_alert_window(
     return df.where(F.col(column).between(low, high))
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``value`` as a column that is computed once a row, also where filters and lambdas read it.
+
+    A filter repeats the expression behind a column in every place that reads it, so a text that is cleaned in the
+    same plan would be cleaned many times; a generator of one row stands between.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def filter_gazetteer(df: DataFrame, terms: Sequence[str], column: str = "snippet_full_clean") -> DataFrame:
     """Rows whose text contains a place term, as a substring and ignoring case."""
-    return df.where(contains_any(F.col(column), terms))
+    return held(df, "_texto", F.col(column)).where(contains_any(F.col("_texto"), terms)).drop("_texto")
 
 
 # Leading characters of a term that texts and terms are joined by.
@@ -145,7 +154,7 @@ def filter_gazetteer_table(
 
 def exclude_terms(df: DataFrame, terms: Sequence[str], column: str = "snippet_full_clean") -> DataFrame:
     """Rows whose text contains none of the terms; null text is kept."""
-    return df.where(~F.coalesce(contains_any(F.col(column), terms), F.lit(False)))
+    return held(df, "_texto", F.col(column)).where(~F.coalesce(contains_any(F.col("_texto"), terms), F.lit(False))).drop("_texto")
 
 
 def located_with_events(df: DataFrame, events: str = "tipos_evento_canonico") -> DataFrame:

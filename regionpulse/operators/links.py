@@ -6,7 +6,7 @@ import json
 import sys
 from collections.abc import Callable, Iterator
 from datetime import datetime
-from functools import cache
+from functools import cache, reduce
 from html.entities import html5
 
 import pandas as pd
@@ -19,7 +19,7 @@ from regionpulse.functions.html import page_hits as html_page_hits
 from regionpulse.functions.html import parse, result_blocks
 from regionpulse.functions.text import strip
 from regionpulse.functions.urls import clean_redirect, resolve_href
-from regionpulse.operators.filters import valid_link
+from regionpulse.operators.filters import held, valid_link
 
 ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 
@@ -32,8 +32,16 @@ def _named_references() -> str:
     return json.dumps({f"&{name}": text for name, text in html5.items() if name.endswith(";")})
 
 
+# The references that nearly all pages use.  The ampersand comes last, so that what it yields stays.
+COMMON_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+_RARE = r"&(?!(?:" + "|".join(name[1:-1] for name in COMMON_REFERENCES) + r");)" + REFERENCE[1:]
+
+
 def decode_entities(c: Column) -> Column:
-    """Decode character references, named and numeric ones; unknown ones stay."""
+    """Decode character references, named and numeric ones; unknown ones stay.
+
+    Common ones are replaced in the text; only a text that holds another one is cut up and looked up piece by piece.
+    """
     names = F.from_json(F.lit(_named_references()), "map<string,string>")
     parts = F.split(c, rf"(?={REFERENCE})|(?<={REFERENCE})")
 
@@ -44,7 +52,9 @@ def decode_entities(c: Column) -> Column:
         numeric = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
         return F.when(~F.startswith(part, F.lit("&")), part).otherwise(F.coalesce(F.try_element_at(names, part), numeric, part))
 
-    return F.when(c.rlike(REFERENCE), F.array_join(F.transform(parts, decoded), "")).otherwise(c)
+    common = reduce(lambda text, pair: F.replace(text, F.lit(pair[0]), F.lit(pair[1])), COMMON_REFERENCES.items(), c)
+    whole = F.array_join(F.transform(parts, decoded), "")
+    return F.when(~F.contains(c, F.lit("&")), c).when(c.rlike(_RARE), whole).otherwise(common)
 
 
 def plain_text(html: Column) -> Column:
@@ -53,11 +63,6 @@ def plain_text(html: Column) -> Column:
     return strip(F.regexp_replace(decode_entities(text), r"[\s\u00A0]+", " "))
 
 
-def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """``value`` as a column that is computed once a row, also where lambdas read it."""
-    return df.withColumn(name, F.explode(F.array(value)))
-
-
 def _explode_first_links(pages: DataFrame, links: Column, others: list[str], url: str) -> DataFrame:
     """One row per link, the first per address, in page order; ``_i`` counts those kept.
 
@@ -66,7 +71,7 @@ def _explode_first_links(pages: DataFrame, links: Column, others: list[str], url
     not with their square.
     """
     placed = F.transform(links, lambda link, i: F.struct(link["href"].alias("href"), i.alias("i"), link.alias("link")))
-    staged = _held(pages.select(*others, F.col(url).alias("pagina"), F.array_sort(placed).alias("_sorted")), "_sorted", F.col("_sorted"))
+    staged = held(pages.select(*others, F.col(url).alias("pagina"), F.array_sort(placed).alias("_sorted")), "_sorted", F.col("_sorted"))
     first = F.filter("_sorted", lambda x, k: (k == 0) | (F.get("_sorted", k - 1)["href"] != x["href"]))
     in_order = F.array_sort(F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["link"].alias("link"))))
     return (
