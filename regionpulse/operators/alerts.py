@@ -12,6 +12,7 @@ from regionpulse.functions.levels import news_level, severity
 from regionpulse.functions.urls import domain
 from regionpulse.operators.classify import Situation, canonical_events, filter_situation, tag_state
 from regionpulse.operators.filters import filter_alert_window
+from regionpulse.operators.ordering import numbered, running
 from regionpulse.sources.dimensions import CANONICAL_EVENTS
 
 GROUP = ["estado", "tipo_evento"]
@@ -132,6 +133,30 @@ def alert_url_parts(
     return _list_urls(per_url, _count_groups(per_url), part_bytes).select(*GROUP, "parte", "urls")
 
 
+def alert_url_ordered(
+    df: DataFrame,
+    hours: int,
+    now: datetime,
+    situation: Situation = None,
+    states: Sequence[str] | None = None,
+    mapping: Mapping[str, str] = CANONICAL_EVENTS,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """``(estado, tipo_evento, parte, urls)``: the whole sorted text of each alert's URLs, cut into parts in order.
+
+    The parts of a group, joined by the separator in the order of ``parte``, are its text.  A part begins with the
+    first URL whose place in the text is in the next stretch of ``part_bytes``; numbers of parts may have gaps behind
+    a longer URL.  Places are sums over a sort in ranges, so a group of any size is many tasks.
+    """
+    found = alert_urls(df, hours, now, situation, states, mapping)
+    sized = found.withColumn("_bytes", F.octet_length("url") + len(URL_SEPARATOR))
+    placed = running(sized, GROUP, ["url"], "_bytes", "_inicio")
+    return (
+        placed.groupBy(*GROUP, F.floor(F.col("_inicio") / part_bytes).alias("parte"))
+        .agg(F.array_join(F.array_sort(F.collect_list("url")), URL_SEPARATOR).alias("urls"))
+    )
+
+
 def alert_metrics(
     df: DataFrame,
     hours: int,
@@ -139,7 +164,7 @@ def alert_metrics(
     situation: Situation = None,
     states: Sequence[str] | None = None,
     mapping: Mapping[str, str] = CANONICAL_EVENTS,
-    urls: bool = True,
+    urls: bool = False,
     part_bytes: int | None = None,
 ) -> DataFrame:
     """Counts, sources, flags, latest date and level per state and event type.
@@ -148,13 +173,13 @@ def alert_metrics(
     combines inside the tasks first, so one group or source with most of the
     reports does not pile up in one task, and distinct sources need no set.
 
-    There is one row per group, and ``urls_relacionadas`` holds all its URLs, sorted; a text beyond Spark's limit of
-    2 GB a value fails.  A caller that names ``part_bytes`` gets a row for each part of the URLs instead
-    (:func:`alert_url_parts` numbers these), which repeats the counts.  ``urls=False`` asks for the levels alone: a
-    row per group, null URLs, and no step per URL.
+    There is one row per group, with null in ``urls_relacionadas``, and no step per URL.  ``urls`` asks for the text
+    that is published: all URLs of the group, sorted; a text beyond Spark's limit of 2 GB a value fails, and
+    :func:`alert_url_ordered` has the same text in parts.  A caller that names ``part_bytes`` gets a row for each part
+    of the URLs instead (:func:`alert_url_parts` numbers these), which repeats the counts.
     """
     events = explode_events(filter_alert_window(df, now, hours), situation, states, mapping)
-    if urls:
+    if urls or part_bytes is not None:
         per_url = _combine(events, [*GROUP, "url"])
         groups = _list_urls(per_url, _count_groups(per_url), part_bytes)
     else:
@@ -176,6 +201,15 @@ def alert_metrics(
     )
 
 
+def _alert_order() -> list[str | Column]:
+    return [severity(F.col("nivel_alerta")), F.desc("n_noticias"), *GROUP]
+
+
 def sort_alerts(df: DataFrame) -> DataFrame:
     """Most severe first, then most reports, then group."""
-    return df.orderBy(severity(F.col("nivel_alerta")), F.desc("n_noticias"), *GROUP)
+    return df.orderBy(*_alert_order())
+
+
+def rank_alerts(df: DataFrame, rank: str = "orden") -> DataFrame:
+    """The place of each alert in the order of :func:`sort_alerts`, from 0."""
+    return numbered(df, _alert_order(), rank)

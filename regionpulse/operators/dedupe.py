@@ -7,24 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from regionpulse.operators.ordering import likely_first, numbered
 from regionpulse.sources.schemas import REDUNDANT_COLUMNS
 
 # Up to this many rows per group Spark limits each group before the shuffle.
 MAP_SIDE_LIMIT = 1000
 
-# Slices a group is ranked in first when more rows are wanted.
-GROUP_SLICES = 4096
-
-
-def _holds_map(kind: T.DataType) -> bool:
-    """Maps cannot be hashed."""
-    if isinstance(kind, T.StructType):
-        return any(_holds_map(f.dataType) for f in kind)
-    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _holds_map(kind.elementType))
-
-
 def not_seen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Rows whose key ``seen`` does not hold; null matches null.
 
@@ -41,27 +30,29 @@ def not_seen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 
 
 def first_per_group(
-    df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], k: int = 1, rank: str | None = None
+    df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], k: int = 1, rank: str | None = None,
+    by: Column | None = None,
 ) -> DataFrame:
     """The first ``k`` rows of each group in the given order.
 
     For ``k`` within the planner's limit each task keeps ``k`` rows per group
     before the shuffle, so a group with most of the rows stays cheap.  Above
-    it a first pass over hash slices of the group does the same.  ``rank``
-    names an output column with the position in the group.
+    it the rows are sorted into ranges and numbered through all ranges of
+    their group.  ``by``, a number that never falls along the order, spares
+    most rows of a large group that sort: histograms of it tell how far the
+    first ``k`` can reach.  ``rank`` names an output column with the position
+    in the group.
     """
     position = rank or "_pos"
-    if k > MAP_SIDE_LIMIT:
-        hashed = [f.name for f in df.schema if not _holds_map(f.dataType)]
-        slices = F.pmod(F.xxhash64(F.lit(0), *hashed), F.lit(GROUP_SLICES))
-        inner = W.partitionBy(*keys, "_slice").orderBy(*order)
-        df = (
-            df.withColumn("_slice", slices)
-            .withColumn("_inner", F.row_number().over(inner))
-            .where(F.col("_inner") <= k)
-            .drop("_inner", "_slice")
-        )
-    ranked = df.withColumn(position, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    if k <= MAP_SIDE_LIMIT:
+        ranked = df.withColumn(position, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    else:
+        named = {f"_clave{i}": c for i, c in enumerate(keys) if isinstance(c, Column)}
+        df = df.withColumns(named)
+        names = [f"_clave{i}" if isinstance(c, Column) else c for i, c in enumerate(keys)]
+        if by is not None:
+            df = likely_first(df, names, k, by)
+        ranked = numbered(df, order, position, names, start=1).drop(*named)
     kept = ranked.where(F.col(position) <= k)
     return kept if rank else kept.drop(position)
 

@@ -12,6 +12,7 @@ from regionpulse.functions.geo import EARTH_RADIUS_KM, haversine_km
 from regionpulse.functions.levels import quake_level
 from regionpulse.functions.numbers import round_scaled
 from regionpulse.functions.text import choice_name
+from regionpulse.operators.ordering import numbered
 from regionpulse.sources.dimensions import plan_values
 
 # Fixed value: bounding box of the scanned area, with a margin.
@@ -52,7 +53,16 @@ def filter_quakes(
 
 def sort_quakes(df: DataFrame) -> DataFrame:
     """Newest first."""
-    return df.orderBy(F.desc("fecha_evento"), "id_evento")
+    return df.orderBy(*_newest_first())
+
+
+def rank_quakes(df: DataFrame, rank: str = "orden") -> DataFrame:
+    """The place of each earthquake in the order of :func:`sort_quakes`, from 0."""
+    return numbered(df, _newest_first(), rank)
+
+
+def _newest_first() -> list[str | Column]:
+    return [F.desc("fecha_evento"), "id_evento"]
 
 
 def _wrapped(lon: Column) -> Column:

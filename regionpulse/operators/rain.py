@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from regionpulse.functions.levels import RAIN_RATIOS, rain_level, rain_priority
 from regionpulse.functions.numbers import round_exact
 from regionpulse.functions.text import choice_name
+from regionpulse.operators.ordering import numbered
 
 
 def years_before(day: date, years: int) -> date:
@@ -96,7 +97,16 @@ def rain_risk(
 
 def sort_rain(df: DataFrame) -> DataFrame:
     """Highest priority first, then the largest share of the normal."""
-    return df.orderBy(F.desc("prioridad"), F.desc("saturacion"), "estado")
+    return df.orderBy(*_by_priority())
+
+
+def rank_rain(df: DataFrame, rank: str = "orden") -> DataFrame:
+    """The place of each state in the order of :func:`sort_rain`, from 0."""
+    return numbered(df, _by_priority(), rank)
+
+
+def _by_priority() -> list[str | Column]:
+    return [F.desc("prioridad"), F.desc("saturacion"), "estado"]
 
 
 def at_risk(df: DataFrame) -> DataFrame:

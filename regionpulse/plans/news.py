@@ -168,7 +168,7 @@ def run_news(
     """
     processed = stage(process_news(raw, settings, now, start, end), f"{out}/procesadas")
     alerts = sort_alerts(
-        alert_metrics(processed, settings.window_hours, now, settings.situation, mapping=settings.canonical)
+        alert_metrics(processed, settings.window_hours, now, settings.situation, mapping=settings.canonical, urls=True)
     )
     return processed, stage(alerts, f"{out}/alertas")
 

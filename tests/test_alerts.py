@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 from datetime import date, datetime
 from xml.etree import ElementTree
 
@@ -48,7 +49,7 @@ def test_levels_of_groups(spark):
         "rojo": "Rojo", "una fuente": "Amarillo", "danios": "Naranja", "rescate": "Naranja", "dos": "Amarillo",
         "una": "Verde", "solo victima": "Verde", "sin url": "Amarillo",
     }
-    assert got == levels(A.alert_metrics(frame(spark, rows), 48, NOW, urls=False))
+    assert got == levels(A.alert_metrics(frame(spark, rows), 48, NOW, urls=True))
 
 
 def test_metrics_row(spark):
@@ -58,7 +59,7 @@ def test_metrics_row(spark):
         report("https://late.com", day=date(2026, 7, 8)), report("https://undated.com", day=None),
         report("https://nostate.com", estado=None), report("https://noevent.com", eventos=["zzz"]),
     ]
-    got = {r.tipo_evento: r for r in A.alert_metrics(frame(spark, rows), 48, NOW).collect()}
+    got = {r.tipo_evento: r for r in A.alert_metrics(frame(spark, rows), 48, NOW, urls=True).collect()}
     rain = got["lluvias"]
     assert (rain.n_noticias, rain.n_fuentes_distintas) == (5, 2)  # '' counts as a source
     assert (rain.tiene_victimas, rain.tiene_rescate_activo, rain.tiene_danios_estructurales) == (True, False, False)
@@ -83,17 +84,37 @@ def test_large_url_lists_come_in_parts_without_loss(spark):
     assert sorted(K.prepare_metrics(A.alert_metrics(df, 48, NOW, part_bytes=300)).where("estado = 'lara'").toPandas()["urls_relacionadas"]) == sorted(p.urls for p in parts)
 
 
+def test_levels_do_without_urls(spark):
+    df = A.alert_metrics(frame(spark, [report(f"https://a.com/{i}") for i in range(5)]), 48, NOW)
+    assert df.first().urls_relacionadas is None and "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ordered_parts_are_the_text_of_a_group(spark):
+    """One group is longer than any part, in more ranges than one: its parts, in order, are the whole sorted text."""
+    rng = random.Random(7)
+    rows = [report(f"https://a{i % 9}.com/{'x' * rng.randrange(60)}/{i}") for i in range(1500)]
+    rows += [report("https://b.com/" + "y" * 900, "sucre"), report("https://b.com/z", "sucre"), report("https://b.com/z", "sucre"), report(None, "zulia")]
+    df = frame(spark, rows).repartition(5)
+    parts = A.alert_url_ordered(df, 48, NOW, part_bytes=400).collect()
+    whole = {(r.estado, r.tipo_evento): r.urls_relacionadas for r in A.alert_metrics(df, 48, NOW, urls=True).collect()}
+    for key, text in whole.items():
+        mine = sorted((p.parte, p.urls) for p in parts if (p.estado, p.tipo_evento) == key)
+        assert " | ".join(urls for _, urls in mine) == text and len({n for n, _ in mine}) == len(mine)
+    assert len([p for p in parts if p.estado == "lara"]) > 100
+    assert all(len(p.urls) < 400 + 90 for p in parts if p.estado == "lara")
+
+
 def test_a_large_group_is_one_row(spark):
     urls = [f"https://a{i}.com/{'x' * 4000}" for i in range(400)]
     df = frame(spark, [report(u) for u in urls])
-    [row] = A.alert_metrics(df, 48, NOW).collect()
+    [row] = A.alert_metrics(df, 48, NOW, urls=True).collect()
     assert row.n_noticias == 400 and len(row.urls_relacionadas) > A.PART_BYTES
     assert row.urls_relacionadas == " | ".join(sorted(urls))
 
 
 def test_reports_are_scanned_once(spark, tmp_path):
     frame(spark, [report(f"https://a.com/{i}") for i in range(20)]).write.parquet(str(tmp_path / "t"))
-    df = A.alert_metrics(spark.read.parquet(str(tmp_path / "t")), 48, NOW)
+    df = A.alert_metrics(spark.read.parquet(str(tmp_path / "t")), 48, NOW, urls=True)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

@@ -29,7 +29,6 @@ from workload.standins import (
     joined,
     metrics_sql,
     news,
-    positions,
     table,
 )
 
@@ -43,19 +42,19 @@ def _metrics(df: DataFrame) -> DataFrame:
 
 
 def alert_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return _metrics(A.sort_alerts(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST)))
+    return _metrics(A.sort_alerts(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST, urls=True)))
 
 
 def alert_metrics_72h(spark: SparkSession, sf: str) -> DataFrame:
-    return _metrics(A.sort_alerts(A.alert_metrics(news(spark, sf), HOURS, NOW)))
+    return _metrics(A.sort_alerts(A.alert_metrics(news(spark, sf), HOURS, NOW, urls=True)))
 
 
 def alert_metrics_situation(spark: SparkSession, sf: str) -> DataFrame:
-    return _metrics(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST, situation=["lluvias", "sequia"]))
+    return _metrics(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST, situation=["lluvias", "sequia"], urls=True))
 
 
 def alerts_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return positions(A.sort_alerts(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST, urls=False))).select("orden", "estado", "tipo_evento")
+    return A.rank_alerts(A.alert_metrics(news(spark, sf), ALL_HOURS, LATEST)).select("orden", "estado", "tipo_evento")
 
 
 def tagged_hits(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,6 +74,11 @@ def alert_url_parts(spark: SparkSession, sf: str) -> DataFrame:
     return parts.withColumn("parte", F.col("parte").cast("long"))
 
 
+def alert_url_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole text of the URLs of each alert, in order, in parts of two kilobytes."""
+    return A.alert_url_ordered(news(spark, sf), ALL_HOURS, LATEST, part_bytes=2000)
+
+
 def explode_events(spark: SparkSession, sf: str) -> DataFrame:
     return A.explode_events(news(spark, sf)).withColumn("fecha_dt", day_text("fecha_dt"))
 
@@ -102,7 +106,7 @@ def has_situation(spark: SparkSession, sf: str) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     df = news(spark, sf)
-    return S.enrich_with_alert(df, A.alert_metrics(df, HOURS, NOW, urls=False))
+    return S.enrich_with_alert(df, A.alert_metrics(df, HOURS, NOW))
 
 
 def most_severe_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,7 +121,7 @@ def topk_per_situation(spark: SparkSession, sf: str) -> DataFrame:
 def topk_merge(spark: SparkSession, sf: str) -> DataFrame:
     df = news(spark, sf)
     sent = df.where("criterio_busqueda = 'signup'").select("url")
-    chosen = S.select_news(df, A.alert_metrics(df, HOURS, NOW, urls=False), sent, SITUATIONS, k=25)
+    chosen = S.select_news(df, A.alert_metrics(df, HOURS, NOW), sent, SITUATIONS, k=25)
     return chosen.select("situacion", F.col("orden").cast("long").alias("orden"), "event_id", "url")
 
 
@@ -126,11 +130,11 @@ def publish_news(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return K.prepare_metrics(A.alert_metrics(news(spark, sf), HOURS, NOW))
+    return K.prepare_metrics(A.alert_metrics(news(spark, sf), HOURS, NOW, urls=True))
 
 
 def conform_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = K.conform_output(K.prepare_metrics(A.alert_metrics(news(spark, sf), HOURS, NOW)), "metrics")
+    rows = K.conform_output(K.prepare_metrics(A.alert_metrics(news(spark, sf), HOURS, NOW, urls=True)), "metrics")
     return rows.select(
         "estado", "tipo_evento", "n_noticias", "tiene_victimas", "nivel_alerta",
         F.date_format("fecha_calculo", "yyyy-MM-dd HH:mm").alias("fecha_calculo"),
@@ -161,7 +165,7 @@ def submission_xml(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_keys_new(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = S.with_alert_key(A.alert_metrics(news(spark, sf), HOURS, NOW, urls=False))
+    keyed = S.with_alert_key(A.alert_metrics(news(spark, sf), HOURS, NOW))
     sent = keyed.where("nivel_alerta = 'Naranja'").select("clave")
     return S.not_in_ledger(keyed, sent, "clave").select("clave", "n_noticias")
 
@@ -262,7 +266,7 @@ def dedupe_social(spark: SparkSession, sf: str) -> DataFrame:
 def dedupe_topk_large(spark: SparkSession, sf: str) -> DataFrame:
     """First 1,500 rows per event type: more than the per-task limit covers."""
     df = table(spark, sf, "events").select("event_type", "event_id", "value")
-    top = D.first_per_group(df, ["event_type"], [F.desc("value"), "event_id"], k=1500, rank="orden")
+    top = D.first_per_group(df, ["event_type"], [F.desc("value"), "event_id"], k=1500, rank="orden", by=-F.col("value"))
     return top.withColumn("orden", F.col("orden").cast("long"))
 
 
@@ -315,7 +319,7 @@ def ledger_counters(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        alert_metrics, alert_metrics_72h, alert_metrics_situation, alerts_ranked, tagged_hits, conform_news, alert_urls, alert_url_parts, explode_events,
+        alert_metrics, alert_metrics_72h, alert_metrics_situation, alerts_ranked, tagged_hits, conform_news, alert_urls, alert_url_parts, alert_url_ordered, explode_events,
         alert_window_filter, date_window, canonical_events, has_situation, most_severe_match,
         topk_per_situation, topk_merge, publish_news, publish_metrics, conform_metrics, choice_violations,
         submission_xml, alert_keys_new, ledger_anti_url, ledger_update, ledger_batches, publish_outcomes,
@@ -376,6 +380,11 @@ ORACLES = {
         s AS (SELECT estado, tipo_evento, greatest(CAST(ceil(coalesce(sum(strlen(url) + 3), 0) / 2000.0) AS BIGINT), 1) AS n FROM u GROUP BY ALL)
         SELECT estado, tipo_evento, coalesce(('0x' || substr(md5(url), 1, 8))::BIGINT % n, 0) AS parte,
                coalesce(string_agg(url, ' | ' ORDER BY url), '') AS urls FROM u JOIN s USING (estado, tipo_evento) GROUP BY ALL""",
+    "alert_url_ordered": f"""WITH {NEWS_SQL},
+        u AS (SELECT DISTINCT estado, tipo_evento, url FROM exploded WHERE fecha_dt IS NOT NULL AND url IS NOT NULL),
+        s AS (SELECT *, coalesce(sum(strlen(url) + 3) OVER (PARTITION BY estado, tipo_evento ORDER BY url
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // 2000 AS parte FROM u)
+        SELECT estado, tipo_evento, parte, string_agg(url, ' | ' ORDER BY url) AS urls FROM s GROUP BY ALL""",
     "explode_events": f"""WITH {NEWS_SQL} SELECT estado, tipo_evento, url, strftime(fecha_dt, '%Y-%m-%d') AS fecha_dt,
         v AS victimas, r AS rescate, d AS danios FROM exploded""",
     "alert_window_filter": f"""WITH {NEWS_SQL} SELECT event_id, strftime(fecha_dt, '%Y-%m-%d') AS fecha_dt FROM news

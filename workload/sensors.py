@@ -25,7 +25,6 @@ from workload.standins import (
     RAIN_YEARS,
     STATES_SQL,
     day_text,
-    positions,
     quakes,
     rain_daily,
     states,
@@ -56,7 +55,7 @@ def rain_risk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rain_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return positions(N.sort_rain(_risk(spark, sf))).select("orden", "estado")
+    return N.rank_rain(_risk(spark, sf)).select("orden", "estado")
 
 
 def conform_rain(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,7 +120,7 @@ def quake_newest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quake_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return positions(Z.sort_quakes(quakes(spark, sf))).select("orden", "id_evento")
+    return Z.rank_quakes(quakes(spark, sf)).select("orden", "id_evento")
 
 
 def conform_quakes(spark: SparkSession, sf: str) -> DataFrame:

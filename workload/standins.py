@@ -216,10 +216,5 @@ def joined(name: str) -> Column:
     return F.array_join(name, ";").alias(name)
 
 
-def positions(df: DataFrame) -> DataFrame:
-    """A sorted table with the place of each row in its order, from 0."""
-    return df.coalesce(1).withColumn("orden", F.monotonically_increasing_id())
-
-
 def day_text(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd").alias(name)
