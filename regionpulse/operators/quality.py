@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,6 +40,38 @@ def observed(df: DataFrame, name: str, counters: list[Column]) -> tuple[DataFram
     return df.observe(observation, *counters), observation
 
 
+class Counters:
+    """Counters of the steps of a job, gathered by the run that writes its results: no step is read a second time.
+
+    A stage that runs again after a lost executor may count some rows twice, as all of Spark's metrics.
+    """
+
+    def __init__(self) -> None:
+        self._steps: list[tuple[str, Observation]] = []
+
+    def watch(self, df: DataFrame, step: str, counters: list[Column] | None = None) -> DataFrame:
+        """``df``, counted as it passes; rows alone unless counters are given."""
+        watched, observation = observed(df, f"{step}-{uuid.uuid4().hex}", counters or [F.count(F.lit(1)).alias("filas")])
+        self._steps.append((step, observation))
+        return watched
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``(paso, contador, valor)`` of everything watched; waits for the runs of the watched tables."""
+        rows = [(step, name, value) for step, observation in self._steps for name, value in observation.get.items()]
+        return spark.createDataFrame(rows, "paso string, contador string, valor long")
+
+
+def counted(write: Callable[[DataFrame, int], None], path: str, counters: list[Column]) -> Callable[[DataFrame, int], None]:
+    """A stream's batch writer whose counters go into a table, in a partition of each batch; a repeated batch replaces its own."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        gathered = Counters()
+        write(gathered.watch(batch, "lote", counters), batch_id)
+        gathered.table(batch.sparkSession).drop("paso").write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+
+    return run
+
+
 def dedupe_counters(before: DataFrame, key: str) -> DataFrame:
     """Rows before and after deduplication by a key (null keys are one key)."""
     per_key = before.groupBy(key).agg(F.count("*").alias("n"))

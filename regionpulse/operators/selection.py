@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,7 +140,13 @@ def select_news(
     k: int = 10,
     states: Sequence[str] | None = None,
     mapping: Mapping[str, str] = CANONICAL_EVENTS,
+    watch: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """News to publish: new, enriched, the top of each situation, each URL once."""
-    fresh = not_in_ledger(enrich_with_alert(news, alerts, states, mapping), sent, "url")
+    """News to publish: new, enriched, the top of each situation, each URL once.
+
+    ``watch`` is shown the rows before and after the ledger, as ``candidatas`` and ``nuevas``.
+    """
+    watch = watch or (lambda df, step: df)
+    fresh = not_in_ledger(watch(enrich_with_alert(news, alerts, states, mapping), "candidatas"), sent, "url")
+    fresh = watch(fresh, "nuevas")
     return merge_selections(select_top(explode_situations(fresh, situation), k))

@@ -43,6 +43,7 @@ from regionpulse.operators.filters import (
     filter_gazetteer,
     filter_leading_date,
 )
+from regionpulse.operators.quality import Counters, news_counters
 from regionpulse.operators.selection import not_in_ledger, select_news, with_alert_key
 from regionpulse.session import stage
 from regionpulse.sources import ledgers, readers, sinks
@@ -74,13 +75,18 @@ def collect_raw(
     accumulated: DataFrame | None = None,
     accumulated_is_unique: bool = False,
 ) -> DataFrame:
-    """CSV parts -> one row per key, merged after the rows of earlier runs.
+    """CSV parts -> one row per key, merged after the rows of earlier runs; see :func:`merge_raw`."""
+    return merge_raw(readers.read_raw_parts(spark, paths), accumulated, accumulated_is_unique)
 
+
+def merge_raw(parts: DataFrame, accumulated: DataFrame | None = None, accumulated_is_unique: bool = False) -> DataFrame:
+    """Rows of parts -> one row per key, merged after the rows of earlier runs.
+
+    ``parts`` come with their order, from :func:`readers.read_raw_parts` or :func:`split_files.read_split_parts`.
     ``accumulated_is_unique`` promises that the earlier rows are a result of
     this function.  Then only their keys are shuffled, to find what is new, and
     the earlier rows themselves pass through.
     """
-    parts = readers.read_raw_parts(spark, paths)
     merged = merge_parts(parts, [readers.SOURCE_ORDER])
     if accumulated is None:
         result = merged
@@ -124,9 +130,12 @@ def publish_news(
     deliver_news: Deliver,
     deliver_alerts: Deliver,
     work: str,
+    counters: Counters | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Send new alerts and the selected news, and record what was accepted.
 
+    ``counters`` gathers the news that can be sent (``candidatas``) and those that the ledger does not hold (``nuevas``).
+
     Rows to send are written first; outcomes and ledger entries then refer to
     that written outbox, so a failed row is never marked as sent.
     """
@@ -136,7 +145,8 @@ def publish_news(
     sent_urls = ledgers.read_sent_ledger(spark, url_ledger)
     chosen = stage(
         select_news(
-            processed, alerts, sent_urls, settings.situation, settings.per_situation, mapping=settings.canonical
+            processed, alerts, sent_urls, settings.situation, settings.per_situation, mapping=settings.canonical,
+            watch=counters.watch if counters else None,
         ),
         f"{work}/outbox_noticias",
     )
@@ -160,13 +170,19 @@ def run_news(
     out: str,
     start: str | None = None,
     end: str | None = None,
+    counters: Counters | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Processed news and sorted alerts, both written under ``out``.
 
     The processed table feeds the alerts and the selection; it is written once
-    and read back, so later steps scan only the columns they need.
+    and read back, so later steps scan only the columns they need.  ``counters``
+    gathers the rows that come in (``crudas``) and the quality of what is written
+    (``procesadas``) in the run that writes them.
     """
-    processed = stage(process_news(raw, settings, now, start, end), f"{out}/procesadas")
+    rows = process_news(counters.watch(raw, "crudas") if counters else raw, settings, now, start, end)
+    if counters:
+        rows = counters.watch(rows, "procesadas", news_counters())
+    processed = stage(rows, f"{out}/procesadas")
     alerts = sort_alerts(
         alert_metrics(processed, settings.window_hours, now, settings.situation, mapping=settings.canonical, urls=True)
     )

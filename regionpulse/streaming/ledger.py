@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from regionpulse.operators.dedupe import first_per_group
+from regionpulse.session import stage
+from regionpulse.sources import key_index
 from regionpulse.sources.readers import read_or_empty
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -68,6 +70,52 @@ def start_ledger_stream(
     )
 
 
+def indexed_batch(
+    key: str, ledger: str, outbox: str, order: list[str], also: BatchWriter | None = None, stream: str = "stream"
+) -> BatchWriter:
+    """:func:`ledger_batch` over an indexed ledger: a batch opens only the partitions that may hold its keys.
+
+    New rows are written to the outbox of the batch, then their keys are recorded, then ``also`` sees them.  A batch
+    that runs again does not see its own keys and replaces both.  Sets of earlier batches of this stream, which cannot
+    run again, are merged as the ledger grows.
+    """
+
+    def done(entry: dict, batch_id: int) -> bool:
+        name, _, number = entry.get("lote", "").rpartition("-")
+        return not name or (name == stream and int(number) < batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, own = batch.sparkSession, f"{stream}-{batch_id}"
+        key_index.compact(spark, ledger, lambda entry: done(entry, batch_id))
+        keyed = stage(first_per_group(batch.where(F.col(key).isNotNull()), [key], order))
+        target = f"{outbox}/{own}"
+        new = stage(key_index.unseen(keyed, key, ledger, without=own), target)
+        key_index.record(new, key, ledger, own)
+        if also is not None:
+            also(new, batch_id)
+
+    return write
+
+
+def start_indexed_stream(
+    rows: DataFrame,
+    key: str,
+    ledger: str,
+    checkpoint: str,
+    order: list[str],
+    also: BatchWriter | None = None,
+    stream: str | None = None,
+) -> StreamingQuery:
+    """Run :func:`indexed_batch` over everything available, resuming from the checkpoint; the outbox is in the ledger's folder."""
+    name = stream or hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    return (
+        rows.writeStream.foreachBatch(indexed_batch(key, ledger, f"{ledger}/salida", order, also, name))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def start_append_stream(
     rows: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None
 ) -> StreamingQuery:

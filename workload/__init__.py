@@ -7,11 +7,11 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workload import news, search, sensors, streams, texts
+from workload import news, search, sensors, storage, streams, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = (news, texts, search, sensors, streams)
+MODULES = (news, texts, search, sensors, streams, storage)
 
 
 def in_utc(query: Query) -> Query:

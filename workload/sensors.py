@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regionpulse.operators import contracts as K
@@ -95,8 +95,8 @@ def rain_timeline(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def rain_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as weather documents with two days each, parsed and exploded."""
+def rain_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as weather documents with two days each, as text."""
     doc = F.to_json(
         F.struct(
             F.concat(F.lit("e"), F.col("o_orderkey").cast("string")).alias("estado"),
@@ -106,7 +106,12 @@ def rain_json(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("daily"),
         )
     )
-    docs = table(spark, sf, "orders").select(F.from_json(doc, RAIN_JSON).alias("d")).select("d.*")
+    return table(spark, sf, "orders").select(doc.alias("doc"))
+
+
+def rain_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather documents parsed and exploded."""
+    docs = rain_documents(spark, sf).select(F.from_json("doc", RAIN_JSON).alias("d")).select("d.*")
     return readers.explode_rain_documents(docs).withColumn("fecha", day_text("fecha"))
 
 
@@ -157,18 +162,24 @@ def quake_counters(spark: SparkSession, sf: str) -> DataFrame:
     return Q.count_quakes(_assigned(spark, sf))
 
 
-def geo_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as feature collections of two features, parsed and exploded."""
+def _feature(suffix: str, place: Column) -> Column:
+    """An event as an earthquake's feature."""
     i = F.col("event_id")
+    return F.struct(
+        F.concat(i.cast("string"), F.lit(suffix)).alias("id"),
+        F.struct((i * 1000).alias("time"), F.col("value").alias("mag"), place.alias("place"), F.lit(None).cast("string").alias("url")).alias("properties"),
+        F.struct(F.array((i % 90) / 2.0, (i % 45) / 4.0, F.col("value")).alias("coordinates")).alias("geometry"),
+    )
 
-    def feature(suffix: str, place) -> F.Column:
-        return F.struct(
-            F.concat(i.cast("string"), F.lit(suffix)).alias("id"),
-            F.struct((i * 1000).alias("time"), F.col("value").alias("mag"), place.alias("place"), F.lit(None).cast("string").alias("url")).alias("properties"),
-            F.struct(F.array((i % 90) / 2.0, (i % 45) / 4.0, F.col("value")).alias("coordinates")).alias("geometry"),
-        )
 
-    doc = F.to_json(F.struct(F.array(feature("a", F.col("event_type")), feature("b", F.lit(None).cast("string"))).alias("features")))
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    """``event_id`` and ``feature`` of every event."""
+    return table(spark, sf, "events").select("event_id", _feature("a", F.col("event_type")).alias("feature"))
+
+
+def geo_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as feature collections of two features, parsed and exploded."""
+    doc = F.to_json(F.struct(F.array(_feature("a", F.col("event_type")), _feature("b", F.lit(None).cast("string"))).alias("features")))
     docs = table(spark, sf, "events").select(F.from_json(doc, QUAKE_GEOJSON).alias("d")).select("d.*")
     return readers.explode_quake_documents(docs).withColumn(
         "fecha_evento", F.date_format("fecha_evento", "yyyy-MM-dd HH:mm:ss")

@@ -12,7 +12,7 @@ from regionpulse.functions import dates, text
 from regionpulse.operators import classify as C
 from regionpulse.operators import entities as E
 from regionpulse.operators import filters as R
-from regionpulse.plans.news import NewsSettings, collect_raw, process_news, run_news
+from regionpulse.plans.news import NewsSettings, merge_raw, process_news, run_news
 from regionpulse.session import scratch_path, spread
 from regionpulse.sources import readers, sinks
 from workload.standins import day_text, joined, strings, table
@@ -346,17 +346,19 @@ def news_processed(spark: SparkSession, sf: str) -> DataFrame:
 TYPES = {"ering": "sismo", "tion": "lluvias", " tionth": "lluvias", "cion": "huracan", "schung": "huracan"}
 
 
+JOB = NewsSettings(
+    lexicon={**LEXICON, "rescate": [" ouier"]}, gazetteer=[*GAZETTEER, "tion", "ment"], states=STATES, window_hours=72, canonical=TYPES
+)
+
+
 def news_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The news job from raw hits to alerts, through its stage tables."""
-    settings = NewsSettings(
-        lexicon={**LEXICON, "rescate": [" ouier"]}, gazetteer=[*GAZETTEER, "tion", "ment"], states=STATES, window_hours=72, canonical=TYPES
-    )
-    _, alerts = run_news(_raw(spark, sf), settings, REF, scratch_path(spark, "news"), "2026-06-20", "2026-07-04")
+    _, alerts = run_news(_raw(spark, sf), JOB, REF, scratch_path(spark, "news"), "2026-06-20", "2026-07-04")
     return alerts.drop("fecha_calculo", "ventana_horas").withColumn("fecha_mas_reciente", day_text("fecha_mas_reciente"))
 
 
-def raw_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders and customers written as CSV parts with different columns, read back and merged."""
+def write_parts(spark: SparkSession, sf: str) -> str:
+    """Orders and customers written as CSV parts with different columns."""
     folder = scratch_path(spark, "parts")
     o = table(spark, sf, "orders").select(
         (F.col("o_orderkey") % 20).cast("int").alias("page_number"), F.lit(1).alias("rank"),
@@ -370,13 +372,24 @@ def raw_parts(spark: SparkSession, sf: str) -> DataFrame:
     )
     for df, name in ((o, "a"), (c, "b")):
         df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
-    paths = [p for name in ("a", "b") for p in readers.find_parts(spark, f"{folder}/{name}", "*.csv")]
-    return collect_raw(spark, paths).groupBy(F.col("url").alias("url")).agg(
+    return folder
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Parts merged to one row per URL."""
+    return merge_raw(parts).groupBy(F.col("url").alias("url")).agg(
         F.count("*").alias("n"), F.count("page_number").alias("con_pagina"),
         F.max(F.regexp_extract("title", r"\n(.*)$", 1)).alias("cola"),
     )
 
 
+def raw_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts read back and merged."""
+    folder = write_parts(spark, sf)
+    paths = [p for name in ("a", "b") for p in readers.find_parts(spark, f"{folder}/{name}", "*.csv")]
+    return merged_parts(readers.read_raw_parts(spark, paths))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
