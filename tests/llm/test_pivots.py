@@ -74,18 +74,49 @@ def dense(seed, close, members, others, d=64):
     return np.vstack([group, unit(rng.normal(size=(others, d)))])
 
 
-@pytest.mark.parametrize("n_pivots", [1024, 4096])
+def prefixes(x, kept):
+    """The pivots whose lists hold each vector, by the rule of the module."""
+    near = np.argsort(-(x @ kept.T), axis=1, kind="stable")[:, : pivots.NEAREST]
+    size = np.bincount(near.ravel(), minlength=len(kept))
+    place = np.empty(len(kept), int)
+    place[np.lexsort((np.arange(len(kept)), size))] = np.arange(len(kept))
+    return np.hstack([np.sort(place[near], axis=1)[:, : pivots.NEAREST - pivots.SHARED + 1], place[near[:, :1]]])
+
+
+def meet(a, b):
+    return np.concatenate([(a[k : k + 50_000, :, None] == b[k : k + 50_000, None, :]).any((1, 2)) for k in range(0, len(a), 50_000)])
+
+
+@pytest.mark.parametrize("n_pivots", [256, 1024, 4096])
 @pytest.mark.parametrize("close", [0.97, 0.92, 0.88])
-def test_members_of_a_dense_group_share_pivots(n_pivots, close):
+def test_members_of_a_dense_group_share_lists(n_pivots, close):
     x = dense(3, close, n_pivots // 3 + 800, n_pivots - n_pivots // 3)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     drawn, members = np.vstack([x[: n_pivots // 3], x[n_pivots // 3 + 800 :]]), x[n_pivots // 3 :][:800]
     kept = pivots._thinned(drawn[np.random.default_rng(4).permutation(n_pivots)])
-    near = np.argsort(-(members @ kept.T), axis=1)[:, : pivots.NEAREST]
-    hot = np.zeros((800, len(kept)), np.float32)
-    np.put_along_axis(hot, near, 1, axis=1)
-    linked = np.triu(members @ members.T >= pivots.COSINE, 1)
-    assert (linked & (hot @ hot.T > 0)).sum() >= 0.98 * linked.sum() > 0
+    lists = prefixes(members, kept)
+    rows, columns = np.nonzero(np.triu(members @ members.T >= pivots.COSINE, 1))
+    assert meet(lists[rows], lists[columns]).mean() >= 0.9 and len(rows)
+
+
+@pytest.mark.parametrize("n_pivots", [256, 1024, 4096])
+def test_pairs_at_the_least_cosine_share_lists(n_pivots):
+    """Pairs of random directions at a cosine of just 0.9, the hardest ones."""
+    rng = np.random.default_rng(n_pivots)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    kept, x = unit(rng.normal(size=(n_pivots, 64))), unit(rng.normal(size=(3000, 64)))
+    away = rng.normal(size=x.shape)
+    away = unit(away - (away * x).sum(1, keepdims=True) * x)
+    lists = prefixes(np.vstack([x, 0.9 * x + np.sqrt(1 - 0.81) * away]), kept)
+    assert meet(lists[:3000], lists[3000:]).mean() >= 0.93
+
+
+def test_a_pair_belongs_to_one_list():
+    rng = np.random.default_rng(1)
+    a, b = (np.sort(np.array([rng.choice(12, 5, replace=False) for _ in range(500)]), axis=1) for _ in range(2))
+    for pivot in range(12):
+        got = pivots._first_shared(a, b, pivot)
+        assert got.tolist() == [min(set(x) & set(y), default=99) >= pivot for x, y in zip(a.tolist(), b.tolist())]
 
 
 def test_dense_group_of_a_third_with_many_pivots(spark):
