@@ -5,6 +5,7 @@ Each stand-in has a Spark form and a SQL form with the same definition.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +30,9 @@ def strings(*values: str) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
-def news(spark: SparkSession, sf: str) -> DataFrame:
+def news(spark: SparkSession, sf: str, read: Callable[[SparkSession, str, str], DataFrame] = table) -> DataFrame:
     """Events as processed news: dated, tagged reports with a source, a state and flags."""
-    e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    e = read(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     k = F.col("k")
     site = F.when(k % 3 == 0, "https://www.s").when(k % 3 == 1, "https://s").otherwise("HTTP://WWW.S")
     kind = F.col("event_type")

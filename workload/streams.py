@@ -19,20 +19,8 @@ def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{name}.parque[t]")
 
 
-class _Streaming:
-    """Session stand-in whose tables are streams, for the shared stand-in definitions."""
-
-    def __init__(self, spark: SparkSession):
-        self._spark = spark
-        self.read = self
-
-    def parquet(self, path: str) -> DataFrame:
-        folder, name = path.rsplit("/", 1)
-        return _stream(self._spark, folder, name.removesuffix(".parquet"))
-
-
 def _news(spark: SparkSession, sf: str) -> DataFrame:
-    return standins.news(_Streaming(spark), sf)
+    return standins.news(spark, sf, read=_stream)
 
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,14 +46,42 @@ def stream_late(spark: SparkSession, sf: str) -> DataFrame:
     """
     folder, path = scratch_path(spark, "landed"), scratch_path(spark, "stream")
     events = explode_events(standins.news(spark, sf)).where("fecha_dt IS NOT NULL")
-    for days in ("fecha_dt >= DATE '2024-01-25'", "fecha_dt >= DATE '2024-01-20' AND fecha_dt < DATE '2024-01-25'", "fecha_dt < DATE '2024-01-20'"):
-        events.where(days).coalesce(1).write.mode("append").parquet(folder)
-    landed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    landed = _landed_by_period(spark, events, folder)
     per_source = SN.sliding_alerts(landed, delay="1 day")
     SN.start_alert_stream(per_source, path, scratch_path(spark, "checkpoint")).awaitTermination()
     return _alerts(SN.latest_counts(spark, path, per_source.schema))
 
 
+# Periods in the order of their landing, and the files of each, which are one batch.
+PERIODS = ("fecha_dt >= DATE '2024-01-25'", "fecha_dt >= DATE '2024-01-20' AND fecha_dt < DATE '2024-01-25'", "fecha_dt < DATE '2024-01-20'")
+FILES = 4
+
+
+def _landed_by_period(spark: SparkSession, events: DataFrame, folder: str) -> DataFrame:
+    """A stream of the periods, each landed by many tasks."""
+    for days in PERIODS:
+        events.where(days).repartition(FILES).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(folder)
+
+
+def _late(spark: SparkSession, sf: str) -> str:
+    folder, path = scratch_path(spark, "landed"), scratch_path(spark, "stream")
+    landed = _landed_by_period(spark, explode_events(standins.news(spark, sf)).where("fecha_dt IS NOT NULL"), folder)
+    SN.start_late_stream(SN.alerts_and_late_rows(landed), path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return path
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports that came after the end of a window, with the number of windows they have missed."""
+    rows = SN.late_rows(spark, _late(spark, sf))
+    return rows.groupBy("estado", "tipo_evento", "url", F.date_format("momento", "yyyy-MM-dd").alias("dia"), "ventanas_perdidas").agg(F.count("*").alias("n"))
+
+
+def stream_on_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of everything that was on time, by the same stream."""
+    return _alerts(SN.counts_on_time(spark, _late(spark, sf)))
+
+
 def _alerts(per_source: DataFrame) -> DataFrame:
     return SN.alerts_from_sources(per_source).select(
         F.date_format("desde", "yyyy-MM-dd HH:mm").alias("desde"), "estado", "tipo_evento", "n_noticias",
@@ -106,7 +122,7 @@ def stream_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (stream_dedupe, stream_alerts, stream_late, stream_ledger, stream_ledger_restart, stream_timeline)
+    f.__name__: f for f in (stream_dedupe, stream_alerts, stream_late, stream_late_rows, stream_on_time, stream_ledger, stream_ledger_restart, stream_timeline)
 }
 
 _SLID = """
@@ -117,7 +133,19 @@ _SLID = """
                     WHEN bool_or(r) OR bool_or(d) THEN 'Naranja' WHEN count(*) >= 2 THEN 'Amarillo' ELSE 'Verde' END AS nivel_alerta
         FROM slid GROUP BY desde, estado, tipo_evento"""
 
+# The watermark of each period: a day before the latest moment of the periods before it.
+_MARKS = f"""
+  placed AS (SELECT *, CASE WHEN {PERIODS[0]} THEN 0 WHEN {PERIODS[1]} THEN 1 ELSE 2 END AS p FROM exploded WHERE fecha_dt IS NOT NULL),
+  marks AS (SELECT p, coalesce((SELECT max(fecha_dt) FROM placed o WHERE o.p < q.p) - INTERVAL 1 DAY, TIMESTAMP '1970-01-01') AS mark
+            FROM (SELECT DISTINCT p FROM placed) q),
+  pairs AS (SELECT e.*, mark, CAST(fecha_dt AS TIMESTAMP) - to_hours(CAST(12 * i AS INTEGER)) AS desde FROM placed e JOIN marks USING (p), range(0, 6) t(i))"""
+
 ORACLES = {
+    "stream_late_rows": f"""WITH {NEWS_SQL}, {_MARKS},
+        late AS (SELECT event_id, estado, tipo_evento, url, strftime(fecha_dt, '%Y-%m-%d') AS dia, count(*) AS ventanas_perdidas FROM pairs
+          WHERE desde + INTERVAL 72 HOUR <= mark GROUP BY ALL)
+        SELECT estado, tipo_evento, url, dia, ventanas_perdidas::INT AS ventanas_perdidas, count(*) AS n FROM late GROUP BY ALL""",
+    "stream_on_time": f"""WITH {NEWS_SQL}, {_MARKS}, slid AS (SELECT * FROM pairs WHERE desde + INTERVAL 72 HOUR > mark) {_SLID}""",
     "stream_late": f"""WITH {NEWS_SQL},
         slid AS (
           SELECT e.*, CAST(fecha_dt AS TIMESTAMP) - to_hours(CAST(12 * i AS INTEGER)) AS desde FROM exploded e, range(0, 6) t(i)
