@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from regionpulse.functions.text import contains_any, strip, unaccent
 from regionpulse.functions.urls import LINK_NOISE, TITLE_LINK_NOISE, contains_none, domain
+from regionpulse.session import stage
 
 # Fixed value: dates a kept snippet may start with, after transliteration.
 LEADING_DATE = (
@@ -122,32 +123,41 @@ def filter_gazetteer(df: DataFrame, terms: Sequence[str], column: str = "snippet
     return held(df, "_texto", F.col(column)).where(contains_any(F.col("_texto"), terms)).drop("_texto")
 
 
-# Leading characters of a term that texts and terms are joined by.
+# Characters of the piece of a term that texts and terms are joined by.
 ANCHOR_LENGTH = 6
 
 
+def _grams(text: Column, lengths: Sequence[int]) -> Column:
+    """The different pieces of a text of some lengths."""
+    pieces = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
+    return F.array_distinct(F.concat(*pieces))
+
+
 def filter_gazetteer_table(
     df: DataFrame, terms: DataFrame, column: str = "snippet_full_clean", term: str = "term"
 ) -> DataFrame:
     """:func:`filter_gazetteer` for a table of terms of any size.
 
-    Texts and terms meet on the first characters of the terms, in a join; the
-    whole term is then looked for in the text.  The terms are never part of the
-    plan and never on the driver.
+    Texts are cut into pieces, of which those that some term has are kept and counted.  A text meets a term by the
+    term's rarest piece, so terms that begin alike, or have common pieces, do not multiply the texts; the whole term
+    is then looked for.  The terms are never part of the plan and never on the driver.
     """
-    lengths = list(range(1, ANCHOR_LENGTH + 1))
     listed = terms.select(F.lower(F.col(term)).alias("_term")).where("_term <> ''").distinct()
-    listed = listed.withColumn("_gram", F.substring("_term", 1, ANCHOR_LENGTH))
-    used = {r[0] for r in listed.select(F.length("_gram")).distinct().collect()}
-    low = F.lower(F.col(column))
-    texts = df.where(low.isNotNull()).select(F.md5(low).alias("_key"), low.alias("_text"))
-    pieces = [
-        F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths if n in used
-    ]
-    if not pieces:
+    listed = listed.withColumn("_n", F.least(F.char_length("_term"), F.lit(ANCHOR_LENGTH)))
+    lengths = sorted(r[0] for r in listed.select("_n").distinct().collect())
+    if not lengths:
         return df.where(F.lit(False))
-    grams = texts.select("_key", F.explode(F.concat(*pieces)).alias("_gram"))
-    likely = grams.join(listed, "_gram").select("_key", "_term").distinct()
+    places = F.sequence(F.lit(1), F.char_length("_term") - F.col("_n") + 1)
+    anchors = stage(listed.select("_term", F.explode(F.array_distinct(F.transform(places, lambda i: F.substring("_term", i, F.col("_n"))))).alias("_gram")))
+    low = F.lower(F.col(column))
+    texts = stage(df.where(low.isNotNull()).select(F.md5(low).alias("_key"), low.alias("_text")))
+    grams = texts.select("_key", F.explode(_grams(F.col("_text"), lengths)).alias("_gram"))
+    present = stage(grams.join(anchors.select("_gram").distinct(), "_gram", "left_semi"))
+    # A term of which some piece is in no text is itself in none.
+    counted = anchors.join(present.groupBy("_gram").agg(F.count("*").alias("_veces")), "_gram", "left")
+    rarest = counted.groupBy("_term").agg(F.min(F.struct(F.coalesce("_veces", F.lit(0)).alias("_veces"), "_gram")).alias("_ancla"))
+    rarest = rarest.where("_ancla._veces > 0").select("_term", F.col("_ancla._gram").alias("_gram"))
+    likely = present.join(rarest, "_gram").select("_key", "_term").distinct()
     found = likely.join(texts, "_key").where(F.contains("_text", F.col("_term"))).select("_key").distinct()
     return df.join(found, F.md5(low) == F.col("_key"), "left_semi")
 

@@ -205,3 +205,16 @@ def test_plan_stays_in_one_pass(spark):
     plan = tagged._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
     assert F is not None
+
+
+def test_terms_meet_texts_by_their_rarest_piece(spark):
+    """Terms that begin alike, short ones, ones that are nowhere and pieces of other terms, against plain search."""
+    rng = random.Random(9)
+    piece = lambda n: "".join(rng.choice("abc ñ.x") for _ in range(n))
+    texts = [("common beginning " + piece(rng.randrange(40)) if rng.random() < 0.7 else piece(rng.randrange(60))).upper() for _ in range(150)]
+    terms = ["common beginning " + piece(rng.randrange(1, 5)) for _ in range(60)] + ["ab", "x", "commonx", "Ñ.x", "never there at all", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "", "x"])], "i int, snippet_full_clean string").repartition(3)
+    for chosen in (terms[:60], terms, ["", None], ["beginning q"]):
+        table = spark.createDataFrame([(t,) for t in chosen], "term string")
+        got = {r.i for r in R.filter_gazetteer_table(df, table).collect()}
+        assert got == {i for i, t in enumerate([*texts, None, "", "x"]) if t is not None and any(w and w.lower() in t.lower() for w in chosen)}

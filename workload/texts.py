@@ -105,6 +105,12 @@ def gazetteer_join(spark: SparkSession, sf: str) -> DataFrame:
     return R.filter_gazetteer_table(clean(spark, sf), terms, "texto").select("doc_id")
 
 
+def gazetteer_join_alike(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms that all begin with what most texts hold; some also occur nowhere."""
+    terms = table(spark, sf, "part").select(F.concat(F.lit("tion"), F.substring("p_name", 1, 2)).alias("term"))
+    return R.filter_gazetteer_table(clean(spark, sf), terms, "texto").select("doc_id")
+
+
 def strict_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Order dates in forms that are a date and forms that are none."""
     day, key = F.date_format("o_orderdate", "yyyy-M-d"), F.col("o_orderkey")
@@ -395,7 +401,7 @@ QUERIES = {
     for f in (
         normalize_documents, unaccent_documents, choice_names, match_keywords, category_coverage,
         keyword_frequencies, gazetteer_filter, exclude_terms, extract_state_longest, classification_text,
-        gazetteer_join, strict_dates, news_tables, export_table,
+        gazetteer_join, gazetteer_join_alike, strict_dates, news_tables, export_table,
         empty_snippets, snippet_validity, snippet_dates, leading_date, relative_dates, shifted_years,
         place_cleaning, top_places, top_states, top_actors, total_mentions, list_literals, match_entities,
         extract_entities, news_processed, news_alerts, raw_parts,
@@ -481,6 +487,8 @@ ORACLES = {
         labels AS (SELECT CASE WHEN w IN ('tion', 'cion', 'ering') THEN 'sufijos' WHEN w = 'schung' THEN 'aleman' ELSE w END AS w FROM words)
         SELECT concat(upper(substr(w, 1, 1)), substr(w, 2)) AS etiqueta, count(*) AS n FROM labels GROUP BY 1""",
     "gazetteer_filter": f"WITH {CLEAN_SQL} SELECT doc_id FROM clean WHERE {_any(GAZETTEER)}",
+    "gazetteer_join_alike": f"""WITH {CLEAN_SQL}, terms AS (SELECT DISTINCT lower('tion' || substr(p_name, 1, 2)) AS t FROM part)
+        SELECT DISTINCT doc_id FROM clean JOIN terms ON contains(texto, t)""",
     "gazetteer_join": f"WITH {CLEAN_SQL} SELECT doc_id FROM clean WHERE {_any(GAZETTEER)}",
     "strict_dates": """SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 3) THEN strftime(o_orderdate, '%Y-%m-%d') END AS dia FROM orders""",
     "news_tables": """SELECT concat('https://d.example.com/', doc_id) AS url,
