@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +50,36 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+# Scratch paths of the open scopes, the innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on whatever store it is; nothing if it is not there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables that are made inside, when what they are for has been written.
+
+    Tables that are read after the scope must have a path of their own.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from regionpulse.operators.dedupe import first_per_group
-from regionpulse.session import stage
+from regionpulse.session import scratch_scope, stage
 from regionpulse.sources import key_index
 from regionpulse.sources.readers import read_or_empty
 
@@ -86,13 +86,14 @@ def indexed_batch(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, own = batch.sparkSession, f"{stream}-{batch_id}"
-        key_index.compact(spark, ledger, lambda entry: done(entry, batch_id))
-        keyed = stage(first_per_group(batch.where(F.col(key).isNotNull()), [key], order))
-        target = f"{outbox}/{own}"
-        new = stage(key_index.unseen(keyed, key, ledger, without=own), target)
-        key_index.record(new, key, ledger, own)
-        if also is not None:
-            also(new, batch_id)
+        # Scratch tables of a batch go with it; a stream has batches without end.
+        with scratch_scope(spark):
+            key_index.compact(spark, ledger, lambda entry: done(entry, batch_id))
+            keyed = stage(first_per_group(batch.where(F.col(key).isNotNull()), [key], order))
+            new = stage(key_index.unseen(keyed, key, ledger, without=own), f"{outbox}/{own}")
+            key_index.record(new, key, ledger, own)
+            if also is not None:
+                also(new, batch_id)
 
     return write
 

@@ -5,7 +5,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from regionpulse.operators.alerts import explode_events
-from regionpulse.session import scratch_path, shared_dir, spread, stage
+from regionpulse.session import scratch_path, scratch_scope, shared_dir, spread, stage
 from regionpulse.streaming import ledger as SL
 from regionpulse.streaming import news as SN
 
@@ -125,3 +125,19 @@ def test_shared_folder_and_staging(spark):
     assert spread(df).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     large = spark.range(100).repartition(16)
     assert spread(large) is large
+
+
+def test_scratch_goes_with_its_scope(spark, tmp_path):
+    from pathlib import Path
+
+    kept = str(tmp_path / "kept")
+    before = {p.name for p in Path(shared_dir(spark)).iterdir()}
+    outside = scratch_path(spark, "outside")
+    stage(spark.range(2), outside)
+    with scratch_scope(spark):
+        inner = stage(spark.range(5))
+        with scratch_scope(spark):
+            stage(spark.range(7))
+        stage(inner.where("id > 1"), kept)
+    left = {p.name for p in Path(shared_dir(spark)).iterdir()} - before
+    assert left == {outside.rsplit("/", 1)[1]} and spark.read.parquet(kept).count() == 3
