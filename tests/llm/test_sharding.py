@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
 from regionpulse.llm import sharding
 
 
@@ -63,3 +64,21 @@ def test_written_shards(spark, docs, tmp_path):
     df = sharding.interleave(docs([(i, str(i)) for i in range(20)]), "source", ["doc_id"], 4)
     sharding.write_shards(df, f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out/shard=2").count() == 5
+
+
+def test_every_shard_and_slot_equals_a_plain_computation(spark):
+    rows = [(i, ["hot", "hot", "a", None][i % 4] if i % 7 else "rare", i % 5) for i in range(230)] + [(5, "a", 1)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, source string, n int").repartition(4)
+    got = sharding.interleave(df, "source", ["doc_id", "n"], n_shards=7, rows_per_bucket=20).collect()
+    hashed = df.select("doc_id", "source", "n", F.xxhash64(F.lit(sharding.SEED), "doc_id", "n").alias("h")).collect()
+    buckets, placed = -(-len(rows) // 20), []
+    for stratum in {r.source for r in hashed}:
+        mine = sorted((r for r in hashed if r.source == stratum), key=lambda r: (r.h % buckets, r.h, r.doc_id, r.n))
+        name = "-" if stratum is None else f"+{stratum}"
+        placed += [((2 * k + 1) / (2 * len(mine)), name, k, r) for k, r in enumerate(mine)]
+    want, total, slots = [], len(placed), {}
+    for place, (_, _, _, r) in enumerate(sorted(placed, key=lambda p: p[:3])):
+        shard = place * 7 // total
+        slots[shard] = slots.get(shard, -1) + 1
+        want.append((r.doc_id, str(r.source), r.n, shard, slots[shard]))
+    assert sorted((r.doc_id, str(r.source), r.n, r.shard, r.slot) for r in got) == sorted(want)
