@@ -9,10 +9,13 @@ Rows that agree in doc_id and text are one document and get the same result.  A
 stays null; null ids come last.  A document whose lines are all removed keeps its row with an empty text.  Extra
 columns are kept as they are; ``n_chars`` follows the text.
 
-Chunks miss what has no two boundaries of its own: short passages, and the ends of long ones.  ``dedup_passages``, which
-the pipeline uses, has no boundaries.  Every two lines in a row that are not blank, with the blank ones between them,
-are compared, first by hash, then byte by byte, and go where they stand earlier.  So every passage of two or more such
-lines goes whole, and an earlier copy of each line that goes stays.
+Chunks miss what has no two boundaries of its own: short passages, and the ends of long ones.  ``dedup_passages`` has no
+boundaries.  Every two lines in a row that are not blank, with the blank ones between them, are compared, first by hash,
+then byte by byte, and go where they stand earlier.  So every passage of two or more such lines goes whole, and an
+earlier copy of each line that goes stays.
+
+``dedup_lines``, which the pipeline uses, removes the repeated chunks and extends them by the repeated pairs of lines
+around and between them.  Both are found in the texts as they came, so that no removal hides or makes a repeat.
 """
 
 from __future__ import annotations
@@ -76,8 +79,8 @@ def _chunk_rows(df: DataFrame) -> DataFrame:
     return rows.where(F.size(F.filter(F.split("chunk", "\n", -1), lambda x: F.trim(x) != "")) >= MIN_LINES)
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """``_id``, ``_text`` and ``starts``: the first lines of the chunks that each document loses."""
+def _repeated(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_text``, ``start`` and ``chunk`` of the chunks that stand earlier in the corpus."""
     spark = docs.sparkSession
     light = stage(
         _chunk_rows(_keyed(docs).select("_id", "_text", "text")).select(
@@ -103,8 +106,12 @@ def removals(docs: DataFrame) -> DataFrame:
     texts = stage(texts.drop("first").dropDuplicates(["_id", "_text", "start"]))
     release(spark)
     firsts = texts.where("is_first").select("hash", "size", F.col("chunk").alias("first_chunk"))
-    same = texts.where("not is_first").join(firsts, ["hash", "size"]).where("chunk = first_chunk")
-    return stage(same.groupBy("_id", "_text").agg(F.collect_set("start").alias("starts")))
+    return texts.where("not is_first").join(firsts, ["hash", "size"]).where("chunk = first_chunk").select("_id", "_text", "start", "chunk")
+
+
+def removals(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_text`` and ``starts``: the first lines of the chunks that each document loses."""
+    return stage(_repeated(docs).groupBy("_id", "_text").agg(F.collect_set("start").alias("starts")))
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -185,6 +192,19 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     return _changed(docs, _without_passages(docs), F.col("gone").isNull())
 
 
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` without repeated chunks, nor the repeated passages of two or more lines that chunks miss, same columns."""
+    last = F.col("start") + F.size(F.split("chunk", "\n", -1)) - 1
+    chunks = stage(_repeated(docs).select("_id", "_text", "start", last.alias("end")))
+    pairs = passages(docs).select("_id", "_text", F.inline("gone"))
+    lost = stage(chunks.unionAll(pairs).groupBy("_id", "_text").agg(F.collect_list(F.struct("start", "end")).alias("lost")))
+    df = _keyed(docs).join(lost.hint("shuffle_hash"), ["_id", "_text"], "left")
+    df = held(df, "_lines", F.split(text_of(), "\n", -1))
+    gone = F.flatten(F.transform(F.coalesce("lost", F.array().cast("array<struct<start:int,end:int>>")), lambda s: F.sequence(s["start"], s["end"])))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
+    return _changed(docs, held(df, "_stay", F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")), F.col("lost").isNull())
+
+
 def passage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps of its lines when repeated passages go; a null text counts as one empty line."""
     stay = F.aggregate("_ranges", F.lit(0), lambda n, r: n + r["stop"] - r["start"])

@@ -108,3 +108,43 @@ def test_documents_without_passages_keep_their_columns(spark, docs):
     left = out.collect()
     assert all(r.n_chars == len(r.text or "") for r in left) and [r.text for r in left if r.doc_id == 100] == [None]
     assert sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in left) == sorted(r[3] for r in without_passages(rows))
+
+
+def without_lines(rows):
+    """Lines left of each row when repeated chunks and repeated pairs of lines go, both by the definition on the texts as given."""
+    chunks_seen, pairs_seen, out = {}, {}, []
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0)):
+        i, text = rows[k]
+        lines, gone, at = (text or "").split("\n"), set(), 0
+        for part in chunks(text):
+            if sum(x.strip(" ") != "" for x in part) >= 2 and chunks_seen.setdefault("\n".join(part), (i, text, at)) != (i, text, at):
+                gone |= set(range(at, at + len(part)))
+            at += len(part)
+        full = [n for n, x in enumerate(lines) if x.strip(" ")]
+        for a, b in zip(full, full[1:]):
+            if pairs_seen.setdefault(tuple(lines[a : b + 1]), (i, text, a)) != (i, text, a):
+                gone |= set(range(a, b + 1))
+        out.append((i is None, i or 0, "\n".join(x for n, x in enumerate(lines) if n not in gone)))
+    return sorted(out)
+
+
+def test_chunks_go_and_what_they_miss(spark, docs):
+    """Long passages with blank lines, and short ones that no chunk finds."""
+    rows = sample(4, 80) + [(500, None), (501, ""), (None, "a\nb\n" * 30), (7, "x\ny"), (7, "x\ny")]
+    run = [x for j in range(30) for x in (f"long run {j}", "")]
+    rows += [(700, "\n".join(["one", *run, "own"])), (701, "\n".join(["two", "more", *run, "end"])), (702, "p\nq\nu"), (703, "v\np\nq")]
+    df = docs(rows)
+    out = C.dedup_lines(df)
+    assert out.dtypes == df.dtypes
+    left = out.collect()
+    assert all(r.n_chars == len(r.text or "") for r in left) and [r.text for r in left if r.doc_id == 500] == [None]
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in left) == without_lines(rows)
+
+
+def test_the_pipeline_cuts_chunks(spark, docs, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    asked = []
+    monkeypatch.setattr(C, "chunked", lambda df, *a, whole=C.chunked: asked.append(1) or whole(df, *a))
+    corpus_pipeline.lines(spark, docs([(1, "a\nb\nc"), (2, "a\nb\nc")]), str(tmp_path)).collect()
+    assert asked
