@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from datetime import date, datetime, timedelta
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regionpulse.functions.text import contains_any, strip, unaccent
 from regionpulse.functions.urls import LINK_NOISE, TITLE_LINK_NOISE, contains_none, domain
-from regionpulse.session import stage
+from regionpulse.session import stage, text_batches
 
 # Fixed value: dates a kept snippet may start with, after transliteration.
 LEADING_DATE = (
@@ -123,14 +127,63 @@ def filter_gazetteer(df: DataFrame, terms: Sequence[str], column: str = "snippet
     return held(df, "_texto", F.col(column)).where(contains_any(F.col("_texto"), terms)).drop("_texto")
 
 
-# Characters of the piece of a term that texts and terms are joined by.
-ANCHOR_LENGTH = 6
+# Bytes of the piece of a term that texts and terms are joined by.
+ANCHOR_BYTES = 6
+# Bits of the table that tells tasks which pieces no term has: so many a piece, as a power of two between these.
+BITS_PER_PIECE, FEWEST_BITS, MOST_BITS = 32, 16, 26
 
 
-def _grams(text: Column, lengths: Sequence[int]) -> Column:
-    """The different pieces of a text of some lengths."""
-    pieces = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
-    return F.array_distinct(F.concat(*pieces))
+def _pieces(text: bytes, lengths: Sequence[int]) -> np.ndarray:
+    """The pieces of a text of some lengths in bytes, as numbers: the length before the bytes."""
+    data = np.frombuffer(text, np.uint8).astype(np.int64)
+    piece, found = data, []
+    for n in range(1, min(max(lengths), len(data)) + 1):
+        if n > 1:
+            piece = (piece[:-1] << 8) | data[n - 1 :]
+        if n in lengths:
+            found.append(piece | (n << 8 * ANCHOR_BYTES))
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _slots(pieces: np.ndarray, bits: int) -> np.ndarray:
+    return (pieces.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
+
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per piece of each term; a term that is shorter than a piece is one itself."""
+    for batch in batches:
+        terms = batch.column(0).to_pylist()
+        pieces = [np.unique(_pieces(t, [min(len(t), ANCHOR_BYTES)])) for t in (term.encode() for term in terms)]
+        rows = np.repeat(np.arange(len(terms)), [len(p) for p in pieces])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(pieces or [np.zeros(0, np.int64)]))], ["_term", "_pieza"])
+
+
+def _words_of_bits(bits: int):
+    """A function that gives the bits of pieces: the word of 64 bits, and the bit in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = _slots(batch.column(0).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array((slots >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (slots & np.uint64(63))).view(np.int64))], ["palabra", "bit"])
+
+    return run
+
+
+def _pieces_of_texts(lengths: Sequence[int], bits: int, table: Broadcast):
+    """A function that gives the different pieces of texts whose bit is set, with the key of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.frombuffer(table.value, np.uint64)
+        for batch in batches:
+            found = []
+            for text in batch.column(1):
+                pieces = _pieces(text.as_buffer().to_pybytes(), lengths)
+                slots = _slots(pieces, bits)
+                found.append(np.unique(pieces[(words[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1]))
+            rows = np.repeat(np.arange(len(found)), [len(p) for p in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(np.concatenate(found or [np.zeros(0, np.int64)]))], ["_clave", "_pieza"])
+
+    return run
 
 
 def filter_gazetteer_table(
@@ -140,26 +193,40 @@ def filter_gazetteer_table(
 
     Texts are cut into pieces, of which those that some term has are kept and counted.  A text meets a term by the
     term's rarest piece, so terms that begin alike, or have common pieces, do not multiply the texts; the whole term
-    is then looked for.  The terms are never part of the plan and never on the driver.
+    is then looked for.  The terms are never part of the plan and never on the driver.  A table of bits, of 8 MB at
+    most, spares tasks the rows of nearly all pieces that no term has; which ones are some term's is settled by a join.
     """
-    listed = terms.select(F.lower(F.col(term)).alias("_term")).where("_term <> ''").distinct()
-    listed = listed.withColumn("_n", F.least(F.char_length("_term"), F.lit(ANCHOR_LENGTH)))
-    lengths = sorted(r[0] for r in listed.select("_n").distinct().collect())
+    spark = df.sparkSession
+    listed = stage(terms.select(F.lower(F.col(term)).alias("_term")).where("_term <> ''").distinct())
+    lengths = sorted(r[0] for r in listed.select(F.least(F.octet_length("_term"), F.lit(ANCHOR_BYTES))).distinct().collect())
     if not lengths:
         return df.where(F.lit(False))
-    places = F.sequence(F.lit(1), F.char_length("_term") - F.col("_n") + 1)
-    anchors = stage(listed.select("_term", F.explode(F.array_distinct(F.transform(places, lambda i: F.substring("_term", i, F.col("_n"))))).alias("_gram")))
-    low = F.lower(F.col(column))
-    texts = stage(df.where(low.isNotNull()).select(F.md5(low).alias("_key"), low.alias("_text")))
-    grams = texts.select("_key", F.explode(_grams(F.col("_text"), lengths)).alias("_gram"))
-    present = stage(grams.join(anchors.select("_gram").distinct(), "_gram", "left_semi"))
+    # The text is cleaned once; all else reads what is written here.
+    rows = held(df.select(F.struct("*").alias("_fila")), "_texto", F.lower(F.col("_fila")[column]))
+    rows = stage(rows.select("_fila", F.md5("_texto").alias("_clave"), "_texto"))
+    texts = rows.where("_clave IS NOT NULL").select("_clave", "_texto")
+    with text_batches(spark):
+        anchors = stage(listed.mapInArrow(_anchors, "_term string, _pieza long"))
+        pieces = stage(anchors.select("_pieza").distinct())
+        bits = min(max((BITS_PER_PIECE * pieces.count()).bit_length(), FEWEST_BITS), MOST_BITS)
+        words = np.zeros(1 << bits - 6, np.int64)
+        marked = pieces.mapInArrow(_words_of_bits(bits), "palabra long, bit long").groupBy("palabra").agg(F.bit_or("bit").alias("bits")).toPandas()
+        words[marked["palabra"].to_numpy(np.int64)] = marked["bits"].to_numpy(np.int64)
+        table = spark.sparkContext.broadcast(words.tobytes())
+        likely = texts.select("_clave", F.col("_texto").cast("binary")).mapInArrow(_pieces_of_texts(lengths, bits, table), "_clave string, _pieza long")
+        present = stage(likely.join(pieces, "_pieza", "left_semi"))
+        table.unpersist()
     # A term of which some piece is in no text is itself in none.
-    counted = anchors.join(present.groupBy("_gram").agg(F.count("*").alias("_veces")), "_gram", "left")
-    rarest = counted.groupBy("_term").agg(F.min(F.struct(F.coalesce("_veces", F.lit(0)).alias("_veces"), "_gram")).alias("_ancla"))
-    rarest = rarest.where("_ancla._veces > 0").select("_term", F.col("_ancla._gram").alias("_gram"))
-    likely = present.join(rarest, "_gram").select("_key", "_term").distinct()
-    found = likely.join(texts, "_key").where(F.contains("_text", F.col("_term"))).select("_key").distinct()
-    return df.join(found, F.md5(low) == F.col("_key"), "left_semi")
+    counted = anchors.join(present.groupBy("_pieza").agg(F.count("*").alias("_veces")), "_pieza", "left")
+    rarest = counted.groupBy("_term").agg(F.min(F.struct(F.coalesce("_veces", F.lit(0)).alias("_veces"), "_pieza")).alias("_ancla"))
+    rarest = rarest.where("_ancla._veces > 0").select("_term", F.col("_ancla._pieza").alias("_pieza"))
+    met = stage(present.join(rarest, "_pieza").groupBy("_clave").agg(
+        F.collect_set(F.when(F.octet_length("_term") > ANCHOR_BYTES, F.col("_term"))).alias("_terminos"),
+        F.bool_or(F.octet_length("_term") <= ANCHOR_BYTES).alias("_entero"),
+    ))
+    whole = met.where("NOT _entero").join(texts, "_clave").where(F.exists("_terminos", lambda t: F.contains("_texto", t))).select("_clave")
+    found = met.where("_entero").select("_clave").unionAll(whole)
+    return rows.join(found, "_clave", "left_semi").select("_fila.*")
 
 
 def exclude_terms(df: DataFrame, terms: Sequence[str], column: str = "snippet_full_clean") -> DataFrame:
@@ -187,3 +254,7 @@ def valid_link(text: Column, href: Column) -> Column:
 def valid_snippet(text: Column) -> Column:
     """Snippet of more than 20 characters that is not an interface phrase."""
     return (F.length(strip(text)) > 20) & contains_none(text, INTERFACE_PHRASES)
+
+
+# The functions travel to the executors by value, so that these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -218,3 +218,22 @@ def test_terms_meet_texts_by_their_rarest_piece(spark):
         table = spark.createDataFrame([(t,) for t in chosen], "term string")
         got = {r.i for r in R.filter_gazetteer_table(df, table).collect()}
         assert got == {i for i, t in enumerate([*texts, None, "", "x"]) if t is not None and any(w and w.lower() in t.lower() for w in chosen)}
+
+
+def test_texts_are_cleaned_once_and_only_pieces_of_terms_are_rows(spark):
+    """Short, long and several-byte terms; the text is evaluated once for all that is done with it."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def cleaned(text):
+        calls.add(1)
+        return text
+
+    texts = ["una nación, dos naciones", "ñandú", "nada", None, "", "en maracaybo", "zzz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw string").repartition(3)
+    df = df.withColumn("snippet_full_clean", F.udf(cleaned, "string", useArrow=False).asNondeterministic()("raw"))
+    table = spark.createDataFrame([(t,) for t in ("NACIONES", "ñ", "maracay", "maracaibo", "")], "term string")
+    found = R.filter_gazetteer_table(df, table)
+    assert found.columns == df.columns
+    assert {r.i for r in found.collect()} == {0, 1, 5}
+    assert calls.value == len(texts)
+    assert sorted(R._pieces("ñab".encode(), [1, 2]).tolist())[-1] == (2 << 48) + 0xC3B1
