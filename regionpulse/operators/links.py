@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import datetime
 from functools import cache, reduce
 from html.entities import html5
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,15 +106,8 @@ def extract_links(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 def _reader(read: Callable[[str | None, str | None], list[tuple[str, str, str, str]]]):
     schema = "array<struct<title:string,href:string,displayed_url:string,snippet:string>>"
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for pages, addresses in batches:
-            yield pd.Series([[dict(zip(HIT, hit)) for hit in read(h, u)] for h, u in zip(pages, addresses)], dtype=object)
-
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, schema)
-
-
-HIT = ("title", "href", "displayed_url", "snippet")
+    # Row by row: an Arrow batch would hold thousands of whole pages and all their hits at once.
+    return F.udf(lambda page, address: read(page, address), schema, useArrow=False)
 
 
 def _hits(pages: DataFrame, now: datetime, url: str, html: str, read) -> DataFrame:

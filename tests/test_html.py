@@ -53,3 +53,11 @@ def test_hits_as_rows(spark):
     page = f'<article data-testid="result"><h2><a href="https://a.ve">T</a></h2><div data-result="snippet">3 jul 2026 {LONG}</div></article>'
     rows = L.page_hits(spark.createDataFrame([(1, BASE, page), (2, BASE, None)], "id int, url string, html string"), datetime(2026, 7, 4)).collect()
     assert [(r.id, r.rank, r.url, r.fecha) for r in rows] == [(1, 1, "https://a.ve", "2026-07-03")]
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    """The reader holds some pages at a time, not a whole Arrow batch of them; a Python worker's memory does not grow with the table."""
+    pages = spark.range(3).selectExpr("id AS doc_id", "'https://a.example/' AS url", "'<html></html>' AS html")
+    for read in (L.extract_results, L.page_hits):
+        plan = read(pages, datetime(2026, 7, 4))._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
