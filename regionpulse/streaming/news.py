@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-import json
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from regionpulse.functions.levels import news_level
 from regionpulse.functions.urls import domain
@@ -126,75 +119,72 @@ def alerts_from_sources(per_source: DataFrame) -> DataFrame:
     )
 
 
-# Parts that a source's reports are dealt out to, so that one with most of the reports is many keys.
-SLOTS = 16
-_STEPS = T.StructType([
-    T.StructField(name, kind()) for name, kind in (
-        ("clase", T.StringType), ("desde", T.TimestampType), ("estado", T.StringType), ("tipo_evento", T.StringType), ("dominio", T.StringType),
-        ("parte", T.LongType), ("n", T.LongType), ("victimas", T.BooleanType), ("rescate", T.BooleanType), ("danios", T.BooleanType),
-        ("url", T.StringType), ("momento", T.TimestampType), ("ventanas_perdidas", T.IntegerType),
-    )
-])
-
-
 def alerts_and_late_rows(
     events: DataFrame, hours: int = 72, slide_hours: int = 12, delay: str = "1 day", time: str = "fecha_dt"
 ) -> DataFrame:
-    """The counts of :func:`sliding_alerts` that change (``clase`` is ``cuenta``), and the reports that come too late (``tarde``).
+    """Reports with the windows they are in and the watermark they leave behind (``marca``, in microseconds).
+
+    ``fin`` is the end of the last window of a report, ``paso`` lies between windows, ``ventanas`` counts them.
 
-    A window ends when the watermark, the latest moment of earlier batches less ``delay``, reaches its end.  A report that
-    comes after the end of one of its windows is kept as a row of its own, with the number of windows it has missed; it
-    counts in those that are open.  State holds the open windows of a source; ended ones go when the source has its next
-    reports.  (A timer would keep a run over everything available from ending.)  Moments are those of a session in UTC.
+    A window ends when the watermark, the latest moment of earlier batches less ``delay``, reaches its end.
+    :func:`start_late_stream` holds every batch against it: a report that comes after the end of one of its windows is
+    kept as a row of its own, with the number of windows it has missed; it counts in those that are open, as in
+    :func:`sliding_alerts`.  Moments are those of a session in UTC.
     """
-    span, step = hours * 3_600_000, slide_hours * 3_600_000
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        mark = state.getCurrentWatermarkMs()
-        windows = {int(k): v for k, v in json.loads(state.get[0]).items()} if state.exists else {}
-        windows = {k: v for k, v in windows.items() if k + span > mark}
-        changed, late = set(), []
-        for rows in batches:
-            for url, moment, *signs in zip(rows["url"], rows["_t"], rows["victimas"], rows["rescate"], rows["danios"]):
-                now = int(moment.timestamp() * 1000)
-                last = now - now % step
-                starts = [b for b in range(last, now - span, -step) if b + span > now]
-                missed = [b for b in starts if b + span <= mark]
-                if missed:
-                    late.append((url, moment, *[bool(x) for x in signs], len(missed)))
-                for b in set(starts).difference(missed):
-                    old = windows.get(b, [0, False, False, False])
-                    windows[b] = [old[0] + 1, *[x or bool(y) for x, y in zip(old[1:], signs)]]
-                    changed.add(b)
-        if windows:
-            state.update((json.dumps(windows),))
-        elif state.exists:
-            state.remove()
-        estado, tipo, dominio = (None if pd.isna(k) else k for k in key[:3])
-        out = [("cuenta", pd.Timestamp(b, unit="ms"), estado, tipo, dominio, int(key[3]), *windows[b], None, None, None) for b in sorted(changed)]
-        out += [("tarde", None, estado, tipo, dominio, int(key[3]), 1, v, r, d, url, moment, n) for url, moment, v, r, d, n in late]
-        frame = pd.DataFrame(out, columns=_STEPS.names, dtype=object)
-        for name in ("desde", "momento"):
-            frame[name] = pd.to_datetime(frame[name])
-        yield frame
+    span, step = F.lit(hours * 3_600_000_000), F.lit(slide_hours * 3_600_000_000)
+    now, wait = F.unix_micros("momento"), F.expr(f"INTERVAL '{delay}'")
+    signs = [F.coalesce(c, F.lit(False)).alias(c) for c in ("victimas", "rescate", "danios")]
+    stamped = events.select("estado", "tipo_evento", domain(F.col("url")).alias("dominio"), "url", F.col(time).cast("timestamp").alias("momento"), *signs)
+    placed = stamped.select("*", (now - F.pmod(now, step) + span).alias("fin"), span.alias("largo"), step.alias("paso"))
+    return placed.select("*", _steps(F.col("fin") - now).alias("ventanas"), F.unix_micros(F.col("momento") - wait).alias("marca"))
 
-    moment = F.col(time).cast("timestamp")
-    stamped = events.select(
-        "estado", "tipo_evento", domain(F.col("url")).alias("dominio"), F.pmod(F.xxhash64("url"), F.lit(SLOTS)).alias("_parte"),
-        "url", moment.alias("_t"), *[F.coalesce(c, F.lit(False)).alias(c) for c in ("victimas", "rescate", "danios")],
-    )
-    keyed = stamped.withWatermark("_t", delay).groupBy("estado", "tipo_evento", "dominio", "_parte")
-    return keyed.applyInPandasWithState(run, _STEPS, "ventanas string", "update", GroupStateTimeout.NoTimeout)
+
+def _steps(time: Column) -> Column:
+    """Steps that a time takes, counted up; none if it is not positive."""
+    return F.when(time > 0, F.ceil(time / F.col("paso"))).otherwise(F.when(time <= 0, F.lit(0).cast("long")))
+
+
+_KEYS = ["ventana", "estado", "tipo_evento", "dominio"]
+_SIGNS = ["victimas", "rescate", "danios"]
+
+
+def _table(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
+
+
+_GROUP = [(name, T.StringType()) for name in _KEYS[1:]]
+_FLAGS = [(name, T.BooleanType()) for name in _SIGNS]
+_WINDOW = _table(("start", T.TimestampType()), ("end", T.TimestampType()))
+_COUNTS = _table(("ventana", _WINDOW), *_GROUP, ("n", T.LongType()), *_FLAGS)
+_LATE = _table(*_GROUP, ("url", T.StringType()), ("momento", T.TimestampType()), *_FLAGS, ("ventanas_perdidas", T.IntegerType()))
+_MARKS = _table(("marca", T.LongType()), ("lote", T.LongType()))
 
 
 def start_late_stream(steps: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write what :func:`alerts_and_late_rows` gives; a repeated batch overwrites its partition."""
+    """Write the late reports, the counts that a batch adds and the watermark it leaves, each as a table under ``path``.
+
+    Every batch has a partition of its own in each, so that a repeated one overwrites what it has written, and is held
+    against the marks of the batches before it.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy("clase").parquet(f"{path}/lote={batch_id}")
+        spark = batch.sparkSession
+        earlier = read_or_empty(spark, f"{path}/marcas", _MARKS).where(F.col("lote") < batch_id)
+        mark = max(earlier.agg(F.max("marca")).first()[0] or 0, 0)
+        placed = batch.withColumn("abiertas", F.least("ventanas", _steps(F.col("fin") - F.lit(mark))))
+        late = placed.where("ventanas > abiertas").withColumn("ventanas_perdidas", (F.col("ventanas") - F.col("abiertas")).cast("int"))
+        late.select(*_LATE.names).write.mode("overwrite").parquet(f"{path}/tarde/lote={batch_id}")
+        ends = F.sequence(F.col("fin") - (F.col("abiertas") - 1) * F.col("paso"), "fin", "paso")
+        still_open = placed.where("abiertas > 0").withColumn("hasta", F.explode(ends))
+        # Windows are numbers until they are counted.
+        grouped = still_open.groupBy("hasta", "largo", *_KEYS[1:]).agg(F.count("*").alias("n"), *[F.bool_or(c).alias(c) for c in _SIGNS])
+        window = F.struct(F.timestamp_micros(F.col("hasta") - F.col("largo")).alias("start"), F.timestamp_micros("hasta").alias("end"))
+        counts = grouped.select(window.alias("ventana"), *_KEYS[1:], "n", *_SIGNS)
+        counts.write.mode("overwrite").parquet(f"{path}/cuenta/lote={batch_id}")
+        batch.agg(F.max("marca").alias("marca")).write.mode("overwrite").parquet(f"{path}/marcas/lote={batch_id}")
 
     return (
-        steps.writeStream.outputMode("update")
+        steps.writeStream.outputMode("append")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -202,25 +192,11 @@ def start_late_stream(steps: DataFrame, path: str, checkpoint: str) -> Streaming
     )
 
 
-def _written(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    rows = read_or_empty(spark, path, T.StructType([*_STEPS.fields, T.StructField("lote", T.LongType())]))
-    return rows.where(F.col("clase") == kind)
-
-
 def late_rows(spark: SparkSession, path: str) -> DataFrame:
     """Reports that came after the end of some of their windows, and how many."""
-    columns = ["estado", "tipo_evento", "dominio", "url", "momento", "victimas", "rescate", "danios", "ventanas_perdidas"]
-    return _written(spark, path, "tarde").select(*columns)
+    return read_or_empty(spark, f"{path}/tarde", _LATE).select(*_LATE.names)
 
 
-def counts_on_time(spark: SparkSession, path: str, hours: int = 72) -> DataFrame:
+def counts_on_time(spark: SparkSession, path: str) -> DataFrame:
     """The counts of everything that was on time, for :func:`alerts_from_sources`."""
-    keys = ["desde", "estado", "tipo_evento", "dominio"]
-    last = _written(spark, path, "cuenta").groupBy(*keys, "parte").agg(F.max_by(F.struct("n", "victimas", "rescate", "danios"), "lote").alias("_ultimo"))
-    whole = last.select(*keys, "_ultimo.*").groupBy(*keys).agg(F.sum("n").alias("n"), *[F.bool_or(c).alias(c) for c in ("victimas", "rescate", "danios")])
-    window = F.struct(F.col("desde").alias("start"), (F.col("desde") + F.make_dt_interval(hours=F.lit(hours))).alias("end"))
-    return whole.withColumn("ventana", window).drop("desde")
-
-
-# The functions travel to the executors by value, so that these need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return read_or_empty(spark, f"{path}/cuenta", _COUNTS).groupBy(*_KEYS).agg(F.sum("n").alias("n"), *[F.bool_or(c).alias(c) for c in _SIGNS])

@@ -40,3 +40,12 @@ def test_late_rows_and_counts_equal_brute_force(spark, tmp_path):
     assert {(hour(r.ventana.start), r.dominio and r.dominio[0]): r.n for r in counts} == want
     assert all(r.victimas and not r.rescate for r in counts)
     assert SN.alerts_from_sources(SN.counts_on_time(spark, path)).where(F.col("n_noticias") > 0).count() == len({b for b, _ in want})
+
+
+def test_no_task_works_report_by_report(spark):
+    """Nothing of the stream runs in Python, and no state is kept per source."""
+    stream = spark.readStream.format("rate").load().selectExpr(
+        "CAST(value AS string) AS url", "timestamp AS t", "'lara' AS estado", "'sismo' AS tipo_evento", "true AS victimas", "true AS rescate", "true AS danios"
+    )
+    plan = SN.alerts_and_late_rows(stream, time="t")._jdf.queryExecution().logical().toString()
+    assert "Pandas" not in plan and "GroupsWithState" not in plan
