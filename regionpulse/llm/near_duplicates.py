@@ -128,8 +128,8 @@ class _Job:
         firsts = rows.where("n > 0").groupBy("g").agg(F.min(id_of()).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         self.nodes = stage(firsts.select(F.struct("id", "g").alias("node"), "n", "sketch"))
 
-    def links(self) -> DataFrame:
-        """Confirmed links (a, b); enough of them to connect every component."""
+    def labels(self) -> DataFrame:
+        """``node`` and ``label``: the smallest node of the component of every node that is linked to a smaller one."""
         spark = self.nodes.sparkSession
         values = self.nodes.select("node", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("v"))
         lists = stage(values.groupBy("v").agg(F.count("*").alias("length")).where("length > 1"))
@@ -158,9 +158,9 @@ class _Job:
         full = self.full_sets(
             candidates.select(F.col("a").alias("node")).unionAll(candidates.select(F.col("b").alias("node"))).unionAll(heavy.select("node")).distinct()
         )
-        found = self.confirmed(candidates, full)
-        rest = self.blocks(keyed, leaders, stage(components(found)), full)
-        return found if rest is None else found.unionAll(rest)
+        label = self.confirmed(candidates, full)
+        rest = self.blocks(keyed, leaders, label, full)
+        return label if rest is None else _joined(label, rest)
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose union sketch allows the similarity, with the estimate."""
@@ -178,12 +178,11 @@ class _Job:
         return full
 
     def confirmed(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
-        """The links among the pairs: each node's best pair first, then those that still join two components."""
+        """Labels by the links among the pairs: each node's best pair first, then those that still join two components."""
         best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
-        first = self.exact(best.select("a", "b"), full)
-        label = stage(components(first))
+        label = components(self.exact(best.select("a", "b"), full))
         open_ = stage(_across(pairs.join(best, ["a", "b"], "left_anti"), label))
-        return stage(first.unionAll(self.exact(open_, full)))
+        return _joined(label, self.exact(open_, full))
 
     def exact(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
         """The pairs whose full sets are as similar as asked."""
@@ -258,6 +257,11 @@ def _block(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": [f[0] for f in found], "b": [f[1] for f in found]}, dtype=object)
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels when further links are known; components that are known are stars, so few rounds are left."""
+    return components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(links.select("a", "b")))
+
+
 def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs whose ends have different labels."""
     for side in "ab":
@@ -268,7 +272,7 @@ def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and ``text`` (a hash) of every row of ``docs``."""
     job = _Job(docs)
-    label = components(job.links())
+    label = job.labels()
     homes = stage(
         job.nodes.select("node").join(label, "node", "left")
         .select(F.col("node.g").alias("g"), F.coalesce("label", "node").getField("id").alias("home"))

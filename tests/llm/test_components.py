@@ -23,3 +23,14 @@ def test_like_brute_force(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_known_components_take_no_round(spark, monkeypatch):
+    from regionpulse.llm import components as C
+
+    def star(*_, **__):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(C, "_star", star)
+    stars = [(1, k) for k in range(2, 30)] + [(50, 51)]
+    assert {(r.node, r.label) for r in C.components(spark.createDataFrame(stars, "a long, b long")).collect()} == {(b, a) for a, b in stars}
