@@ -37,7 +37,7 @@ from pyspark.sql.types import BooleanType, DoubleType
 
 from regionpulse.llm.common import LAST, carried, id_of, release, restored, ship, table, text_batches, text_of
 from regionpulse.llm.components import components
-from regionpulse.session import stage
+from regionpulse.session import sized, stage
 
 SHINGLE = 5
 K = 64
@@ -52,6 +52,8 @@ KEYS = 10
 BLOCK = 500
 #: Shingles that a block comparison lays out at once.
 COLUMNS = 4_096
+#: A row with a sketch or a set of shingles counts as so many when files are dealt out.
+WIDE = 20
 
 
 def shingles(text: str | bytes | None) -> np.ndarray:
@@ -125,20 +127,22 @@ class _Job:
         )
         rows = stage(self.raw.mapInArrow(_sketched, "doc_id long, text long, n long, g string, sketch array<long>"))
         self.documents = rows.select("doc_id", "text", "n", "g")
+        self.rows = rows.count()
         firsts = rows.where("n > 0").groupBy("g").agg(F.min(id_of()).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        self.nodes = stage(firsts.select(F.struct("id", "g").alias("node"), "n", "sketch"))
+        self.nodes = stage(firsts.select(F.struct("id", "g").alias("node"), "n", "sketch"), rows=WIDE * self.rows)
 
     def labels(self) -> DataFrame:
         """``node`` and ``label``: the smallest node of the component of every node that is linked to a smaller one."""
-        spark = self.nodes.sparkSession
+        spark, most = self.nodes.sparkSession, K * self.rows
         values = self.nodes.select("node", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("v"))
-        lists = stage(values.groupBy("v").agg(F.count("*").alias("length")).where("length > 1"))
-        held = stage(values.join(lists, "v"))
+        lists = stage(values.groupBy("v").agg(F.count("*").alias("length")).where("length > 1"), rows=most // 2)
+        held = stage(values.join(lists, "v"), rows=most)
         long = held.where(F.col("length") > LONG)
-        burden = stage(long.groupBy("node").agg(F.count("*").alias("n_long"), F.first("k").alias("k")).select("node", "n_long", (F.col("n_long") >= LEAST * F.col("k")).alias("heavy")))
+        burden = stage(long.groupBy("node").agg(F.count("*").alias("n_long"), F.first("k").alias("k")).select("node", "n_long", (F.col("n_long") >= LEAST * F.col("k")).alias("heavy")), rows=self.rows)
         short = stage(
             held.where(F.col("length") <= LONG).select("v", "node", "n", "k").join(burden, "node", "left")
-            .select("v", "node", "n", "k", F.coalesce("n_long", F.lit(0)).alias("n_long"))
+            .select("v", "node", "n", "k", F.coalesce("n_long", F.lit(0)).alias("n_long")),
+            rows=most,
         )
         release(spark)
         a, b = (short.select("v", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "k", "n_long")]) for x in "ab")
@@ -149,9 +153,10 @@ class _Job:
         generated = counted.where(F.col("most") >= LEAST * F.col("k")).select("a", "b")
         heavy = stage(long.join(burden.where("heavy").select("node"), "node", "left_semi").groupBy("node").agg(
             F.first("n").alias("n"), F.slice(F.array_sort(F.collect_list("v")), 1, KEYS).alias("keys")
-        ))
+        ), rows=WIDE * self.rows)
+        n_keyed = KEYS * heavy.count()
         keyed = heavy.select("node", "n", F.explode("keys").alias("v"))
-        leaders = stage(keyed.groupBy("v").agg(F.min_by("node", F.xxhash64("v", "node")).alias("leader"), F.min_by("n", F.xxhash64("v", "node")).alias("n_leader"), F.count("*").alias("c")).where("c > 1"))
+        leaders = stage(keyed.groupBy("v").agg(F.min_by("node", F.xxhash64("v", "node")).alias("leader"), F.min_by("n", F.xxhash64("v", "node")).alias("n_leader"), F.count("*").alias("c")).where("c > 1"), rows=n_keyed // 2)
         led = keyed.join(leaders, "v").where(F.col("node") != F.col("leader")).where(_alike("n", "n_leader"))
         led = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         candidates = self.estimated(generated.unionAll(led).distinct())
@@ -159,53 +164,54 @@ class _Job:
             candidates.select(F.col("a").alias("node")).unionAll(candidates.select(F.col("b").alias("node"))).unionAll(heavy.select("node")).distinct()
         )
         label = self.confirmed(candidates, full)
-        rest = self.blocks(keyed, leaders, label, full)
+        rest = self.blocks(keyed, leaders, label, full, n_keyed)
         return label if rest is None else _joined(label, rest)
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose union sketch allows the similarity, with the estimate."""
         s = self.nodes.select("node", "sketch")
         both = pairs.join(s.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a").join(s.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
-        return stage(both.select("a", "b", _estimate("sa", "sb").alias("estimate")).where(F.col("estimate") >= ESTIMATE))
+        return stage(both.select("a", "b", _estimate("sa", "sb").alias("estimate")).where(F.col("estimate") >= ESTIMATE), rows=K * self.rows)
 
     def full_sets(self, nodes: DataFrame) -> DataFrame:
         """The shingles of the given nodes, made again from their texts."""
-        wanted = stage(nodes)
+        wanted = stage(nodes, rows=self.rows)
         rows = self.raw.withColumn("id", id_of()).join(wanted.select(F.col("node.id").alias("id")).distinct().hint("shuffle_hash"), "id", "left_semi").select("raw")
         sets = rows.mapInArrow(_sets, "g string, full binary").join(wanted.select("node", F.col("node.g").alias("g")), "g")
-        full = stage(sets.groupBy("node").agg(F.first("full").alias("full")))
+        full = stage(sets.groupBy("node").agg(F.first("full").alias("full")), rows=WIDE * self.rows)
         release(nodes.sparkSession)
         return full
 
     def confirmed(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
         """Labels by the links among the pairs: each node's best pair first, then those that still join two components."""
         best = pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a"))
-        label = components(self.exact(best.select("a", "b"), full))
-        open_ = stage(_across(pairs.join(best, ["a", "b"], "left_anti"), label))
-        return _joined(label, self.exact(open_, full))
+        label = components(self.exact(best.select("a", "b"), full, self.rows), self.rows)
+        open_ = stage(_across(pairs.join(best, ["a", "b"], "left_anti"), label), rows=pairs.count())
+        return _joined(label, self.exact(open_, full, max(self.rows, open_.count())))
 
-    def exact(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
+    def exact(self, pairs: DataFrame, full: DataFrame, rows: int) -> DataFrame:
         """The pairs whose full sets are as similar as asked."""
         both = pairs.join(full.withColumnsRenamed({"node": "a", "full": "fa"}), "a").join(full.withColumnsRenamed({"node": "b", "full": "fb"}), "b")
-        out = stage(both.where(_linked("fa", "fb")).select("a", "b"))
+        out = stage(both.where(_linked("fa", "fb")).select("a", "b"), rows=WIDE * rows)
         release(pairs.sparkSession)
         return out
 
-    def blocks(self, keyed: DataFrame, leaders: DataFrame, label: DataFrame, full: DataFrame) -> DataFrame | None:
+    def blocks(self, keyed: DataFrame, leaders: DataFrame, label: DataFrame, full: DataFrame, n_keyed: int) -> DataFrame | None:
         """Links across components in long lists that still hold several."""
         members = keyed.join(leaders.select("v"), "v").join(label, "node", "left").select("v", "node", F.coalesce("label", "node").alias("label"))
-        members = stage(members)
-        open_lists = stage(members.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high").select("v", "size"))
-        if not open_lists.take(1):
-            return None
+        members = stage(members, rows=n_keyed)
+        open_lists = stage(members.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high").select("v", "size"), rows=n_keyed // 2)
         n = F.ceil(F.col("size") / BLOCK)
+        copies = open_lists.agg(F.sum(F.col("size") * n).alias("copies")).first().copies
+        if not copies:
+            return None
         rows = members.join(open_lists, "v").withColumn("mine", F.pmod(F.xxhash64("node"), n))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).join(full, "node")
         rows = rows.select(
             "v", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", F.xxhash64("label").alias("label"), "full"
         )
         node = self.nodes.schema["node"].dataType.simpleString()
-        return stage(rows.groupBy("v", "i", "j").applyInPandas(_block, f"a {node}, b {node}"))
+        return stage(rows.groupBy("v", "i", "j").applyInPandas(_block, f"a {node}, b {node}"), rows=WIDE * copies)
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -259,7 +265,8 @@ def _block(group: pd.DataFrame) -> pd.DataFrame:
 
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     """The labels when further links are known; components that are known are stars, so few rounds are left."""
-    return components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(links.select("a", "b")))
+    known = label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(links.select("a", "b"))
+    return components(known, known.count())
 
 
 def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -275,13 +282,15 @@ def groups(docs: DataFrame) -> DataFrame:
     label = job.labels()
     homes = stage(
         job.nodes.select("node").join(label, "node", "left")
-        .select(F.col("node.g").alias("g"), F.coalesce("label", "node").getField("id").alias("home"))
+        .select(F.col("node.g").alias("g"), F.coalesce("label", "node").getField("id").alias("home")),
+        rows=job.rows,
     )
     out = job.documents.join(homes, "g", "left")
     component = F.nullif(F.coalesce("home", "doc_id"), F.lit(LAST))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "text").withColumn(
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "text").withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     )
+    return sized(out, WIDE * job.rows)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -294,9 +303,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     found = stage(groups(docs.select("doc_id", "text")).select(
         id_of().alias("_id"), F.col("text").alias("_text"), (~F.col("kept") & F.col("component_id").isNotNull() & (F.col("n_shingles") > 0)).alias("goes")
     ))
+    n = found.count()
     rows = docs.select(*carried(docs), id_of().alias("_id"), F.xxhash64(text_of()).alias("_text"))
-    left = rows.join(stage(found.where("goes").select(*key).distinct()).hint("shuffle_hash"), key, "left_anti")
-    repeated = stage(found.where("NOT goes").groupBy(*key).count().where("count > 1").select(*key))
+    left = rows.join(stage(found.where("goes").select(*key).distinct(), rows=n).hint("shuffle_hash"), key, "left_anti")
+    repeated = stage(found.where("NOT goes").groupBy(*key).count().where("count > 1").select(*key), rows=n)
     if repeated.take(1):
         left = left.join(repeated, key, "left_anti").unionByName(left.join(repeated, key, "left_semi").dropDuplicates(key))
     return left.select(*restored(docs))

@@ -34,3 +34,25 @@ def test_known_components_take_no_round(spark, monkeypatch):
     monkeypatch.setattr(C, "_star", star)
     stars = [(1, k) for k in range(2, 30)] + [(50, 51)]
     assert {(r.node, r.label) for r in C.components(spark.createDataFrame(stars, "a long, b long")).collect()} == {(b, a) for a, b in stars}
+
+
+def test_few_edges_take_few_files(spark, monkeypatch):
+    """A step over some hundred edges is one file, not one for each shuffle partition."""
+    from regionpulse.llm import components as C
+
+    files, stage = [], C.stage
+
+    def counted(*args, **kwargs):
+        out = stage(*args, **kwargs)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(C, "stage", counted)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = C.components(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long"), 200)
+        assert {(r.node, r.label) for r in got.collect()} == {(k, 0) for k in range(1, 201)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(files) > 5 and set(files) == {1}

@@ -90,3 +90,42 @@ def test_block_gives_links_that_connect_its_components():
     nodes = [{"id": k, "g": str(k)} for k in range(4)]
     group = pd.DataFrame({"v": 1, "i": 0, "j": 0, "mine": 0, "node": nodes, "label": [1, 2, 3, 4], "full": full})
     assert len(N._block(group)) == 2
+
+
+def test_small_tables_take_few_files(spark, folder, monkeypatch):
+    """Tables that are dealt out by a shuffle have as many files as their rows need, not one for each shuffle partition."""
+    from regionpulse.llm import components as C
+
+    files, stage = [], N.stage
+
+    def counted(df, *args, **kwargs):
+        out = stage(df, *args, **kwargs)
+        files.append(len(out.inputFiles()))
+        return out
+
+    for module in (N, C):
+        monkeypatch.setattr(module, "stage", counted)
+    monkeypatch.setattr(N, "LONG", 8)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = random.Random(4)
+    rows = list(enumerate(copies(rng, prose(rng, 150), 40, 0, 9) + [prose(rng, 50) for _ in range(10)]))
+    try:
+        got = N.query(spark, folder(rows))
+        assert got.rdd.getNumPartitions() == 1
+        assert found(got) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    # The first table is written by the tasks that read the documents.
+    assert len(files) > 15 and set(files[1:]) == {1}
+
+
+def test_files_grow_with_the_rows(spark, monkeypatch):
+    """With four shuffle partitions, one or two files; larger tables are written as they come."""
+    from regionpulse import session
+
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    df = spark.range(0, 1000, 1, 8)
+    assert [session.sized(df, n).rdd.getNumPartitions() for n in (0, 100, 101, 201, 10**9)] == [1, 1, 2, 8, 8]
+    out = session.stage(df, rows=200)
+    assert len(out.inputFiles()) == 2 and out.agg({"id": "sum"}).first()[0] == 499500
